@@ -16,6 +16,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(files, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all documents to the weights 1, 2, 3 in turn."""
+    from civicframe.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of all documents from samples of those outside the held-out third."""
     from civicframe.llm.langid import held_out, identify, learn
