@@ -23,6 +23,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint all documents and their edited texts."""
+    from civicframe.llm.fingerprint import edited_fingerprints
+
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of all documents from samples of those outside the held-out third."""
     from civicframe.llm.langid import held_out, identify, learn
