@@ -30,6 +30,15 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report the benchmark windows in all documents."""
+    from civicframe.llm.decontaminate import contamination
+
+    docs = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("_report.items", ",").cast("binary"), 256).alias("items_sha256")
+    return docs.select("doc_id", "_report.n_words", "_report.n_hit", "_report.n_items", items, "_report.contaminated")
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of all documents from samples of those outside the held-out third."""
     from civicframe.llm.langid import held_out, identify, learn
