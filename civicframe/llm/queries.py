@@ -59,6 +59,13 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(turns.unionByName(planted)))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by two-word shingles."""
+    from civicframe.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the token ids of all documents, then read the files back."""
     import public_tokenizers
