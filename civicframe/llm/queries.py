@@ -59,6 +59,14 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(turns.unionByName(planted)))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Put all documents into 16 shards of near equal bytes, equal texts together."""
+    from civicframe.llm.sharding import shard
+
+    placed = shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by two-word shingles."""
     from civicframe.llm.neardup import near_duplicates
