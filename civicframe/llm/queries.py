@@ -39,6 +39,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "_report.n_words", "_report.n_hit", "_report.n_items", items, "_report.contaminated")
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score all documents by a model of those outside the held-out seventh."""
+    from civicframe.llm.langid import held_out
+    from civicframe.llm.lm import score
+
+    return score(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of all documents from samples of those outside the held-out third."""
     from civicframe.llm.langid import held_out, identify, learn
