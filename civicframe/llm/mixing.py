@@ -107,8 +107,8 @@ def mix(docs: DataFrame, *, weights=None, cap: float = 3.0, seed: str = "mix") -
     """Copies of each row of ``docs`` (doc_id, source, text) in a mix as large as all of them.
 
     ``weights`` makes a weight column from the number of the source in code-point order, null last, from 0; without
-    it the weights are 1, 2, 3 and so on in turn. Returns doc_id, size, source_size, target, copies and taken, a row
-    for each input row. Null texts have no words and are taken as often as their source's whole part says, which adds
+    it the weights are 1, 2, 3 and so on in turn. Returns doc_id, key, source, size, source_size, target, copies and
+    taken, a row for each input row. Null texts have no words and are taken as often as their source's whole part says, which adds
     nothing. A null source is a source. Rows with a null doc_id go by a hash of their text. An empty table gives no rows. Columns other than the three are ignored.
     """
     sized = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("key"), "source", word_count(F.col("text")).alias("size"))
@@ -117,4 +117,4 @@ def mix(docs: DataFrame, *, weights=None, cap: float = 3.0, seed: str = "mix") -
     per_source = per_source.withColumn("_n", number)
     weight = weights(F.col("_n")) if weights else F.col("_n") % 3 + 1
     goals = stored(targets(per_source, weight, cap=cap).select("source", "n", "source_size", "target"), "mix-targets")
-    return pareto_copies(sized, goals, seed=seed, cap=cap).select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return pareto_copies(sized, goals, seed=seed, cap=cap).withColumn("taken", F.col("copies") * F.col("size"))

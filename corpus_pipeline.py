@@ -1,13 +1,59 @@
-"""A pipeline over ``documents``."""
+"""From raw documents to token files: language, near-duplicates, benchmark leaks, mix of sources, token ids."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from civicframe.llm.common import shared_path, stored, table
+from civicframe.llm.decontaminate import decontaminate
+from civicframe.llm.stages import mixed, one_of_each, with_language
+from civicframe.llm.tokens import read_tokens, write_tokens
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    return with_language(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, likeness of 0.8 or more."""
+    return one_of_each(docs, shingle=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixed(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents, and what reads back from them."""
+    uri = shared_path(spark, "tokens")
+    files = write_tokens(docs, uri, public_tokenizers.path("word_bpe_49k.json"), end_id=2, marker="photograph")
+    return read_tokens(files, uri)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mix", source_mix),
+    ("token_output", token_output),
+]
+
+#: SQL can neither parse by automata nor encode tokens; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``."""
-    raise NotImplementedError
+    """Apply the stages to ``documents``; what one returns is written and read again for the next."""
+    docs = table(spark, sf_dir, "documents")
+    *first, (_, last) = STAGES
+    for name, stage in first:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return last(spark, docs, sf_dir)
