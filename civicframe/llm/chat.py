@@ -217,13 +217,16 @@ def folded(tree: tuple) -> tuple:
 def fold(statements: list[tuple]) -> list[tuple]:
     """Statements with constants folded: dead branches go and neighbouring constant texts become one."""
     out: list[tuple] = []
+
+    def put(tree: tuple) -> None:
+        if tree[0] == "constant" and out and out[-1][0] == "put" and out[-1][1][0] == "constant":
+            out[-1] = ("put", ("constant", _text(out[-1][1][1]) + _text(tree[1])))
+        elif tree != ("constant", ""):
+            out.append(("put", tree))
+
     for kind, *rest in statements:
         if kind == "put":
-            tree = folded(rest[0])
-            if tree[0] == "constant" and out and out[-1][0] == "put" and out[-1][1][0] == "constant":
-                out[-1] = ("put", ("constant", _text(out[-1][1][1]) + _text(tree[1])))
-            elif tree != ("constant", ""):
-                out.append(("put", tree))
+            put(folded(rest[0]))
         elif kind == "for":
             out.append(("for", rest[0], folded(rest[1]), fold(rest[2])))
         elif kind == "generation":
@@ -238,7 +241,11 @@ def fold(statements: list[tuple]) -> list[tuple]:
                         break
                     continue
                 branches.append((test, fold(inner)))
-            out += [("if", branches, other)] if branches else other
+            if branches:
+                out.append(("if", branches, other))
+            else:
+                for x in other:
+                    put(x[1]) if x[0] == "put" else out.append(x)
     return out
 
 

@@ -63,14 +63,14 @@ def record(page_id: int | None, url: str | None, payload: bytes, response: int |
 def member(data: bytes, level: int) -> bytes:
     """``data`` as one gzip member in which no other member with a WARC header seems to start.
 
-    A stored deflate block can hold a payload that is itself an archive; such a member is packed by Huffman codes
-    alone, which shifts its bytes.
+    A stored deflate block can hold a payload that is itself an archive; in such a member the packer is flushed inside
+    each gzip magic of the payload, which puts bytes of its own there.
     """
-    for strategy in (zlib.Z_DEFAULT_STRATEGY, zlib.Z_HUFFMAN_ONLY, zlib.Z_FIXED):
-        z = zlib.compressobj(level, zlib.DEFLATED, 31, 8, strategy)
-        out = z.compress(data) + z.flush()
+    for cuts in ([], [m.start() + 1 for m in re.finditer(re.escape(MAGIC), data)]):
+        z = zlib.compressobj(level, zlib.DEFLATED, 31)
+        out = b"".join(z.compress(data[i:j]) + z.flush(zlib.Z_FULL_FLUSH if j < len(data) else zlib.Z_FINISH) for i, j in zip([0, *cuts], [*cuts, len(data)], strict=True))
         at = out.find(MAGIC, 1)
-        while at >= 0 and not begins_record(out[at:]):
+        while at >= 0 and not begins_record(out[at : at + 4096]):
             at = out.find(MAGIC, at + 1)
         if at < 0:
             return out
