@@ -1 +1 @@
-
+"""Column functions: text, dates, money, hashes."""

@@ -1 +1 @@
-
+"""DataFrame -> DataFrame operators."""

@@ -1 +1 @@
-
+"""Named queries: the operators applied to the driver tables."""

@@ -53,11 +53,18 @@ def timeliness_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _load() -> None:
+    """Import the modules whose queries register themselves."""
+    from civicframe.plans import link_queries, search_queries, text_queries  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name and function of every query."""
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
+    _load()
     return dict(ORACLES)

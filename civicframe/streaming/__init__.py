@@ -1 +1 @@
-
+"""Incremental ingest and event-time aggregates by Structured Streaming."""
