@@ -199,12 +199,18 @@ def blocked_title_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("q", "c", "how")
 
 
-@query("WITH u AS (SELECT c_nationkey, c_mktsegment, min(c_custkey) AS c_custkey FROM customer GROUP BY ALL HAVING count(*) = 1) SELECT s_suppkey, s.c_mktsegment, u.c_custkey FROM (SELECT s_suppkey, s_nationkey, 'BUILDING' AS c_mktsegment FROM supplier) s LEFT JOIN u ON s_nationkey = c_nationkey AND u.c_mktsegment = s.c_mktsegment")
+@query(
+    """
+    WITH c AS (SELECT c_custkey, c_nationkey AS nation, CAST(floor(c_acctbal / 150) AS BIGINT) AS band FROM customer),
+    u AS (SELECT nation, band, min(c_custkey) AS c_custkey FROM c GROUP BY ALL HAVING count(*) = 1)
+    SELECT s_suppkey, coalesce(u.c_custkey, -1) AS c_custkey FROM supplier LEFT JOIN u ON s_nationkey = nation AND CAST(floor(s_acctbal / 150) AS BIGINT) = band
+    """
+)
 def unique_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The one customer of a supplier's nation and a segment, if there is just one."""
-    queries = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("c_nationkey"), F.lit("BUILDING").alias("c_mktsegment"))
-    roster = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return linkage.unique_match(queries, roster, ["c_nationkey", "c_mktsegment"]).select("s_suppkey", "c_mktsegment", "c_custkey")
+    """The one customer of a supplier's nation and balance band, if there is just one (-1 else)."""
+    queries = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), F.floor(F.col("s_acctbal") / 150).alias("band"))
+    roster = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.floor(F.col("c_acctbal") / 150).alias("band"))
+    return linkage.unique_match(queries, roster, ["nation", "band"]).select("s_suppkey", F.coalesce("c_custkey", F.lit(-1).cast("long")).alias("c_custkey"))
 
 
 @query()
