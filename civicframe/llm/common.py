@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
-
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicframe.store import shared_path, stored
+
 #: White space as the contracts of this subpackage define it.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,35 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a URI.
-
-    It is ``spark.checkpoint.dir``. Only a local session, where driver and executors are one process, may go
-    without; it gets a temporary folder that goes when the process ends.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="civicframe-")
-        atexit.register(shutil.rmtree, root, True)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root if "://" in root or root.startswith("file:") else f"file://{os.path.abspath(root)}"
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: a cut of the lineage that outlives lost executors."""
-    path = shared_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def open_store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a URI, for tasks that read or write files of their own."""
     if uri.startswith("file:/") and not uri.startswith("file:///"):
@@ -81,3 +48,6 @@ BROADCAST_ROWS = 1_000_000
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, marked for broadcast if it is counted to be small; else Spark shuffles it."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+__all__ = ["BROADCAST_ROWS", "WORD", "let", "lower_ascii", "open_store", "shared_path", "small", "stored", "table", "words"]

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicframe.llm.common import let, small, stored, words
-from civicframe.llm.graph import components
+from civicframe.operators.dossiers import components
 
 K = 64
 SIGMAS = 5.0

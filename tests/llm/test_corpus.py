@@ -10,11 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicframe.llm.fingerprint import edited_fingerprints, fingerprint, likeness
-from civicframe.llm.graph import components
 from civicframe.llm.mixing import mix, targets
 from civicframe.llm.neardup import near_duplicates
 from civicframe.llm.sharding import grants, shard
 from civicframe.llm.stages import mixed, one_of_each, with_language
+from civicframe.operators.dossiers import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
