@@ -5,7 +5,7 @@ weight. The expected copies of a document are its source's target over its sourc
 certain. The fraction is the inclusion probability p of one more copy, so documents of different sources have unequal
 ones: documents are ranked by the odds of a random number over the odds of p, and those of least rank are taken while
 the words that the source still wants are not passed. What is then missing is filled with the next documents in rank
-that fit, among some ``FILL`` of each source. The random numbers are hashes of the document's key, its source and a
+that fit, among some ``FILL`` of each source, and one that overshoots by less than is missing, if there is one. The random numbers are hashes of the document's key, its source and a
 seed, so reruns agree.
 
 The cut in each source's ranking comes from two histograms and a sort of what falls in one cell of the second, so no
@@ -98,7 +98,11 @@ def pareto_copies(docs: DataFrame, source_targets: DataFrame, *, seed: str = "mi
         F.struct(F.col("_open").alias("open"), F.array().cast("array<bigint>").alias("keys")),
         lambda acc, x: F.when(x["size"] <= acc["open"], F.struct((acc["open"] - x["size"]).alias("open"), F.concat(acc["keys"], F.array(x["key"])).alias("keys"))).otherwise(acc),
     )
-    extra = nxt.select(F.col("source").alias("_s"), F.explode(filled["keys"]).alias("_k"))
+    done = nxt.select("source", "_next", filled.alias("_f"))
+    # one more that passes the target by less than what is missing
+    near = F.filter("_next", lambda x: ~F.array_contains(F.col("_f.keys"), x["key"]) & (F.abs(x["size"] - F.col("_f.open")) < F.col("_f.open")))
+    one = F.array_min(F.transform(near, lambda x: F.struct(F.abs(x["size"] - F.col("_f.open")).alias("off"), x["key"].alias("key"))))["key"]
+    extra = done.select(F.col("source").alias("_s"), F.explode(F.array_compact(F.concat(F.col("_f.keys"), F.array(one)))).alias("_k"))
     done = chosen.join(small(extra), on("_s") & (F.col("key") == F.col("_k")), "left")
     return done.withColumn("copies", (F.col("_whole") + (F.col("_in") | F.col("_k").isNotNull()).cast("long")).cast("long")).select(*docs.columns, "source_size", "target", "copies")
 
