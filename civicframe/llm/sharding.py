@@ -3,8 +3,8 @@
 Documents that share a link key (here: equal texts) are neighbours. Each document starts in a shard that a hash names.
 In a round, every group's bytes in each shard are summed, and its documents outside the shard that has most of them
 ask to move there. Of the wishes from one shard to another as many bytes are granted as wish the other way, plus a part of
-the room below the target's capacity; groups are granted whole, in the order of a hash. At last all documents stand on
-a line, by shard, group and id, and the line is cut into pieces of equal bytes: this keeps neighbours side by side, and
+the room below the target's capacity; groups are granted whole, in the order of a hash. After the rounds the remaining
+members of small groups join the rest of these. At last all documents stand on a line, by shard, group and id, and the line is cut into pieces of equal bytes: this keeps neighbours side by side, and
 evens what the rounds left uneven. Only ids, sizes and keys move; texts are read once.
 """
 
@@ -37,26 +37,34 @@ def grants(flows: dict[tuple[int, int], int], loads: dict[int, int], capacity: f
     return {(a, b): min(1.0, (min(f, flows.get((b, a), 0)) + room[b] * f / into[b]) / f) for (a, b), f in flows.items() if f > 0}
 
 
+def _wishes(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``to``: the shard that has most bytes of their group; null for groups of one."""
+    held = rows.where("members > 1").groupBy("group", "shard").agg(F.sum("size").alias("b"))
+    most = held.groupBy("group").agg(F.max(F.struct("b", F.xxhash64("group", "shard").alias("h"), "shard")).alias("top"))
+    return rows.join(most.select("group", F.col("top.shard").alias("to")), "group", "left")
+
+
 def propagate(rows: DataFrame, shards: int, *, rounds: int = ROUNDS) -> DataFrame:
-    """Label ``rows`` (group, size, members, group_bytes and any others) with a shard, after some rounds."""
+    """Label ``rows`` (id, group, size, members, group_bytes and any others) with a shard, after some rounds."""
     spark = rows.sparkSession
     rows = stored(rows.withColumn("shard", F.floor(_unit("id", "group", F.lit("start")) * shards).cast("int")), "labels")
     for k in range(rounds):
         loads = {r.shard: r.b for r in rows.groupBy("shard").agg(F.sum("size").alias("b")).collect()}  # a row a shard
         capacity = (1 + SLACK) * sum(loads.values()) / shards
-        held = rows.where("members > 1").groupBy("group", "shard").agg(F.sum("size").alias("b"))
-        most = held.groupBy("group").agg(F.max(F.struct("b", F.xxhash64("group", "shard").alias("h"), "shard")).alias("top")).select("group", F.col("top.shard").alias("to"))
-        wishes = rows.join(most, "group", "left")
+        wishes = _wishes(rows)
         counted = wishes.where("to <> shard").groupBy("shard", "to").agg(F.sum("size").alias("b")).collect()  # shards ** 2 rows at most
         allowed = grants({(r.shard, r.to): r.b for r in counted}, loads, capacity)
         if not allowed:
-            return rows
+            break
         table = F.broadcast(spark.createDataFrame([(a, b, p) for (a, b), p in allowed.items()], "shard int, to int, p double"))
         # groups that are large against a shard are granted document by document
         chance = F.when(F.col("group_bytes") * 50 > capacity, _unit("id", "group", F.lit(k))).otherwise(_unit("group", F.lit(k)))
         moved = wishes.join(table, ["shard", "to"], "left").withColumn("shard", F.when(chance < F.col("p"), F.col("to")).otherwise(F.col("shard")))
         rows = stored(moved.select(*rows.columns), "labels")
-    return rows
+    # what quotas still keep apart settles with the rest of its group, if that is small against a shard
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    settled = F.when((F.col("group_bytes") * 50 * shards <= total) & F.col("to").isNotNull(), F.col("to")).otherwise(F.col("shard"))
+    return _wishes(rows).withColumn("shard", settled).select(*rows.columns)
 
 
 def even_cut(rows: DataFrame, shards: int) -> DataFrame:
@@ -66,6 +74,7 @@ def even_cut(rows: DataFrame, shards: int) -> DataFrame:
     the group's hash, and for groups that alone would fill a task, ranges of the document's hash. Rows are ordered
     inside cells; where a cell begins comes from the sums of those before it, of which there are a bounded number.
     """
+    rows = stored(rows, "settled")
     n = rows.count()
     buckets = max(1, min(MOST_BUCKETS, n // (shards * CELL_ROWS)))
     giant = F.col("members") > CELL_ROWS
