@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import let, lower_ascii, small, stored, words
+from civicframe.llm.common import let, small, stored, words
 
 #: Runs of digits, ASCII letters and all signs outside ASCII, once A-Z are in lower case.
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words where A-Z are still in upper case; to count them needs no lower-cased copy of the text.
+ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GRAM = 13
 
 
@@ -81,7 +83,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = GRAM, id_co
     weight = hits.agg(F.coalesce(F.sum(4 + F.size("spans") + F.size("items")), F.lit(0)).alias("w")).first().w
     hits = hits.select(F.col("key").alias("_key"), F.struct(covered(F.col("spans")).alias("n_hit"), "items", "spans").alias("_found"))
     joined = docs.withColumn("_key", _row_key(id_col, text_col)).join(F.broadcast(hits) if weight <= 1_000_000 else hits, "_key", "left")
-    n_words = F.coalesce(F.regexp_count(lower_ascii(F.col(text_col)), F.lit(ITEM_WORD)), F.lit(0)).cast("long")
+    n_words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
     n_hit = F.coalesce(F.col("_found.n_hit"), F.lit(0).cast("long"))
     report = F.struct(
         n_words.alias("n_words"),
