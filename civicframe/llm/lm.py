@@ -4,10 +4,11 @@ Texts are read once into blocks: token numbers of some hundred thousand tokens,
 sends every distinct token with its count once; the totals come back to the blocks by number. So the corpus is
 counted in full, whatever the vocabulary, and nobody holds all of it.
 
-The model is a bigram model over add-one unigrams. Tokens of at least ``N / MOST`` occurrences (2 at least) are contexts;
-bigrams of such tokens that occur as often are arcs, discounted by ``DISCOUNT``. The threshold is relative to the
-corpus, so there are at most ``MOST`` of each, however large it is; that bounds what is broadcast. States are the start,
-the contexts and the root. An arc from a state names a word and its log-probability; a word without one takes the
+The model is a bigram model over add-one unigrams. Tokens of ``LEAST`` occurrences are contexts; all bigrams that occur
+as often are arcs, discounted by ``DISCOUNT``. So the model grows with the corpus. It is never in one place: each block
+sends every pair of contexts in its texts with its count once; the totals and the failure weights come back to the
+blocks that hold the pair. A block then has all arcs and weights that its texts can take. States are the start, the
+contexts and the root. An arc from a state names a word and its log-probability; a word without one takes the
 state's failure arc, whose weight is the log of the mass left over the unigram mass of words without an arc, to the
 root, where every word has a weight. One pass from left to right carries the state and adds up weights. The
 probabilities of all words in a state sum to one, with one unseen word counted as known by the add-one rule.
@@ -19,16 +20,20 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicframe.llm.common import stored
 
-#: Bound on contexts and on arcs.
+#: Occurrences of a context and of an arc.
+LEAST = 2
+#: A bound on contexts and on arcs that a caller may set; none is set by default.
 MOST = 1 << 18
+#: Number of the start of a text among token ids.
+START = -1
 DISCOUNT = 0.5
 #: Tokens of a block, about.
 BLOCK = 1 << 21
@@ -44,8 +49,8 @@ def tokens(text: str | None) -> list[str]:
     return [*_find(text.lower() if text.isascii() else text.translate(_UPPER)), END]
 
 
-BLOCKS = "block string, ids binary, vocabulary array<string>, counts binary, docs binary, known binary, lengths binary, held binary"
-_KINDS = [pa.string(), pa.binary(), pa.list_(pa.string()), *[pa.binary()] * 5]
+BLOCKS = "block long, ids binary, vocabulary array<string>, counts binary, docs binary, known binary, lengths binary, held binary"
+_KINDS = [pa.int64(), pa.binary(), pa.list_(pa.string()), *[pa.binary()] * 5]
 
 
 def blocks(docs: DataFrame, held_out: Column, *, id_col: str, text_col: str, block: int = BLOCK) -> DataFrame:
@@ -63,7 +68,7 @@ def blocks(docs: DataFrame, held_out: Column, *, id_col: str, text_col: str, blo
             ids, sizes = np.concatenate(parts), np.array(lengths, np.int64)
             train = ~np.repeat(np.array(held, bool), sizes)
             counts = np.bincount(ids[train], minlength=len(number)).astype("<i8")
-            row = [f"{part}-{n}", ids.astype("<i4").tobytes(), list(number), counts.tobytes(), np.array([x or 0 for x in docs], "<i8").tobytes(), np.array([x is not None for x in docs], np.uint8).tobytes(), sizes.astype("<i8").tobytes(), np.array(held, np.uint8).tobytes()]
+            row = [(part << 32) + n, ids.astype("<i4").tobytes(), list(number), counts.tobytes(), np.array([x or 0 for x in docs], "<i8").tobytes(), np.array([x is not None for x in docs], np.uint8).tobytes(), sizes.astype("<i8").tobytes(), np.array(held, np.uint8).tobytes()]
             number, parts, docs, held, lengths, n = {}, [], [], [], [], n + 1
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _KINDS, strict=True)], ["block", "ids", "vocabulary", "counts", "docs", "known", "lengths", "held"])
 
@@ -89,7 +94,7 @@ def blocks(docs: DataFrame, held_out: Column, *, id_col: str, text_col: str, blo
 
 
 def unigrams(made: DataFrame) -> DataFrame:
-    """Rows (block, number, token, c, first): each block's tokens with the totals of all blocks."""
+    """Rows (block, number, token, id, c, first): each block's tokens with the totals of all blocks and an id for each token."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,12 +103,12 @@ def unigrams(made: DataFrame) -> DataFrame:
                 counts = np.frombuffer(batch.column(2)[i].as_py(), "<i8")
                 for at in range(0, len(counts), 1 << 16):
                     some = counts[at : at + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array(np.arange(at, at + len(some)), pa.int32()), vocabulary.slice(at, len(some)), pa.array(some)], ["block", "number", "token", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), name, np.int64)), pa.array(np.arange(at, at + len(some)), pa.int32()), vocabulary.slice(at, len(some)), pa.array(some)], ["block", "number", "token", "n"])
 
-    rows = made.select("block", "vocabulary", "counts").mapInArrow(spread, "block string, number int, token string, n long")
+    rows = made.select("block", "vocabulary", "counts").mapInArrow(spread, "block long, number int, token string, n long").withColumn("id", F.monotonically_increasing_id())
     # a token has a row a block at most, however common it is
     own = Window.partitionBy("token")
-    return stored(rows.withColumn("c", F.sum("n").over(own)).withColumn("first", F.row_number().over(own.orderBy("block")) == 1).drop("n"), "lm-unigrams")
+    return stored(rows.withColumn("c", F.sum("n").over(own)).withColumn("id", F.min("id").over(own)).withColumn("first", F.row_number().over(own.orderBy("block")) == 1).drop("n"), "lm-unigrams")
 
 
 class Automaton:
@@ -122,6 +127,14 @@ class Automaton:
         order = np.argsort(arcs)
         self.arcs, self.weights = arcs[order], np.log10(p[order])
 
+    @classmethod
+    def part(cls, arcs: np.ndarray, weights: np.ndarray, failure: np.ndarray) -> Automaton:
+        """The part of an automaton that a block needs: its numbers as states, weights and failures of the whole."""
+        self = cls.__new__(cls)
+        order = np.argsort(arcs)
+        self.size, self.failure, self.arcs, self.weights = len(failure), failure, arcs[order], weights[order]
+        return self
+
     def run(self, states: np.ndarray, first: np.ndarray, plain: np.ndarray) -> np.ndarray:
         """Weight of each token of a stream of texts: ``states`` has each token's own state or -1, ``first`` marks the
         first tokens of texts, ``plain`` their weights at the root."""
@@ -141,74 +154,99 @@ class Automaton:
         return weight
 
 
-def _stream(row, states: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Token numbers, token states, marks of first tokens and lengths of a block."""
-    ids, lengths = np.frombuffer(row["ids"], "<i4"), np.frombuffer(row["lengths"], "<i8")
-    own = np.array([states.get(w, -1) for w in row["vocabulary"]], np.int64)[ids]
+def _stream(mine: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token numbers, marks of first tokens, lengths of texts and marks of held-out texts of a block."""
+    ids, lengths, held = (np.frombuffer(mine[k][0].as_py(), t) for k, t in (("ids", "<i4"), ("lengths", "<i8"), ("held", np.uint8)))
     first = np.zeros(len(ids), bool)
     first[np.cumsum(lengths) - lengths] = True
-    return ids, own, first, lengths
+    return ids, first, lengths, held.astype(bool)
 
 
-def bigrams(made: DataFrame, contexts: list[str]) -> DataFrame:
-    """Rows (arc, n): counts of pairs of contexts, and of texts' starts, in the documents that are not held out."""
-    share = made.sparkSession.sparkContext.broadcast(contexts)
+def _by_number(totals: pa.Table, column: str, kind: type) -> np.ndarray:
+    """A column of a block's token rows in the order of their numbers."""
+    out = np.empty(totals.num_rows, kind)
+    out[totals["number"].to_numpy()] = totals[column].to_numpy()
+    return out
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states = {w: i for i, w in enumerate(share.value)}
-        size = len(states) + 1
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, own, first, lengths = _stream(row, states)
-                train = ~np.repeat(np.frombuffer(row["held"], np.uint8).astype(bool), lengths)
-                before = np.empty_like(own)
-                before[1:] = own[:-1]
-                before[first] = size - 1
-                good = train & (own >= 0) & (before >= 0)
-                arcs, n = np.unique(before[good] * size + own[good], return_counts=True)
-                for at in range(0, len(arcs), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(arcs[at : at + (1 << 16)]), pa.array(n[at : at + (1 << 16)])], ["arc", "n"])
 
-    rows = made.select("ids", "vocabulary", "lengths", "held").mapInArrow(count, "arc long, n long")
-    return rows.groupBy("arc").agg(F.sum("n").alias("n"))
+PAIRS = "block long, pair long, a long, b long, c long, n long"
+_PAIRS = pa.schema([(x.split()[0], pa.int64()) for x in PAIRS.split(", ")])
+
+
+def bigrams(made: DataFrame, tokens_: DataFrame, least: int) -> DataFrame:
+    """Rows (block, pair, a, c, n, first) of the arcs: bigrams of ``least`` occurrences in the texts that are not held out.
+
+    A block that has the arc in any text has a row of it, with the block's own number of the pair, the context's id
+    (``START`` for the start of a text), the count of the second token and that of the bigram.
+    """
+
+    def count(key: tuple, mine: pa.Table, totals: pa.Table) -> pa.Table:
+        ids, first, lengths, held = _stream(mine)
+        c, id_ = _by_number(totals, "c", np.int64), _by_number(totals, "id", np.int64)
+        size = len(c) + 1
+        own = np.where(c >= least, np.arange(len(c)), -1)[ids]
+        before = np.empty_like(own)
+        before[1:] = own[:-1]
+        before[first] = size - 1
+        good = (own >= 0) & (before >= 0)
+        marked, times = np.unique((before[good] * size + own[good]) * 2 + ~np.repeat(held, lengths)[good], return_counts=True)
+        pair = marked >> 1
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
+        n = np.add.reduceat(times * (marked & 1), starts) if len(starts) else times
+        pair = pair[starts]
+        a, b = np.append(id_, START)[pair // size], pair % size
+        return pa.Table.from_arrays([pa.array(x.astype(np.int64)) for x in (np.full(len(pair), key[0].as_py()), pair, a, id_[b], c[b], n)], schema=_PAIRS)
+
+    rows = made.select("block", "ids", "lengths", "held").groupBy("block").cogroup(tokens_.select("block", "number", "id", "c").groupBy("block")).applyInArrow(count, PAIRS)
+    # a pair has a row a block at most, however common it is
+    own = Window.partitionBy("a", "b")
+    arcs = rows.withColumn("n", F.sum("n").over(own)).withColumn("first", F.col("block") == F.min("block").over(own)).where(F.col("n") >= least)
+    return stored(arcs.select("block", "pair", "a", "c", "n", "first"), "lm-arcs")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col: str = "text", most: int = MOST) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col: str = "text", most: int | None = None) -> DataFrame:
     """Scores of all rows of ``docs`` by a model of those that are not held out.
 
     Returns doc_id, held_out, n_tokens (the end counts), n_known, train_tokens, base_score (add-one unigrams) and score
     (the automaton). Null texts are empty: their only token is the end. Repeated rows count as often as they come.
     If all rows are held out, every token is unknown and both scores are those of one unseen word. Other columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. ``most``, if set, bounds contexts and arcs by counting only those of a share
+    of ``1 / most`` of the tokens.
     """
     made = blocks(docs, held_out, id_col=id_col, text_col=text_col)
     tokens_ = unigrams(made)
     total, distinct = tokens_.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    least = max(2, -(-total // most))
-    common = tokens_.where(F.col("first") & (F.col("c") >= least)).select("token", "c").toPandas().sort_values(["c", "token"], ascending=[False, True])  # total / least rows at most
-    contexts, counts = common["token"].tolist(), common["c"].to_numpy(np.int64)
-    # an end closes a text and is no context, but a word that arcs lead to
-    starts = int(counts[contexts.index(END)]) if END in contexts else 0
-    kept = bigrams(made, contexts).where(F.col("n") >= least).toPandas()  # again total / least rows at most
-    model = Automaton(contexts, counts, kept["arc"].to_numpy(np.int64), kept["n"].to_numpy(np.int64), max(starts, 1), total, distinct)
-    share, norm = docs.sparkSession.sparkContext.broadcast(model), total + distinct + 1
-
-    def rate(mine: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
-        automaton = share.value
-        out = []
-        for row in mine.to_dict("records"):
-            c = np.zeros(len(row["vocabulary"]), np.int64)
-            c[totals["number"].to_numpy()] = totals["c"].to_numpy()
-            ids, own, first, lengths = _stream(row, automaton.states)
-            ends = np.cumsum(lengths) - lengths
-            plain = (np.log10(c + 1.0) - np.log10(norm))[ids]
-            known = np.frombuffer(row["known"], np.uint8).astype(bool)
-            doc = pd.array(np.frombuffer(row["docs"], "<i8"), "Int64")
-            doc[~known] = pd.NA
-            out.append(pd.DataFrame({"doc_id": doc, "held_out": np.frombuffer(row["held"], np.uint8).astype(bool), "n_tokens": lengths, "n_known": np.add.reduceat((c > 0)[ids].astype(np.int64), ends), "train_tokens": total, "base_score": np.add.reduceat(plain, ends), "score": np.add.reduceat(automaton.run(own, first, plain), ends)}))
-        return pd.concat(out) if out else pd.DataFrame({k.split()[0]: [] for k in SCORES.split(", ")})
-
-    return made.groupBy("block").cogroup(tokens_.select("block", "number", "c").groupBy("block")).applyInPandas(rate, SCORES)
+    least = LEAST if most is None else max(LEAST, -(-total // most))
+    norm = total + distinct + 1
+    # an end closes a text and is no context, but a word that arcs lead to; there are as many as starts
+    texts = tokens_.where(F.col("first") & (F.col("token") == END)).agg(F.coalesce(F.max("c"), F.lit(0))).first()[0]
+    arcs = bigrams(made, tokens_, least)
+    left = arcs.where("first").groupBy("a").agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("mass"), F.sum(F.col("c") + 1).alias("under"))
+    free = lambda share: F.log10(F.greatest(F.lit(1.0) - share, F.lit(1e-12)))
+    failure = lambda seen: free(F.col("mass") / seen) - free(F.col("under") / F.lit(norm))
+    start = left.where(F.col("a") == START).select(failure(F.lit(max(texts, 1)))).first()
+    start = start[0] if start else 0.0
+    own = tokens_.select("block", "number", "id", "c").join(left.where(F.col("a") != START).withColumnRenamed("a", "id"), "id", "left")
+    own = own.select("block", F.col("number").cast("long").alias("number"), "c", F.coalesce(failure(F.col("c")), F.lit(0.0)).alias("failure"))
+    # an arc's number is below zero, a token's is not
+    known = own.unionByName(arcs.select("block", (-1 - F.col("pair")).alias("number"), F.col("n").alias("c"), F.lit(0.0).alias("failure")))
+
+    def rate(mine: pa.Table, totals: pa.Table) -> pa.Table:
+        is_arc = pc.less(totals["number"], 0)
+        mine_arcs, words = totals.filter(is_arc), totals.filter(pc.invert(is_arc))
+        c, pair = _by_number(words, "c", np.int64), -1 - mine_arcs["number"].to_numpy()
+        seen = np.append(c, max(texts, 1)).astype(float)
+        weights = np.log10((mine_arcs["c"].to_numpy() - DISCOUNT) / seen[pair // len(seen)])
+        model = Automaton.part(pair, weights, np.append(_by_number(words, "failure", float), start))
+        ids, first, lengths, held = _stream(mine)
+        ends = np.cumsum(lengths) - lengths
+        plain = (np.log10(c + 1.0) - np.log10(norm))[ids]
+        states = np.where(c >= least, np.arange(len(c)), -1)[ids]
+        doc = pa.array(np.frombuffer(mine["docs"][0].as_py(), "<i8"), mask=np.frombuffer(mine["known"][0].as_py(), np.uint8) == 0)
+        columns = [doc, held, lengths, np.add.reduceat((c > 0)[ids].astype(np.int64), ends), np.full(len(ends), total, np.int64), np.add.reduceat(plain, ends), np.add.reduceat(model.run(states, first, plain), ends)]
+        return pa.Table.from_arrays([pa.array(x) for x in columns], names=[k.split()[0] for k in SCORES.split(", ")])
+
+    return made.select("block", "ids", "docs", "known", "lengths", "held").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(rate, SCORES)

@@ -121,6 +121,16 @@ def test_scores_of_odd_rows(spark):
     assert lm.score(docs.limit(0), langid.held_out("doc_id", 7, 2)).count() == 0
 
 
+def test_the_model_keeps_rare_pairs_of_a_large_corpus(spark):
+    """More tokens than twice ``MOST``: a pair seen twice still has an arc, though a token in 2**18 occurs thrice."""
+    rows = [(i, "v " * 50_000) for i in range(16)] + [(20 + i, f"left{i} right{i} left{i} right{i}") for i in range(40)] + [(99, "left3 right3 right3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm.score(docs, langid.held_out("doc_id", 7, 2)).collect()
+    expected, arcs, *_ = brute_scores(rows, most=10**9)
+    assert sum(n == 2 for n in arcs.values()) > 30
+    close([tuple(r) for r in got], expected)
+
+
 def test_a_state_gives_probabilities_that_sum_to_one():
     model = lm.Automaton(["a", "b", "\n"], np.array([6, 4, 3]), np.array([0 * 4 + 1, 0 * 4 + 0, 3 * 4 + 0]), np.array([3, 2, 2]), 3, 20, 5)
     counts = np.array([6, 4, 3, 5, 2])  # two more words that are no contexts
