@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEGMENT = 2048
-#: Symbols: 0 is a gap between words, 1 a letter that the samples do not have; the rest are their commonest letters.
-SYMBOLS = 64
+#: Entries of a full table; a language whose letters and states make more keeps its arcs as a sorted list.
+FULL = 1 << 23
 UNKNOWN = "und"
 
 
 class Alphabet:
-    """Maps code points of lower-case text to symbols."""
+    """Maps code points of lower-case text to symbols: 0 is a gap between words, 1 a letter that no sample has; each
+    letter of the samples has its own."""
 
     def __init__(self, samples: dict[str, str]) -> None:
         counts: dict[str, int] = {}
@@ -35,9 +37,9 @@ class Alphabet:
             for c in text.lower():
                 if c.isalpha():
                     counts[c] = counts.get(c, 0) + 1
-        common = sorted(counts, key=lambda c: (-counts[c], c))[: SYMBOLS - 2]
-        self.symbol = {c: i + 2 for i, c in enumerate(common)}
-        self.table = np.full(0x110000, 255, np.uint8)  # 255: not looked at yet
+        self.symbol = {c: i + 2 for i, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c)))}
+        self.size = len(self.symbol) + 2
+        self.table = np.full(0x110000, -1, np.int32)  # -1: not looked at yet
         for c, i in self.symbol.items():
             self.table[ord(c)] = i
 
@@ -45,7 +47,7 @@ class Alphabet:
         """Symbols of ``text``: one gap for each run of other signs than letters, none at the ends."""
         points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
         out = self.table[points]
-        if (new := out == 255).any():
+        if (new := out < 0).any():
             for p in np.unique(points[new]).tolist():
                 self.table[p] = 1 if chr(p).isalpha() else 0
             out = self.table[points]
@@ -55,11 +57,28 @@ class Alphabet:
         return out[int(len(out) > 0 and out[0] == 0) : len(out) - int(len(out) > 0 and out[-1] == 0)]
 
 
-def automaton(symbols: list[int]) -> np.ndarray:
-    """Table of the suffix automaton of ``symbols``: at state * SYMBOLS + symbol, twice the next state's row.
+class Arcs(NamedTuple):
+    """Arcs of a suffix automaton.
 
-    Where the state has no such arc, the entry is odd: a phrase ends, and the next one has begun with this symbol.
+    ``column`` has the language's own column of each symbol; letters that it does not have share column 0. ``table`` has,
+    at state * columns + column, twice the next state's row; it is odd where the state has no such arc: a phrase ends,
+    and the next one has begun with this symbol. With many letters ``table`` is for the root alone, and ``keys`` and
+    ``to`` are the sorted places and the entries of all other states' arcs.
     """
+
+    column: np.ndarray
+    columns: int
+    table: np.ndarray
+    keys: np.ndarray | None
+    to: np.ndarray | None
+
+
+def automaton(symbols: list[int], size: int, full: int = FULL) -> Arcs:
+    """The suffix automaton of ``symbols``, which are less than ``size``."""
+    own = sorted(set(symbols))
+    column = np.zeros(size, np.int32)
+    column[own] = np.arange(1, len(own) + 1)
+    symbols, columns = column[symbols].tolist() if symbols else [], len(own) + 1
     arcs: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -85,25 +104,38 @@ def automaton(symbols: list[int]) -> np.ndarray:
                     arcs[p][c] = copy
                     p = link[p]
         last = new
-    root = np.array([2 * SYMBOLS * arcs[0].get(c, 0) + 1 for c in range(SYMBOLS)], np.int32)
-    table = np.tile(root, (len(arcs), 1))
+    root = np.array([2 * columns * arcs[0].get(c, 0) + 1 for c in range(columns)], np.int64)
+    if len(arcs) * columns > full:
+        places = sorted((state * columns + c, 2 * columns * to) for state, out in enumerate(arcs) if state for c, to in out.items())
+        keys, to = np.array(places, np.int64).reshape(-1, 2).T.copy()
+        return Arcs(column, columns, root, keys, to)
+    table = np.tile(root.astype(np.int32), (len(arcs), 1))
     for state, out in enumerate(arcs):
         for c, to in out.items():
-            table[state, c] = 2 * SYMBOLS * to
+            table[state, c] = 2 * columns * to
     table[0, :] |= 1  # the root stands for the end of a phrase that could not begin
-    return table.ravel()
+    return Arcs(column, columns, table.ravel(), None, None)
 
 
-def phrases(table: np.ndarray, segments: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def phrases(arcs: Arcs, segments: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Number of phrases of each column of ``segments``, whose columns are in descending order of ``lengths``."""
+    table, keys = arcs.table, arcs.keys
+    segments = arcs.column[segments]
     count = np.zeros(segments.shape[1], np.int32)
-    state = np.zeros(segments.shape[1], np.int32)
+    state = np.zeros(segments.shape[1], table.dtype)
     live = np.searchsorted(-lengths, -np.arange(segments.shape[0]), "left")
     for step in range(segments.shape[0]):
         n = live[step]
         if not n:
             break
-        to = table[state[:n] + segments[step, :n]]
+        if keys is None:
+            to = table[state[:n] + segments[step, :n]]
+        else:
+            to, place = table[segments[step, :n]], state[:n] + segments[step, :n]
+            at = np.searchsorted(keys, place)
+            at[at == len(keys)] = 0
+            if len(keys):
+                to = np.where(keys[at] == place, arcs.to[at], to)
         count[:n] += to & 1
         state[:n] = to >> 1
     return count
@@ -116,7 +148,7 @@ class Model:
         self.alphabet = Alphabet(samples)
         self.langs = sorted(samples)
         encoded = [self.alphabet.encode(samples[k]) for k in self.langs]
-        self.tables = [automaton(x.tolist()) for x in encoded]
+        self.tables = [automaton(x.tolist(), self.alphabet.size) for x in encoded]
         self.bits = np.array([math.log2(len(x) + 2) for x in encoded])
 
     def entropies(self, texts: list[str], group: int = 2048) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +161,7 @@ class Model:
         order = np.argsort(-sizes, kind="stable")
         for i in range(0, len(order), group):
             some = order[i : i + group]
-            grid = np.zeros((sizes[some[0]], len(some)), np.uint8)
+            grid = np.zeros((sizes[some[0]], len(some)), np.int32)
             for k, j in enumerate(some.tolist()):
                 grid[: sizes[j], k] = pieces[j]
             for k, table in enumerate(self.tables):
@@ -154,13 +186,19 @@ class Model:
         return [self.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), n.tolist(), strict=True)], np.where(n > 0, score, 0.0).tolist()
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter of any script."""
+    return text.rlike(r"\p{L}")
+
+
 def samples(labelled: DataFrame, *, text_col: str, lang_col: str, key: Column, rows: int, chars: int) -> dict[str, str]:
     """Labelled text of each language: whole texts, in the order of a hash of their key, up to ``chars`` symbols.
 
     Only a share of the rows of each language that holds about twice ``rows`` is ordered, so a common language does
-    not land in one task; at most ``rows`` rows of each come to the driver. Longer texts are cut, here alone.
+    not land in one task; at most ``rows`` rows of each come to the driver. Longer texts are cut, here alone. Texts
+    without a letter teach nothing and are left out.
     """
-    ranked = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & (F.length(text_col) >= 20)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key, F.lit("sample")).alias("h"))
+    ranked = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & has_letter(F.col(text_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key, F.lit("sample")).alias("h"))
     counts = ranked.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return {}
@@ -220,4 +258,4 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-__all__ = ["Model", "held_out", "identify", "learn", "samples"]
+__all__ = ["Model", "has_letter", "held_out", "identify", "learn", "samples"]

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicframe.llm.common import small
-from civicframe.llm.langid import UNKNOWN, identify, learn
+from civicframe.llm.langid import UNKNOWN, has_letter, identify, learn
 from civicframe.llm.mixing import mix
 from civicframe.llm.neardup import near_duplicates
 
 
 def with_language(docs: DataFrame) -> DataFrame:
-    """Drop documents in which no language can be told (no letters); name the language of those without one."""
+    """Drop documents without a letter; name the language of those without one, as far as languages are learned."""
     judged = identify(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, learn(docs, held_out=F.lit(False)))
-    kept = judged.where(F.col("lang_pred") != UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    kept = judged.where((F.col("lang_pred") != UNKNOWN) | has_letter(F.col("text"))).withColumn("lang", F.coalesce("lang", F.nullif("lang_pred", F.lit(UNKNOWN)))).drop("lang_pred", "score")
     return (kept.withColumnRenamed("_score", "score") if "score" in docs.columns else kept).select(*docs.columns)
 
 

@@ -254,6 +254,11 @@ def test_stages_of_odd_rows(spark):
     assert mixed(docs).columns == docs.columns
 
 
+def test_texts_with_letters_stay_when_no_language_is_learned(spark):
+    docs = spark.createDataFrame([(1, "een huis", None), (2, "123", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [tuple(r) for r in with_language(docs).collect()] == [(1, "een huis", None)]
+
+
 def test_pipeline_equals_brute_force(spark, sf_dir):
     """Each stage on the output of the one before, the last one against the token files' own test."""
     import corpus_pipeline as c

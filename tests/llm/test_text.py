@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from civicframe.llm import chat, langid, lm
 from civicframe.llm.decontaminate import contamination, decontaminate
@@ -47,6 +48,33 @@ def test_long_texts_are_parsed_whole():
     assert langid.Model({}).predict(["abc"]) == (["und"], [0.0])
 
 
+def test_letters_of_many_scripts_stay_apart():
+    r = random.Random(5)
+    scripts = {"el": (0x3B1, 24), "ru": (0x430, 32), "en": (0x61, 26), "zh": (0x4E00, 3000), "ja": (0x5E00, 3000), "ko": (0xAC00, 3000)}
+    text = lambda k, n: "".join(" " if r.random() < 0.15 else chr(scripts[k][0] + r.randrange(scripts[k][1])) for _ in range(n))
+    learned = {k: text(k, 4000) for k in scripts}
+    model = langid.Model(learned)
+    assert any(t.keys is not None for t in model.tables) and any(t.keys is None for t in model.tables)
+    wanted = list(scripts) * 5
+    langs, scores = model.predict([text(k, 60) for k in wanted])
+    assert langs == wanted and min(scores) > 0.5
+
+
+def test_lists_of_arcs_parse_as_full_tables():
+    r = random.Random(7)
+    symbols = [r.randrange(6) for _ in range(500)]
+    grid = np.array([[r.randrange(8) for _ in range(50)] for _ in range(80)], np.int32)
+    sizes = np.full(50, 80)
+    full, lists = langid.automaton(symbols, 8), langid.automaton(symbols, 8, full=0)
+    assert full.keys is None and lists.keys is not None
+    assert langid.phrases(full, grid, sizes).tolist() == langid.phrases(lists, grid, sizes).tolist()
+
+
+def test_short_labelled_texts_are_learned_from(spark):
+    docs = spark.createDataFrame([(1, "een huis", "nl"), (2, "une maison", "fr"), (3, "12 34", "xx")], "doc_id long, text string, lang string")
+    assert langid.learn(docs, held_out=F.lit(False)) == {"nl": "een huis", "fr": "une maison"}
+
+
 def test_held_out_languages(spark, sf_dir):
     from civicframe.llm.queries import op6_langid
 
