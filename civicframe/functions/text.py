@@ -50,6 +50,21 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def seq_ratio_from(a: Column, b: Column, least: float) -> Column:
+    """:func:`seq_ratio` where it is ``least`` or more, else null; upper bounds spare the slow comparison of the rest."""
+
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        matcher, out = SequenceMatcher(None), []
+        for x, y in zip(a, b, strict=True):
+            matcher.set_seqs(x, y)
+            near = matcher.real_quick_ratio() >= least and matcher.quick_ratio() >= least and (r := matcher.ratio()) >= least
+            out.append(r if near else None)
+        return pd.Series(out, dtype="float64")
+
+    return ratio(a, b)
+
+
 def squeeze(text: Column) -> Column:
     """White space runs to one blank, none at the ends."""
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicframe.functions.text import link_words, prefix_overlap, seq_ratio
+from civicframe.functions.text import link_words, prefix_overlap, seq_ratio_from
 
 #: Words of titles that say nothing about the matter. Fixed values.
 LINK_STOP = ("goedkeuring", "vaststelling", "kennisname", "verwijzing", "gemeenteraad", "college", "aktename")
@@ -47,8 +47,14 @@ def link_attachments(attachments: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def fuzzy_match(hits: DataFrame, candidates: DataFrame, *, block: Column, hit_title: str, candidate_title: str, hit_id: str, candidate_id: str, least: float = 0.72) -> DataFrame:
-    """The most similar candidate of each hit inside a block, if its ratio is ``least`` or more; ties by id."""
-    pairs = hits.join(candidates, block).withColumn("ratio", seq_ratio(F.col(hit_title), F.col(candidate_title))).where(F.col("ratio") >= least)
+    """The most similar candidate of each hit inside a block, if its ratio is ``least`` or more; ties by id.
+
+    Candidates of one title are compared once, and lengths that no ratio of ``least`` allows not at all.
+    """
+    titles = candidates.where(F.col(candidate_title).isNotNull()).groupBy(block, candidate_title).agg(F.min(candidate_id).alias(candidate_id))
+    a, b = F.length(hit_title), F.length(candidate_title)
+    pairs = hits.join(titles, block).where(F.lit(2.0) * F.least(a, b) >= F.lit(least) * (a + b) - F.lit(1e-6))
+    pairs = pairs.withColumn("ratio", seq_ratio_from(F.col(hit_title), F.col(candidate_title), least)).where("ratio is not null")
     best = Window.partitionBy(hit_id).orderBy(F.col("ratio").desc(), candidate_id)
     return pairs.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").select(hit_id, candidate_id, F.round("ratio", 3).alias("ratio"))
 

@@ -216,7 +216,7 @@ def unique_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def fuzzy_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line most like each benchmark text, among those of the same first word."""
-    start = lambda df, i, t: df.select(F.col(i), norm_title(F.substring(t, 1, 80)).alias(f"{i}_title")).withColumn("block", F.substring_index(f"{i}_title", " ", 1))
+    start = lambda df, i, t: df.select(F.col(i), norm_title(F.get(F.split(t, "\n"), 0)).alias(f"{i}_title")).withColumn("block", F.substring_index(f"{i}_title", " ", 1))
     hits, docs = start(table(spark, sf_dir, "benchmark"), "item_id", "text"), start(table(spark, sf_dir, "documents"), "doc_id", "text")
     return linkage.fuzzy_match(hits, docs, block="block", hit_title="item_id_title", candidate_title="doc_id_title", hit_id="item_id", candidate_id="doc_id")
 

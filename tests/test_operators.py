@@ -1,6 +1,7 @@
 """Links, masks, gates, assembly, geometry and streams on small invented tables."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +171,26 @@ def test_streams(spark, tmp_path):
     for batch, rows in enumerate([[(1, "x"), (2, "y")], [(2, "z")]]):
         ingest.upsert_into(table, "id")(spark.createDataFrame(rows, "id int, v string"), batch)
     assert {r.id: r.v for r in ingest.current(spark, table, "id").collect()} == {1: "x", 2: "z"}
+
+
+def test_fuzzy_title_compares_whole_first_lines(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    from civicframe.plans.link_queries import fuzzy_title
+
+    r = random.Random(11)
+    some = lambda n: " ".join(r.choice("plan straat water school markt brug park fiets".split()) for _ in range(n))
+    head = "besluit " + some(16)
+    items = [(1, head + " " + some(30)), (2, "besluit kort\nmet veel tekst"), (3, "anders " + some(9)), (4, head)]
+    docs = [(10, head + " " + some(30)), (11, items[0][1] + " en"), (12, items[0][1] + " en"), (13, "besluit kort\nheel iets anders dan daar"), (14, items[2][1][:-3]), (15, "besluit kort met veel tekst"), (16, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    line = lambda t: t.split("\n")[0]
+    expected = []
+    for i, t in items:
+        near = [(-SequenceMatcher(None, line(t), line(u)).ratio(), d) for d, u in docs if u is not None and line(u).split()[0] == line(t).split()[0]]
+        best, d = min(near)
+        if -best >= 0.72:
+            expected.append((i, d, round(-best, 3)))
+    got = sorted(tuple(x) for x in fuzzy_title(spark, str(tmp_path)).collect())
+    assert got == expected and (1, 11) in [x[:2] for x in got]
