@@ -71,12 +71,21 @@ def search(items: DataFrame, id_col: str, terms: list[str], full: Column, visibl
     return found.select("id", all_in(F.col("_front")).alias("hit_visible"))
 
 
-def synonym_search(index: DataFrame, groups: DataFrame, term: str) -> DataFrame:
-    """Items of a term and of the words of its groups (rows word, group); rank 0 for direct hits, 1 for synonyms."""
+def _wanted(groups: DataFrame, term: str) -> DataFrame:
+    """Rows (token, rank): the term, and the other words of its groups."""
     mine = groups.where(F.col("word") == term).select("group")
     also = groups.join(mine, "group", "left_semi").where(F.col("word") != term).select(F.col("word").alias("token"), F.lit(1).alias("rank"))
-    wanted = also.distinct().unionByName(index.sparkSession.createDataFrame([(term, 0)], "token string, rank int"))
-    return index.join(F.broadcast(wanted), "token").select(F.explode("items").alias("id"), "rank").groupBy("id").agg(F.min("rank").alias("rank"))
+    return also.distinct().unionByName(groups.sparkSession.createDataFrame([(term, 0)], "token string, rank int"))
+
+
+def synonym_items(tokens: DataFrame, groups: DataFrame, term: str) -> DataFrame:
+    """:func:`synonym_search` on item tokens (id, token): no posting list, so a word may be as common as it is."""
+    return tokens.join(F.broadcast(_wanted(groups, term)), "token").groupBy("id").agg(F.min("rank").alias("rank"))
+
+
+def synonym_search(index: DataFrame, groups: DataFrame, term: str) -> DataFrame:
+    """Items of a term and of the words of its groups (rows word, group); rank 0 for direct hits, 1 for synonyms."""
+    return index.join(F.broadcast(_wanted(groups, term)), "token").select(F.explode("items").alias("id"), "rank").groupBy("id").agg(F.min("rank").alias("rank"))
 
 
 def compounds(vocabulary: DataFrame, term: str, false_compounds: list[str] = ()) -> DataFrame:

@@ -88,8 +88,7 @@ GROUPS = [("the", "a"), ("and", "a"), ("thnd", "a"), ("oning", "b"), ("haea", "b
 )
 def search_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of a word or of one of its synonyms."""
-    built = index.inverted_index(_tokens(spark, sf_dir), max_items=1_000_000)
-    return index.synonym_search(built, spark.createDataFrame(GROUPS, "word string, group string"), "oning")
+    return index.synonym_items(_tokens(spark, sf_dir), spark.createDataFrame(GROUPS, "word string, group string"), "oning")
 
 
 @query(

@@ -194,3 +194,13 @@ def test_fuzzy_title_compares_whole_first_lines(spark, tmp_path):
             expected.append((i, d, round(-best, 3)))
     got = sorted(tuple(x) for x in fuzzy_title(spark, str(tmp_path)).collect())
     assert got == expected and (1, 11) in [x[:2] for x in got]
+
+
+def test_search_synonyms_has_no_limit_of_documents(spark, sf_dir):
+    from civicframe.plans.search_queries import search_synonyms
+
+    plan = search_synonyms(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "1000000" not in plan
+    tokens = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (3, "c")], "id long, token string")
+    groups = spark.createDataFrame([("a", "g"), ("b", "g"), ("c", "h")], "word string, group string")
+    assert sorted(tuple(r) for r in index.synonym_items(tokens, groups, "a").collect()) == [(1, 0), (2, 1)]
