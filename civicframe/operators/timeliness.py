@@ -33,6 +33,11 @@ def late_list(documents: DataFrame, *by: str, day: str = "session") -> DataFrame
     return documents.where(F.col("status") == "te-laat").groupBy(*by).agg(F.count("*").alias("n_late"), rows.alias("late"))
 
 
+def late_summary(documents: DataFrame, *by: str, day: str = "session") -> DataFrame:
+    """Number of late documents, their first day and longest delay, per group; no list is gathered."""
+    return documents.where(F.col("status") == "te-laat").groupBy(*by).agg(F.count("*").alias("n_late"), F.min(day).alias("first_day"), F.max("late_days").alias("longest"))
+
+
 def disagreements(computed: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose recomputed status is not the stored one."""
     return computed.join(stored.withColumnRenamed("status", "stored_status"), keys).where(~F.col("status").eqNullSafe(F.col("stored_status")))

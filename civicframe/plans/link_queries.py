@@ -62,8 +62,7 @@ def ontime_crosscheck(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def late_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late decisions per priority: number, first day and longest delay of the list."""
-    late = timeliness.late_list(timeliness.judged(_documents(spark, sf_dir, "besluiten")), "o_orderpriority")
-    return late.select("o_orderpriority", "n_late", F.get("late", 0)["day"].alias("first_day"), F.array_max(F.transform("late", lambda x: x["late_days"])).alias("longest"))
+    return timeliness.late_summary(timeliness.judged(_documents(spark, sf_dir, "besluiten")), "o_orderpriority")
 
 
 @query("SELECT o_orderkey, o_orderdate::DATE AS session, o_orderstatus FROM orders WHERE o_orderdate::DATE >= DATE '1998-01-01' ORDER BY CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END, 2, 1 LIMIT 1")

@@ -204,3 +204,9 @@ def test_search_synonyms_has_no_limit_of_documents(spark, sf_dir):
     tokens = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (3, "c")], "id long, token string")
     groups = spark.createDataFrame([("a", "g"), ("b", "g"), ("c", "h")], "word string, group string")
     assert sorted(tuple(r) for r in index.synonym_items(tokens, groups, "a").collect()) == [(1, 0), (2, 1)]
+
+
+def test_late_lists_gathers_no_list(spark, sf_dir):
+    from civicframe.plans.link_queries import late_lists
+
+    assert "collect_list" not in late_lists(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
