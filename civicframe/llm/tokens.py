@@ -11,11 +11,13 @@ ids; then the words. All little-endian.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2)
 #: Selector of one id of 60 bits is folded into the escape, which takes 64 bits in a word of its own.
 ESCAPE = 15
 _BITS = tuple(0 if i < 2 else 60 // n for i, n in enumerate(COUNTS))
+_SIGNS = string.punctuation
 _WIDTHS = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 
 
@@ -140,55 +143,101 @@ def blocks(f, size: int) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
         yield [x if k else None for x, k in zip(doc_ids, known, strict=True)], np.split(values, np.cumsum(lengths)[:-1]) if docs else []
 
 
-def word_encoder(path: str, marker: str, keep: int = 1 << 20) -> Callable[[list[str]], list[np.ndarray]]:
-    """A function from texts to token ids, for a tokenizer that drops white space and joins nothing across it.
+#: What the tokenizer splits words into before it merges; a fixed value of the vocabulary file.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Bytes that byte-level vocabularies write as another sign: those that can't be printed, in turn from 256 on.
+_SHOWN = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+_ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+_controls, _marks = re.compile("[\x1c-\x1f]").search, re.compile("[\u0300-\u036f]").search
+_words = re.compile(r"[^\x20\x09-\x0D]+").findall
 
-    Each distinct string between white space is encoded by the library once and kept, so that a batch of texts costs
-    a look-up a word; ``keep`` bounds the memory. New words go to the library many at a time, with the word
-    ``marker``, which is one token, between them; a word that may hold that token goes alone. The result equals that
-    of encoding whole texts.
+
+class WordEncoder:
+    """Texts to token ids, for a tokenizer that drops white space, lower-cases and joins nothing across white space.
+
+    Each distinct string between white space is encoded once and kept, so that a text costs a look-up a word. A new word
+    is put together from pieces, as the tokenizer would split it, and each new piece goes to the library once. Words
+    whose split isn't plain (marks that combine, control strings of the vocabulary) go to the library as they are. The
+    result equals that of encoding whole texts. ``keep`` bounds each of the two stores.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-    ids_of = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-    (between,) = ids_of(marker)
-    controls, find = re.compile("[\x1c-\x1f]").search, re.compile(r"[^\x20\x09-\x0D]+").findall
-    known: dict[str, bytes] = {}
-
-    def learn(new: list[str]) -> None:
-        plain = [w for w in new if marker not in w.lower()]
-        if len(plain) < len(new):
-            known.update((w, ids_of(w).tobytes()) for w in set(new).difference(plain))
-        for i in range(0, len(plain), 8192):
-            part, start = plain[i : i + 8192], 0
-            ids = ids_of(f" {marker} ".join(part))
-            ends = [*np.flatnonzero(ids == between).tolist(), len(ids)]
-            if len(ends) != len(part):
-                raise ValueError(f"{marker!r} is no good marker for these texts")
-            for w, end in zip(part, ends, strict=True):
-                known[w] = ids[start:end].tobytes()
-                start = end + 1
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        if len(known) > keep:
-            known.clear()
-        split = [find(x) if controls(x) else x.split() for x in texts]  # str.split also cuts at four control codes
-        learn(list({w for ws in split for w in ws}.difference(known)))
+
+    def __init__(self, path: str, keep: int = 1 << 20) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.library, self.keep = Tokenizer.from_file(path), keep
+        self.library.no_padding()
+        self.library.no_truncation()
+        self.plain = PIECES in [x.get("pattern", {}).get("Regex") for x in json.loads(self.library.to_str())["pre_tokenizer"].get("pretokenizers", [])]
+        self.model = self.library.model
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.library.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if piece.isascii() and piece.isprintable():
+                ids = np.array([t.id for t in self.model.tokenize(piece)], np.uint32).tobytes()
+            elif self.plain and piece.isalpha() and max(piece) <= "\xff":  # one letter a sign, composed, however small
+                shown = piece.lower().encode().decode("latin-1").translate(_SHOWN)
+                ids = np.array([t.id for t in self.model.tokenize(shown)], np.uint32).tobytes()
+            else:
+                ids = self._whole(piece)
+            self.pieces[piece] = ids
+        return ids
+
+    def _learn(self, word: str) -> bytes:
+        if not self.plain or "<|" in word:
+            return self._whole(word)
+        if word.isascii():
+            return b"".join([self._piece(p) for p in _ascii_pieces(word.lower())])
+        # letters with other signs of ASCII around them; an apostrophe before a letter may belong to it
+        start = word.lstrip(_SIGNS.replace("'", ""))
+        core = start.rstrip(_SIGNS)
+        if core.isalpha():
+            return b"".join([self._piece(p) for p in (word[: len(word) - len(start)], core, start[len(core) :]) if p])
+        return self._piece(word)
+
+    def split(self, text: str) -> list[str]:
+        """Strings between white space, A-Z in lower case where that can't matter."""
+        if "<|" not in text and (text.isascii() or not _marks(text)):  # a small letter may join with a mark where its capital doesn't
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        return _words(text) if _controls(text) else text.split()  # str.split also cuts at four control codes
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if len(self.words) > self.keep:
+            self.words.clear()
+        if len(self.pieces) > self.keep:
+            self.pieces.clear()
+        split, known = [self.split(x) for x in texts], self.words
+        for word in set().union(*split).difference(known):
+            known[word] = self._learn(word)
         return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in split]
 
-    return encode
+
+encoders: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a vocabulary file that this worker process holds, so that later tasks find its words."""
+    from civicframe.llm import tokens  # the module's own store, also for functions that were sent to a worker by value
+
+    if path not in tokens.encoders:
+        tokens.encoders[path] = WordEncoder(path)
+    return tokens.encoders[path]
 
 
-def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int, marker: str, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None, block_docs: int = 512) -> DataFrame:
+def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None, block_docs: int = 512) -> DataFrame:
     """Encode the texts and write their ids in ascending ``id_col`` order; return (part, path, size, docs, ids).
 
     Null texts count as empty; each document ends with ``end_id``. Rows with a null id come first; rows with equal ids
-    are ordered by their text. Other columns are ignored. An empty table gives an empty list. The texts are dealt by
-    ranges of the id, so each task writes a run of the corpus. Files of attempts that did not count are not listed.
+    are ordered by a hash of their text. Other columns are ignored. An empty table gives an empty list. The texts are
+    dealt by ranges of id and hash, so each task writes a run of the corpus and rows that share an id, or have none, are
+    dealt over tasks too. Files of attempts that did not count are not listed.
     """
     tasks = tasks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -203,7 +252,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int,
             if out is None:
                 fs.create_dir(base, recursive=True)
                 path = f"{base}/part-{part:05d}-{uuid.uuid4().hex}.s8b"
-                out, encode = fs.open_output_stream(path, compression=None), word_encoder(tokenizer_path, marker)
+                out, encode = fs.open_output_stream(path, compression=None), word_encoder(tokenizer_path)
             doc_ids = batch.column(0).to_pylist()
             for i in range(0, len(doc_ids), block_docs):
                 ids = [np.append(x, np.uint32(end_id)) for x in encode(batch.column(1).slice(i, block_docs).to_pylist())]
@@ -217,7 +266,8 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int,
             out.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "size": [size + len(tail)], "docs": [count], "ids": [total]})
 
-    ranged = rows.repartitionByRange(tasks, "id").sortWithinPartitions("id", "text")
+    order = ["id", F.xxhash64("text")]
+    ranged = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order, "text")
     return stored(ranged.mapInArrow(write, "part long, path string, size long, docs long, ids long"), "token-files")
 
 

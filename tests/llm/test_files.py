@@ -9,8 +9,10 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from civicframe.llm import tokens, warc
@@ -90,13 +92,29 @@ def test_word_by_word_equals_whole_texts(spark, sf_dir):
     library = Tokenizer.from_file(VOCABULARY)
     texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     texts += ["a<|endoftext|>b <|startoftext|>", "x́ ́y　z\x1cq\x85w\xa0e", "don't WE'LL ΑΣ ΑΣ. İI", "a\x00b", "photograph PHOTOGRAPHS.x photograph", ""]
-    encode = tokens.word_encoder(VOCABULARY, "photograph")
+    encode = tokens.word_encoder(VOCABULARY)
     assert [x.tolist() for x in encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aAzZtThHwWyY's'reDll 19.,!&<|>\u0308\u0307\u030aİΣßéÉ\x1c\x85\xa0")), max_size=40), max_size=8))
+def test_odd_words_equal_whole_texts(texts):
+    library = Tokenizer.from_file(VOCABULARY)
+    assert [x.tolist() for x in tokens.WordEncoder(VOCABULARY, keep=8)(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_rows_of_one_id_are_dealt_over_tasks(spark):
+    docs = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    uri = shared_path(spark, "t")
+    files = tokens.write_tokens(docs, uri, VOCABULARY, end_id=2, tasks=8)
+    assert files.agg(F.max("docs")).first()[0] < 1200
+    assert sorted(tuple(r) for r in tokens.read_tokens(files, uri).select("start", "n_tokens").collect())[-1][0] > 0
+
+
 def expected_tokens(rows):
     library, out, start = Tokenizer.from_file(VOCABULARY), [], 0
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    signed = lambda t: np.uint64(xxhash.xxh64((t or "").encode(), seed=42).intdigest()).astype(np.int64)
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1]))):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -114,7 +132,7 @@ def test_token_files_of_odd_rows(spark):
     rows = [(3, None), (1, ""), (1, "b b"), (1, "b b"), (None, "x"), (-5, "word " * 30_000)]
     uri = shared_path(spark, "t")
     docs = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, start long, part string")
-    back = tokens.read_tokens(tokens.write_tokens(docs, uri, VOCABULARY, end_id=2, marker="photograph", tasks=3, block_docs=2), uri)
+    back = tokens.read_tokens(tokens.write_tokens(docs, uri, VOCABULARY, end_id=2, tasks=3, block_docs=2), uri)
     assert sorted((tuple(r) for r in back.collect()), key=lambda r: r[1]) == expected_tokens(rows)
-    none = tokens.write_tokens(docs.limit(0), uri, VOCABULARY, end_id=2, marker="photograph")
+    none = tokens.write_tokens(docs.limit(0), uri, VOCABULARY, end_id=2)
     assert tokens.read_tokens(none, uri).count() == 0
