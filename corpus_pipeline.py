@@ -34,7 +34,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents, and what reads back from them."""
     uri = shared_path(spark, "tokens")
-    files = write_tokens(docs, uri, public_tokenizers.path("word_bpe_49k.json"), end_id=2, marker="photograph")
+    files = write_tokens(docs, uri, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_tokens(files, uri)
 
 
