@@ -1,42 +1,46 @@
-"""Language-model scores by a weighted backoff automaton.
-
-Texts are read once into blocks: token numbers of some hundred thousand tokens, with the block's own vocabulary. Each block
-sends every distinct token with its count once; the totals come back to the blocks by number. So the corpus is
-counted in full, whatever the vocabulary, and nobody holds all of it.
-
-The model is a bigram model over add-one unigrams. Tokens of ``LEAST`` occurrences are contexts; all bigrams that occur
-as often are arcs, discounted by ``DISCOUNT``. So the model grows with the corpus. It is never in one place: each block
-sends every pair of contexts in its texts with its count once; the totals and the failure weights come back to the
-blocks that hold the pair. A block then has all arcs and weights that its texts can take. States are the start, the
-contexts and the root. An arc from a state names a word and its log-probability; a word without one takes the
-state's failure arc, whose weight is the log of the mass left over the unigram mass of words without an arc, to the
-root, where every word has a weight. One pass from left to right carries the state and adds up weights. The
-probabilities of all words in a state sum to one, with one unseen word counted as known by the add-one rule.
+"""Language-model scores by a weighted backoff automaton of order 3.
+
+The model. Root, where each word has its add-one probability; a state for each word, and for the start of a text, and a
+state for each pair of words, if they occur ``LEAST`` times in the texts that are learned from. Every word that follows
+a state there is an arc, however rare. With n its count, c the state's and k the state's strength (``STRENGTH``), an arc
+weighs log10((n + k * p) / (c + k)), where p is the word's probability in the state that the failure arc leads to; the
+failure arc weighs log10(k / (c + k)). So the probabilities of all words in a state sum to one, with one unseen word
+counted as known by the add-one rule. A text is walked once from left to right: the automaton holds the state of the
+last two words; a word that has no arc there takes failure arcs, from the pair to the word and from the word to the
+root, until it has one. After a word the state is that of the longest of its endings that is a state.
+
+Counting. Texts are read once into blocks, files of token numbers of some million tokens with the block's own
+vocabulary. A block sends each distinct gram (a word, later a pair, then a triple) of its texts with its count once, as
+a 64-bit hash; the total comes back to it. Grams are dealt by ranges of the hash, so a range holds about as many grams
+as a block has, and a common gram is one entry a block. Nothing is dropped and nobody holds the whole model: a block
+gets the arcs and states that its own texts can take. The order of sending is that of the hash, so totals come
+back as bare numbers. Two grams that share a hash would share a count: of n grams about n ** 2 / 2 ** 65 pairs do.
 """
 
 from __future__ import annotations
 
+import io
+import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import stored
+from civicframe.llm.common import open_store, shared_path, stored
 
-#: Occurrences of a context and of an arc.
+#: Occurrences, in the texts learned from, of a word or a pair that is a state.
 LEAST = 2
-#: A bound on contexts and on arcs that a caller may set; none is set by default.
-MOST = 1 << 18
-#: Number of the start of a text among token ids.
-START = -1
-DISCOUNT = 0.5
+#: Weight of the lower order, in occurrences: in states of a word, and of a pair.
+STRENGTH = (500.0, 20.0)
 #: Tokens of a block, about.
-BLOCK = 1 << 21
+BLOCK = 1 << 22
+#: Key of the start of a text among the keys of words.
+START = np.uint64(0x5851F42D4C957F2D)
 END = "\n"  # no word holds white space
 
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,204 +53,244 @@ def tokens(text: str | None) -> list[str]:
     return [*_find(text.lower() if text.isascii() else text.translate(_UPPER)), END]
 
 
-BLOCKS = "block long, ids binary, vocabulary array<string>, counts binary, docs binary, known binary, lengths binary, held binary"
-_KINDS = [pa.int64(), pa.binary(), pa.list_(pa.string()), *[pa.binary()] * 5]
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes: those that are mostly zero take next to nothing."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def blocks(docs: DataFrame, held_out: Column, *, id_col: str, text_col: str, block: int = BLOCK) -> DataFrame:
-    """Blocks of token numbers; ``counts`` are those of the documents that are not held out."""
-    rows = docs.select(F.col(id_col).cast("long"), held_out.cast("boolean"), F.col(text_col))
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    """The numbers of :func:`packed`."""
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(memoryview(data)[8:], n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending hashes, as the steps between them."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    """The hashes of :func:`packed_keys`."""
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
+class Block:
+    """The texts of a block: ``ids`` are numbers in its vocabulary, whose ``keys`` are in ascending order."""
+
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, docs: np.ndarray, known: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> None:
+        self.ids, self.keys, self.docs, self.known, self.lengths, self.held = ids, keys, docs, known, lengths, held.astype(bool)
+        self.first = np.zeros(len(ids), bool)
+        self.first[np.cumsum(lengths) - lengths] = True
+        self.learned = ~np.repeat(self.held, lengths)
+
+    @classmethod
+    def of(cls, texts: list[tuple[int | None, bool, np.ndarray]], number: dict[str, int]) -> Block:
+        """A block of (id, held out, token numbers); ``number`` names the words in the order of their numbers."""
+        keys = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in number), np.uint64, len(number))
+        order = np.argsort(keys)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        docs, held, ids = zip(*texts, strict=True)
+        return cls(place[np.concatenate(ids)], keys[order], np.array([x or 0 for x in docs], np.int64), np.array([x is not None for x in docs], np.uint8), np.array([len(x) for x in ids], np.int64), np.array(held, np.uint8))
+
+    def write(self, fs, path: str) -> None:
+        """The block as a file."""
+        out = io.BytesIO()
+        parts = {"ids": packed(self.ids), "keys": packed_keys(self.keys), "docs": packed(self.docs), "known": packed(self.known), "lengths": packed(self.lengths), "held": packed(self.held)}
+        np.savez(out, **{k: np.frombuffer(v, np.uint8) for k, v in parts.items()})
+        with fs.open_output_stream(path, compression=None) as f:
+            f.write(out.getbuffer())
+
+    @classmethod
+    def read(cls, fs, path: str) -> Block:
+        """The block of a file."""
+        with fs.open_input_file(path) as f:
+            parts = np.load(io.BytesIO(f.read()))
+            kinds = {"ids": np.int32, "docs": np.int64, "known": np.uint8, "lengths": np.int64, "held": np.uint8}
+            return cls(keys=unpacked_keys(parts["keys"].tobytes()), **{k: unpacked(parts[k].tobytes(), t) for k, t in kinds.items()})
+
+
+def _joined(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of grams that put a word after others: a hash of both keys."""
+    x = (before ^ (before >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + word
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Walk:
+    """What the automaton meets at each token of a block, order by order from the word alone upwards.
+
+    ``c`` has, for each order above the first, the count of the state that the tokens before make (0: no state), and
+    ``n`` the count of the arc that the token takes there (0: none). ``totals`` are the answers of the lower orders.
+    """
+
+    def __init__(self, block: Block, starts: int, totals: list[np.ndarray]) -> None:
+        self.block = block
+        self.gram_keys, self.place, self.live = block.keys, block.ids, None  # of the order that is asked for next
+        self.c: list[np.ndarray] = []
+        self.n: list[np.ndarray] = [totals[0][block.ids]] if totals else []
+        key = block.keys[block.ids]
+        for order in range(2, min(len(totals), len(STRENGTH)) + 2):
+            before = np.empty(len(key), np.int64)
+            before[1:] = self.n[-1][:-1]
+            before[block.first] = starts if order == 2 else 0
+            state = np.where(before >= LEAST, before, 0)
+            self.c.append(state)
+            history = np.empty(len(key), np.uint64)
+            history[1:] = key[:-1] if order == 2 else self._keys[:-1]
+            history[block.first] = START
+            self._keys = _joined(history, block.keys[block.ids])
+            self.live = state > 0
+            self.gram_keys, self.place = np.unique(self._keys[self.live], return_inverse=True)
+            if order <= len(totals):
+                self.n.append(np.zeros(len(key), np.int64))
+                self.n[-1][self.live] = totals[order - 1][self.place]
+
+    def counts(self) -> np.ndarray:
+        """How often each of ``gram_keys`` is in the texts learned from."""
+        learned = self.block.learned if self.live is None else self.block.learned[self.live]
+        return np.bincount(self.place[learned], minlength=len(self.gram_keys)).astype(np.int64)
+
+    def weights(self, norm: int) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probabilities of the tokens at the root, and in the state that the walk is in."""
+        p = [(self.n[0] + 1.0) / norm]
+        for k, c, n in zip(STRENGTH, self.c, self.n[1:], strict=True):
+            p.append(np.where(c > 0, (n + k * p[-1]) / (c + k), p[-1]))
+        root, total = np.log10(p[0]), np.zeros(len(p[0]))
+        waits = np.ones(len(total), bool)
+        for k, c, n, arc in zip(reversed(STRENGTH), reversed(self.c), reversed(self.n), reversed(p), strict=False):
+            in_state = waits & (c > 0)
+            taken, failed = in_state & (n > 0), in_state & (n == 0)
+            total[taken] += np.log10(arc[taken])
+            total[failed] += np.log10(k / (c[failed] + k))
+            waits &= ~taken
+        total[waits] += root[waits]
+        return root, total
+
+
+FILES = "block string, path string, tokens long, starts long"
+
+
+def blocks(docs: DataFrame, held_out: Column, *, id_col: str, text_col: str, block: int = BLOCK) -> tuple[DataFrame, str]:
+    """Write the texts as block files. Returns their list, with ``starts``, the texts learned from, and their folder."""
+    rows = docs.select(F.col(id_col).cast("long"), F.coalesce(held_out.cast("boolean"), F.lit(False)), F.col(text_col))
+    uri = shared_path(docs.sparkSession, "lm-blocks")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n = TaskContext.get().partitionId(), 0
+        fs, base = open_store(uri)
         number: dict[str, int] = {}
-        parts: list[np.ndarray] = []
-        docs, held, lengths = [], [], []
+        texts: list[tuple[int | None, bool, np.ndarray]] = []
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal number, parts, docs, held, lengths, n
-            ids, sizes = np.concatenate(parts), np.array(lengths, np.int64)
-            train = ~np.repeat(np.array(held, bool), sizes)
-            counts = np.bincount(ids[train], minlength=len(number)).astype("<i8")
-            row = [(part << 32) + n, ids.astype("<i4").tobytes(), list(number), counts.tobytes(), np.array([x or 0 for x in docs], "<i8").tobytes(), np.array([x is not None for x in docs], np.uint8).tobytes(), sizes.astype("<i8").tobytes(), np.array(held, np.uint8).tobytes()]
-            number, parts, docs, held, lengths, n = {}, [], [], [], [], n + 1
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _KINDS, strict=True)], ["block", "ids", "vocabulary", "counts", "docs", "known", "lengths", "held"])
+            nonlocal number, texts, size
+            fs.create_dir(base, recursive=True)
+            name = uuid.uuid4().hex  # a file of an attempt that did not count is not in the list
+            Block.of(texts, number).write(fs, f"{base}/{name}")
+            row = {"block": [name], "path": [f"{base}/{name}"], "tokens": [size], "starts": [sum(not held for _, held, _ in texts)]}
+            number, texts, size = {}, [], 0
+            return pa.RecordBatch.from_pydict(row)
 
-        size = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for doc, out, text in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
                     words = tokens(text)
                     for w in set(words).difference(number):
                         number[w] = len(number)
-                    parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-                    docs.append(doc)
-                    held.append(bool(out))
-                    lengths.append(len(words))
+                    texts.append((doc, out, np.fromiter(map(number.__getitem__, words), np.int32, len(words))))
                     size += len(words)
                     if size >= block:
                         yield flush()
-                        size = 0
-        if docs:
+        if texts:
             yield flush()
 
-    return stored(rows.mapInArrow(build, BLOCKS), "lm-blocks")
+    return stored(rows.mapInArrow(build, FILES), "lm-files"), uri
 
 
-def unigrams(made: DataFrame) -> DataFrame:
-    """Rows (block, number, token, id, c, first): each block's tokens with the totals of all blocks and an id for each token."""
+CHUNKS = "range int, block string, keys binary, counts binary"
+TOTALS = "block string, range int, gram int, totals binary, n long, v long"
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                name, vocabulary = batch.column(0)[i].as_py(), batch.column(1)[i].values
-                counts = np.frombuffer(batch.column(2)[i].as_py(), "<i8")
-                for at in range(0, len(counts), 1 << 16):
-                    some = counts[at : at + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), name, np.int64)), pa.array(np.arange(at, at + len(some)), pa.int32()), vocabulary.slice(at, len(some)), pa.array(some)], ["block", "number", "token", "n"])
-
-    rows = made.select("block", "vocabulary", "counts").mapInArrow(spread, "block long, number int, token string, n long").withColumn("id", F.monotonically_increasing_id())
-    # a token has a row a block at most, however common it is
-    own = Window.partitionBy("token")
-    return stored(rows.withColumn("c", F.sum("n").over(own)).withColumn("id", F.min("id").over(own)).withColumn("first", F.row_number().over(own.orderBy("block")) == 1).drop("n"), "lm-unigrams")
-
-
-class Automaton:
-    """States, arcs and failure weights; log10 throughout."""
-
-    def __init__(self, contexts: list[str], counts: np.ndarray, arcs: np.ndarray, arc_counts: np.ndarray, starts: int, total: int, distinct: int) -> None:
-        self.states = {w: i for i, w in enumerate(contexts)}
-        self.size = len(contexts) + 1  # the last state is the start of a text; its number stands for no word
-        self.norm = total + distinct + 1
-        context, word = arcs // self.size, arcs % self.size
-        seen = np.append(counts, starts).astype(float)
-        p = (arc_counts - DISCOUNT) / seen[context]
-        plain = (counts[word] + 1) / self.norm
-        mass, under = np.bincount(context, p, self.size), np.bincount(context, plain, self.size)
-        self.failure = np.log10(np.maximum(1 - mass, 1e-12)) - np.log10(np.maximum(1 - under, 1e-12))
-        order = np.argsort(arcs)
-        self.arcs, self.weights = arcs[order], np.log10(p[order])
 
-    @classmethod
-    def part(cls, arcs: np.ndarray, weights: np.ndarray, failure: np.ndarray) -> Automaton:
-        """The part of an automaton that a block needs: its numbers as states, weights and failures of the whole."""
-        self = cls.__new__(cls)
-        order = np.argsort(arcs)
-        self.size, self.failure, self.arcs, self.weights = len(failure), failure, arcs[order], weights[order]
-        return self
-
-    def run(self, states: np.ndarray, first: np.ndarray, plain: np.ndarray) -> np.ndarray:
-        """Weight of each token of a stream of texts: ``states`` has each token's own state or -1, ``first`` marks the
-        first tokens of texts, ``plain`` their weights at the root."""
-        before = np.empty_like(states)
-        before[1:] = states[:-1]
-        before[first] = self.size - 1
-        weight = plain.copy()
-        live = before >= 0
-        weight[live] += self.failure[before[live]]
-        both = np.flatnonzero(live & (states >= 0))
-        key = before[both] * self.size + states[both]
-        at = np.searchsorted(self.arcs, key)
-        at[at == len(self.arcs)] = 0
-        if len(self.arcs):
-            hit = self.arcs[at] == key
-            weight[both[hit]] = self.weights[at[hit]]
-        return weight
-
-
-def _stream(mine: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Token numbers, marks of first tokens, lengths of texts and marks of held-out texts of a block."""
-    ids, lengths, held = (np.frombuffer(mine[k][0].as_py(), t) for k, t in (("ids", "<i4"), ("lengths", "<i8"), ("held", np.uint8)))
-    first = np.zeros(len(ids), bool)
-    first[np.cumsum(lengths) - lengths] = True
-    return ids, first, lengths, held.astype(bool)
-
-
-def _by_number(totals: pa.Table, column: str, kind: type) -> np.ndarray:
-    """A column of a block's token rows in the order of their numbers."""
-    out = np.empty(totals.num_rows, kind)
-    out[totals["number"].to_numpy()] = totals[column].to_numpy()
-    return out
-
-
-PAIRS = "block long, pair long, a long, b long, c long, n long"
-_PAIRS = pa.schema([(x.split()[0], pa.int64()) for x in PAIRS.split(", ")])
-
-
-def bigrams(made: DataFrame, tokens_: DataFrame, least: int) -> DataFrame:
-    """Rows (block, pair, a, c, n, first) of the arcs: bigrams of ``least`` occurrences in the texts that are not held out.
-
-    A block that has the arc in any text has a row of it, with the block's own number of the pair, the context's id
-    (``START`` for the start of a text), the count of the second token and that of the bigram.
+def _answers(batch: pa.Table, orders: int) -> list[np.ndarray]:
+    """A block's totals of the first ``orders`` orders, in the order of its keys."""
+    rows = sorted(zip(batch["gram"].to_pylist(), batch["range"].to_pylist(), batch["totals"].to_pylist(), strict=True), key=lambda r: r[:2])
+    return [np.concatenate([unpacked(t, np.int64) for g, _, t in rows if g == k] or [np.zeros(0, np.int64)]) for k in range(1, orders + 1)]
+
+
+def _per_block(files: DataFrame, answers: DataFrame | None, work, schema: str) -> DataFrame:
+    """``work(path, answers)`` for each block, whose results are tables; ``answers`` has the totals so far, if any."""
+    if answers is None:
+
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for name, path in zip(batch["block"].to_pylist(), batch["path"].to_pylist(), strict=True):
+                    yield from work(name, path, None).to_batches()
+
+        spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism * 4, "block")
+        return spread.select("block", "path").mapInArrow(alone, schema)
+    both = lambda mine, totals: work(mine["block"][0].as_py(), mine["path"][0].as_py(), totals)
+    return files.select("block", "path").groupBy("block").cogroup(answers.select("block", "range", "gram", "totals").groupBy("block")).applyInArrow(both, schema)
+
+
+def totals(files: DataFrame, uri: str, answers: DataFrame | None, order: int, *, starts: int, bits: int) -> DataFrame:
+    """Totals of the grams of ``order`` words, over all blocks, for each block that has them: rows of ``TOTALS``.
+
+    ``n`` and ``v`` are the sum of the counts of a range and the number of its grams that were learned, once a range.
     """
 
-    def count(key: tuple, mine: pa.Table, totals: pa.Table) -> pa.Table:
-        ids, first, lengths, held = _stream(mine)
-        c, id_ = _by_number(totals, "c", np.int64), _by_number(totals, "id", np.int64)
-        size = len(c) + 1
-        own = np.where(c >= least, np.arange(len(c)), -1)[ids]
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[first] = size - 1
-        good = (own >= 0) & (before >= 0)
-        marked, times = np.unique((before[good] * size + own[good]) * 2 + ~np.repeat(held, lengths)[good], return_counts=True)
-        pair = marked >> 1
-        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
-        n = np.add.reduceat(times * (marked & 1), starts) if len(starts) else times
-        pair = pair[starts]
-        a, b = np.append(id_, START)[pair // size], pair % size
-        return pa.Table.from_arrays([pa.array(x.astype(np.int64)) for x in (np.full(len(pair), key[0].as_py()), pair, a, id_[b], c[b], n)], schema=_PAIRS)
-
-    rows = made.select("block", "ids", "lengths", "held").groupBy("block").cogroup(tokens_.select("block", "number", "id", "c").groupBy("block")).applyInArrow(count, PAIRS)
-    # a pair has a row a block at most, however common it is
-    own = Window.partitionBy("a", "b")
-    arcs = rows.withColumn("n", F.sum("n").over(own)).withColumn("first", F.col("block") == F.min("block").over(own)).where(F.col("n") >= least)
-    return stored(arcs.select("block", "pair", "a", "c", "n", "first"), "lm-arcs")
+    def ask(name: str, path: str, known: pa.Table | None) -> pa.Table:
+        fs, _ = open_store(uri)
+        walk = Walk(Block.read(fs, path), starts, [] if known is None else _answers(known, order - 1))
+        keys, counts = walk.gram_keys, walk.counts()
+        part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        cuts = np.searchsorted(part, np.arange((1 << bits) + 1)).tolist()
+        some = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        columns = [pa.array([r for r, *_ in some], pa.int32()), pa.array([name] * len(some), pa.string()), pa.array([packed_keys(keys[a:b]) for _, a, b in some], pa.binary()), pa.array([packed(counts[a:b]) for _, a, b in some], pa.binary())]
+        return pa.Table.from_arrays(columns, [c.split()[0] for c in CHUNKS.split(", ")])
+
+    def answer(asked: pa.Table) -> pa.Table:
+        chunks = [unpacked_keys(x) for x in asked["keys"].to_pylist()]
+        counts = np.concatenate([unpacked(x, np.int64) for x in asked["counts"].to_pylist()])
+        _, inverse = np.unique(np.concatenate(chunks), return_inverse=True)
+        total = np.bincount(inverse, counts).astype(np.int64)  # exact below 2 ** 53
+        back = np.split(total[inverse], np.cumsum([len(x) for x in chunks])[:-1])
+        m = len(chunks)
+        columns = [asked["block"].combine_chunks(), asked["range"].combine_chunks(), pa.array([order] * m, pa.int32()), pa.array([packed(x) for x in back], pa.binary()), pa.array([int(total.sum())] + [0] * (m - 1), pa.int64()), pa.array([int((total > 0).sum())] + [0] * (m - 1), pa.int64())]
+        return pa.Table.from_arrays(columns, [c.split()[0] for c in TOTALS.split(", ")])
+
+    return stored(_per_block(files, answers, ask, CHUNKS).groupBy("range").applyInArrow(answer, TOTALS), f"lm-totals-{order}")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col: str = "text", most: int | None = None) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """Scores of all rows of ``docs`` by a model of those that are not held out.
 
     Returns doc_id, held_out, n_tokens (the end counts), n_known, train_tokens, base_score (add-one unigrams) and score
     (the automaton). Null texts are empty: their only token is the end. Repeated rows count as often as they come.
-    If all rows are held out, every token is unknown and both scores are those of one unseen word. Other columns are
-    ignored; an empty table gives no rows. ``most``, if set, bounds contexts and arcs by counting only those of a share
-    of ``1 / most`` of the tokens.
+    A null ``held_out`` counts as false. If all rows are held out, every token is unknown and both scores are those of
+    one unseen word. Other columns are ignored; an empty table gives no rows.
     """
-    made = blocks(docs, held_out, id_col=id_col, text_col=text_col)
-    tokens_ = unigrams(made)
-    total, distinct = tokens_.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    least = LEAST if most is None else max(LEAST, -(-total // most))
-    norm = total + distinct + 1
-    # an end closes a text and is no context, but a word that arcs lead to; there are as many as starts
-    texts = tokens_.where(F.col("first") & (F.col("token") == END)).agg(F.coalesce(F.max("c"), F.lit(0))).first()[0]
-    arcs = bigrams(made, tokens_, least)
-    left = arcs.where("first").groupBy("a").agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("mass"), F.sum(F.col("c") + 1).alias("under"))
-    free = lambda share: F.log10(F.greatest(F.lit(1.0) - share, F.lit(1e-12)))
-    failure = lambda seen: free(F.col("mass") / seen) - free(F.col("under") / F.lit(norm))
-    start = left.where(F.col("a") == START).select(failure(F.lit(max(texts, 1)))).first()
-    start = start[0] if start else 0.0
-    own = tokens_.select("block", "number", "id", "c").join(left.where(F.col("a") != START).withColumnRenamed("a", "id"), "id", "left")
-    own = own.select("block", F.col("number").cast("long").alias("number"), "c", F.coalesce(failure(F.col("c")), F.lit(0.0)).alias("failure"))
-    # an arc's number is below zero, a token's is not
-    known = own.unionByName(arcs.select("block", (-1 - F.col("pair")).alias("number"), F.col("n").alias("c"), F.lit(0.0).alias("failure")))
-
-    def rate(mine: pa.Table, totals: pa.Table) -> pa.Table:
-        is_arc = pc.less(totals["number"], 0)
-        mine_arcs, words = totals.filter(is_arc), totals.filter(pc.invert(is_arc))
-        c, pair = _by_number(words, "c", np.int64), -1 - mine_arcs["number"].to_numpy()
-        seen = np.append(c, max(texts, 1)).astype(float)
-        weights = np.log10((mine_arcs["c"].to_numpy() - DISCOUNT) / seen[pair // len(seen)])
-        model = Automaton.part(pair, weights, np.append(_by_number(words, "failure", float), start))
-        ids, first, lengths, held = _stream(mine)
-        ends = np.cumsum(lengths) - lengths
-        plain = (np.log10(c + 1.0) - np.log10(norm))[ids]
-        states = np.where(c >= least, np.arange(len(c)), -1)[ids]
-        doc = pa.array(np.frombuffer(mine["docs"][0].as_py(), "<i8"), mask=np.frombuffer(mine["known"][0].as_py(), np.uint8) == 0)
-        columns = [doc, held, lengths, np.add.reduceat((c > 0)[ids].astype(np.int64), ends), np.full(len(ends), total, np.int64), np.add.reduceat(plain, ends), np.add.reduceat(model.run(states, first, plain), ends)]
+    files, uri = blocks(docs, held_out, id_col=id_col, text_col=text_col, block=block)
+    size = files.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("starts"), F.lit(0)).alias("starts")).first()
+    starts, bits = size.starts, max(0, math.ceil(math.log2(max(size.tokens, 1) / block)))
+    answers = totals(files, uri, None, 1, starts=starts, bits=bits)
+    n, v = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    for order in range(2, len(STRENGTH) + 2):
+        answers = answers.unionByName(totals(files, uri, answers, order, starts=starts, bits=bits))
+
+    def rate(_: str, path: str, known: pa.Table) -> pa.Table:
+        fs, _ = open_store(uri)
+        own = Block.read(fs, path)
+        walk = Walk(own, starts, _answers(known, len(STRENGTH) + 1))
+        root, weight = walk.weights(n + v + 1)
+        begins = np.cumsum(own.lengths) - own.lengths
+        doc = pa.array(own.docs, mask=own.known == 0)
+        columns = [doc, own.held, own.lengths, np.add.reduceat((walk.n[0] > 0).astype(np.int64), begins), np.full(len(begins), n, np.int64), np.add.reduceat(root, begins), np.add.reduceat(weight, begins)]
         return pa.Table.from_arrays([pa.array(x) for x in columns], names=[k.split()[0] for k in SCORES.split(", ")])
 
-    return made.select("block", "ids", "docs", "known", "lengths", "held").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(rate, SCORES)
+    return _per_block(files, answers, rate, SCORES)
