@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
 from civicframe.store import shared_path, stored
 
@@ -41,13 +42,35 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-#: Rows of a side that may be broadcast: of the few plain columns used here that's some 64 MB at most.
-BROADCAST_ROWS = 1_000_000
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast if it is counted to be small; else Spark shuffles it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+#: Bytes of a side that may be broadcast, as Spark holds its rows: fixed fields, and what strings and arrays take.
+BROADCAST_BYTES = 64 << 20
 
 
-__all__ = ["BROADCAST_ROWS", "WORD", "let", "lower_ascii", "open_store", "shared_path", "small", "stored", "table", "words"]
+def _weight(column: Column, kind: DataType) -> Column:
+    """About the bytes that a value takes in memory."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, ArrayType):
+        inner = F.transform(column, lambda x: _weight(x, kind.elementType).cast("bigint"))
+        return F.coalesce(F.aggregate(inner, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)) + 24
+    if isinstance(kind, StructType):
+        return sum((_weight(column[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    return F.lit(8)
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if its bytes are summed up to be few; else Spark shuffles it."""
+    row = sum((_weight(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(32))
+    size = df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= limit else df
+
+
+__all__ = ["BROADCAST_BYTES", "WORD", "let", "lower_ascii", "open_store", "shared_path", "small", "stored", "table", "unused", "words"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import let, small, stored, words
+from civicframe.llm.common import let, small, stored, unused, words
 
 #: Runs of digits, ASCII letters and all signs outside ASCII, once A-Z are in lower case.
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -71,30 +71,31 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n")), put)["n"].cast("long")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = GRAM, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", one_in: int = 20) -> DataFrame:
-    """Add ``_report`` to each row of ``docs``: n_words, n_hit, n_items, items, spans, contaminated.
+def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = GRAM, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", one_in: int = 20, report_col: str = "_report") -> DataFrame:
+    """Add ``report_col`` to each row of ``docs``: n_words, n_hit, n_items, items, spans, contaminated.
 
     A row is contaminated if it has hit words and they are at least one in ``one_in`` of its words. Null texts have no
-    words, null item ids are named ``null``. Repeated rows have equal reports; other columns of ``docs`` are kept,
-    whatever their names. With an empty benchmark nothing is hit.
+    words, null item ids are named ``null``. Repeated rows have equal reports; a column named as
+    ``report_col`` is replaced, all others are kept, whatever their names. With an empty benchmark nothing is hit.
     """
     windows = benchmark_windows(benchmark, n=n, id_col=item_col, text_col=item_text_col)
     hits = stored(window_hits(docs, windows, id_col=id_col, text_col=text_col), "verified-hits")
-    weight = hits.agg(F.coalesce(F.sum(4 + F.size("spans") + F.size("items")), F.lit(0)).alias("w")).first().w
-    hits = hits.select(F.col("key").alias("_key"), F.struct(covered(F.col("spans")).alias("n_hit"), "items", "spans").alias("_found"))
-    joined = docs.withColumn("_key", _row_key(id_col, text_col)).join(F.broadcast(hits) if weight <= 1_000_000 else hits, "_key", "left")
+    k, f, size = (unused(docs, c) for c in ("_key", "_found", "_words"))
+    hits = hits.select(F.col("key").alias(k), F.struct(covered(F.col("spans")).alias("n_hit"), "items", "spans").alias(f))
     n_words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
-    n_hit = F.coalesce(F.col("_found.n_hit"), F.lit(0).cast("long"))
+    # counted before the join, so that a caller who needs no text moves none
+    joined = docs.withColumn(k, _row_key(id_col, text_col)).withColumn(size, n_words).join(small(hits), k, "left")
     report = F.struct(
-        n_words.alias("n_words"),
-        n_hit.alias("n_hit"),
-        F.coalesce(F.size("_found.items"), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("_found.items", F.array().cast("array<string>")).alias("items"),
-        F.col("_found.spans").alias("spans"),
+        F.col(size).alias("n_words"),
+        F.coalesce(F.col(f"{f}.n_hit"), F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce(F.size(f"{f}.items"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce(F.col(f"{f}.items"), F.array().cast("array<string>")).alias("items"),
+        F.col(f"{f}.spans").alias("spans"),
     )
-    out = joined.withColumn("_report", report)
-    bad = (F.col("_report.n_hit") > 0) & (one_in * F.col("_report.n_hit") >= F.col("_report.n_words"))
-    return out.withColumn("_report", F.col("_report").withField("contaminated", bad)).drop("_key", "_found")
+    out = joined.withColumn(report_col, report)
+    found = F.col(report_col)
+    bad = (found["n_hit"] > 0) & (one_in * found["n_hit"] >= found["n_words"])
+    return out.withColumn(report_col, found.withField("contaminated", bad)).drop(k, f, size)
 
 
 def without_spans(text: Column, spans: Column) -> Column:
@@ -113,9 +114,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "docum
     """``docs`` without its contaminated rows (``remove="documents"``) or with the hit words of these cut out (``"spans"``)."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    judged = contamination(docs, benchmark, **params)
+    report = unused(docs, "_report")
+    judged = contamination(docs, benchmark, report_col=report, **params)
+    found = F.col(report)
     if remove == "documents":
-        return judged.where("not _report.contaminated").drop("_report")
+        return judged.where(~found["contaminated"]).drop(report)
     text_col = params.get("text_col", "text")
-    cleaned = F.when(F.col("_report.contaminated"), without_spans(F.col(text_col), F.col("_report.spans"))).otherwise(F.col(text_col))
+    cleaned = F.when(found["contaminated"], without_spans(F.col(text_col), found["spans"])).otherwise(F.col(text_col))
     return judged.withColumn(text_col, cleaned).select(*docs.columns)

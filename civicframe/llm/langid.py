@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SEGMENT = 2048
 #: Entries of a full table; a language whose letters and states make more keeps its arcs as a sorted list.
@@ -191,20 +192,21 @@ def has_letter(text: Column) -> Column:
     return text.rlike(r"\p{L}")
 
 
-def samples(labelled: DataFrame, *, text_col: str, lang_col: str, key: Column, rows: int, chars: int) -> dict[str, str]:
-    """Labelled text of each language: whole texts, in the order of a hash of their key, up to ``chars`` symbols.
+def samples(labelled: DataFrame, *, text_col: str, lang_col: str, rows: int, chars: int) -> dict[str, str]:
+    """Labelled text of each language: whole texts, in the order of a hash, up to ``chars`` characters.
 
-    Only a share of the rows of each language that holds about twice ``rows`` is ordered, so a common language does
-    not land in one task; at most ``rows`` rows of each come to the driver. Longer texts are cut, here alone. Texts
-    without a letter teach nothing and are left out.
+    Equal texts of a language count once, whatever their number. Only a share of the texts of each language that holds
+    about twice ``rows`` is ordered, so a common language does not land in one task; at most ``rows`` of each come
+    to the driver. Longer texts are cut, here alone. Texts without a letter teach nothing and are left out.
     """
-    ranked = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & has_letter(F.col(text_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key, F.lit("sample")).alias("h"))
-    counts = ranked.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    text = F.col(text_col)
+    ranked = labelled.where(text.isNotNull() & F.col(lang_col).isNotNull() & has_letter(text)).select(F.col(lang_col).alias("lang"), text.alias("text"), F.xxhash64(text, F.lit("sample")).alias("h"))
+    counts = ranked.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return {}
     spark = labelled.sparkSession
-    share = spark.createDataFrame([(r.lang, int(min(1.0, 2 * rows / r.n + 0.0) * (2**63 - 1)) if r.n > 2 * rows else 2**63 - 1) for r in counts], "lang string, most long")
-    few = ranked.join(F.broadcast(share), "lang").where(F.abs(F.col("h")) <= F.col("most")).select("lang", "h", F.substring("text", 1, chars).alias("text"))
+    share = spark.createDataFrame([(r.lang, int(2 * rows / r.n * (2**63 - 1)) if r.n > 2 * rows else 2**63 - 1) for r in counts], "lang string, most long")
+    few = ranked.join(F.broadcast(share), "lang").where(F.abs(F.col("h")) <= F.col("most")).select("lang", "h", F.substring("text", 1, chars).alias("text")).dropDuplicates(["lang", "h"])
     order = Window.partitionBy("lang").orderBy("h", "text")
     out: dict[str, list[str]] = {}
     for r in few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows).orderBy("lang", "k").toLocalIterator():
@@ -217,16 +219,17 @@ def samples(labelled: DataFrame, *, text_col: str, lang_col: str, key: Column, r
 models: dict[str, Model] = {}
 
 
-def identify(docs: DataFrame, learned: dict[str, str], *, text_col: str = "text") -> DataFrame:
-    """Add lang_pred and score to ``docs``; other columns, whatever their names, stay as they are.
+def identify(docs: DataFrame, learned: dict[str, str], *, text_col: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Add the columns ``out`` to ``docs``: the language and how clearly it wins. Columns of these names are replaced;
+    all others, whatever their names, stay as they are.
 
     The samples are small (their bound is a parameter), so they go to the workers, which build the automata once.
     """
     share, key = docs.sparkSession.sparkContext.broadcast(learned), uuid.uuid4().hex
     names = docs.columns
     text_at = names.index(text_col)
-    schema = docs.drop("lang_pred", "score").schema.add("lang_pred", "string").add("score", "double")
-    keep = [i for i, c in enumerate(names) if c not in ("lang_pred", "score")]
+    keep = [i for i, c in enumerate(names) if c not in out]
+    schema = StructType([docs.schema.fields[i] for i in keep]).add(out[0], "string").add(out[1], "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from civicframe.llm import langid  # the module's own store, which later tasks of this worker find again
@@ -239,18 +242,18 @@ def identify(docs: DataFrame, learned: dict[str, str], *, text_col: str = "text"
             for i in range(0, batch.num_rows, 2048):
                 part = batch.slice(i, 2048)
                 langs, scores = model.predict(part.column(text_at).to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*(names[k] for k in keep), "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*(names[k] for k in keep), *out])
 
     return docs.mapInArrow(predict, schema)
 
 
-def learn(docs: DataFrame, *, held_out: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = 400, chars: int = 40_000) -> dict[str, str]:
+def learn(docs: DataFrame, *, held_out: Column, text_col: str = "text", lang_col: str = "lang", rows: int = 400, chars: int = 40_000) -> dict[str, str]:
     """Samples of the rows that are not held out. At most ``rows`` texts and ``chars`` characters of each language.
 
-    An empty table, or one without labels, gives no samples; all predictions are then ``und``. Equal texts count once
-    if their keys are equal.
+    An empty table, or one without labels, gives no samples; all predictions are then ``und``. Equal texts of a
+    language count once; ids play no part, so rows that repeat an id, or have none, are learned from like any others.
     """
-    return samples(docs.where(~held_out), text_col=text_col, lang_col=lang_col, key=F.col(id_col), rows=rows, chars=chars)
+    return samples(docs.where(~held_out), text_col=text_col, lang_col=lang_col, rows=rows, chars=chars)
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:

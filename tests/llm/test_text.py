@@ -75,6 +75,14 @@ def test_short_labelled_texts_are_learned_from(spark):
     assert langid.learn(docs, held_out=F.lit(False)) == {"nl": "een huis", "fr": "une maison"}
 
 
+def test_a_language_of_one_repeated_id_is_learned(spark):
+    """Neither rows without an id nor repeated rows crowd a language out; equal texts count once."""
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("een huis en een boom "), F.col("id")).alias("text"), F.lit("nl").alias("lang"))
+    same = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("une maison et un arbre").alias("text"), F.lit("fr").alias("lang"))
+    learned = langid.learn(docs.unionByName(same), held_out=F.lit(False))
+    assert learned["fr"] == "une maison et un arbre" and learned["nl"].count("huis") == 400
+
+
 def test_held_out_languages(spark, sf_dir):
     from civicframe.llm.queries import op6_langid
 
