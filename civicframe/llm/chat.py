@@ -409,7 +409,11 @@ class Reader:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of the turns and of the text under the loss mask, read from the output of the default template."""
+    """Digests of the turns and of the text under the loss mask, read from the output of the default template.
+
+    The parts of a conversation are put in order by their numbers, so ``formatted`` may have been written and read
+    again in any way. Texts that are not whole turns are refused. An empty table gives no rows.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
@@ -427,4 +431,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    return formatted.mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    parts = formatted.select("conv_id", "part", "last", "text", "spans").repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return parts.mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import let, words
+from civicframe.llm.common import let, small, stored, words
 
 BINS = 256
 BITS = 8
@@ -84,41 +84,53 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(None).cast("double")).when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(estimate)
 
 
-def id_bucket(docs: DataFrame, id_col: str, per_bucket: int, most: int = 1 << 16) -> Column:
-    """Number of the bucket of a row, in descending order of the id; null ids have the last.
+def id_buckets(docs: DataFrame, id_col: str, per_bucket: int, most: int = 1 << 16) -> tuple[Column, DataFrame]:
+    """Number of the bucket of a row, in descending order of the id, nulls last; and ids (_hot) with their number of rows.
 
-    The cuts are quantiles of the ids. They stand in the plan as two levels of at most 256 each.
+    The cuts are quantiles of the ids. They stand in the plan as two levels of at most 256 each. An id that has more
+    rows than a bucket should, and the null id, have buckets of their own, which the caller can divide.
     """
     stats = docs.agg(F.count("*").alias("n"), F.count(id_col).alias("known")).first()
     n_buckets = max(1, min(most, stats.n // per_bucket))
-    cuts: list[int] = []
+    each = max(per_bucket, stats.n // n_buckets)
+    hot = stored(docs.groupBy(F.col(id_col).cast("bigint").alias("_hot")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > each), "hot-ids")
+    cuts: set[int] = set()
     if stats.known and n_buckets > 1:
         at = F.array(*(F.lit(i / n_buckets) for i in range(1, n_buckets)))
-        cuts = sorted(set(docs.agg(F.percentile_approx(F.col(id_col).cast("bigint"), at, F.lit(min(100 * n_buckets, 10_000_000))).alias("q")).first().q), reverse=True)
+        cuts.update(docs.agg(F.percentile_approx(F.col(id_col).cast("bigint"), at, F.lit(min(100 * n_buckets, 10_000_000))).alias("q")).first().q)
+    for r in hot.where("_hot is not null").collect():  # fewer than the buckets, as each has more rows than one
+        cuts.update({r._hot, r._hot - 1} if r._hot > -(2**63) else {r._hot})
+    cuts = sorted(cuts, reverse=True)
     longs = lambda xs: F.array(*(F.lit(x).cast("bigint") for x in xs)) if xs else F.array().cast("array<bigint>")
     groups = [cuts[i : i + 256] for i in range(0, len(cuts), 256)] or [[]]
     not_below = lambda xs: F.size(F.filter(xs, lambda b: b >= F.col(id_col)))
     inner = let(not_below(longs([g[-1] for g in groups[:-1]])), lambda k: k * 256 + not_below(F.get(F.array(*map(longs, groups)), k)))
-    return F.when(F.col(id_col).isNull(), F.lit(len(cuts) + 1)).otherwise(inner)
+    parts = hot.select("_hot", F.ceil(F.col("_rows") / each).alias("_parts"))
+    return F.when(F.col(id_col).isNull(), F.lit(len(cuts) + 1)).otherwise(inner), parts
 
 
 def with_next(docs: DataFrame, *, id_col: str, text_col: str, per_bucket: int = 1024) -> DataFrame:
     """Add ``next_text`` and ``next_fingerprint``, of the next row in descending order of ``id_col``.
 
     ``docs`` has ``fingerprint``. After the last row comes the first; null ids come last and rows of equal ids are
-    ordered by their text. Rows are ordered inside buckets of ids; the last row of a bucket gets the first row of the
-    next one from a table of one row a bucket. The text is shuffled once.
+    ordered by a hash of their text. Rows are ordered inside buckets of ids, and of hashes where rows share an id; the
+    last row of a bucket gets the first row of the next one. The text is shuffled once.
     """
-    bucket = id_bucket(docs, id_col, per_bucket)
-    rows = docs.withColumn("_bucket", bucket)
-    place = F.struct(F.bitwise_not(F.col(id_col).cast("bigint")).isNull(), F.bitwise_not(F.col(id_col).cast("bigint")), F.col(text_col))
-    heads = docs.select(bucket.alias("_bucket"), F.col(text_col).alias("_text"), place.alias("_place")).groupBy("_bucket").agg(F.min_by(F.struct("_text"), "_place").alias("_head"))
-    by_bucket = Window.orderBy("_bucket")  # over one row a bucket
-    following = F.coalesce(F.lead("_head").over(by_bucket), F.first("_head").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    heads = heads.select("_bucket", following.alias("_head")).select("_bucket", F.struct("_head._text", fingerprint(F.col("_head._text")).alias("_print")).alias("_head"))
-    inside = Window.partitionBy("_bucket").orderBy(F.col(id_col).desc_nulls_last(), text_col)
+    bucket, hot = id_buckets(docs, id_col, per_bucket)
+    rows = docs.withColumn("_bucket", bucket).withColumn("_h", F.xxhash64(text_col))
+    rows = rows.join(small(hot), F.col(id_col).cast("bigint").eqNullSafe(F.col("_hot")), "left")
+    share = (F.col("_h").cast("double") + float(1 << 63)) / float(1 << 64)
+    rows = rows.withColumn("_part", F.least(F.floor(share * F.coalesce("_parts", F.lit(1))), F.coalesce("_parts", F.lit(1)) - 1).cast("int")).drop("_hot", "_parts")
+    place = F.struct(F.col(id_col).isNull(), F.bitwise_not(F.coalesce(F.col(id_col).cast("bigint"), F.lit(0))), F.col("_h"), F.col(text_col))
+    heads = rows.groupBy("_bucket", "_part").agg(F.min_by(F.struct(F.col(text_col).alias("_text")), place).alias("_head"))
+    heads = heads.select("_bucket", "_part", F.struct("_head._text", fingerprint(F.col("_head._text")).alias("_print")).alias("_head"))
+    line = Window.orderBy("_bucket", "_part")  # over two numbers a bucket
+    after = F.coalesce(F.lead(F.struct("_bucket", "_part")).over(line), F.first(F.struct("_bucket", "_part")).over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    order = stored(rows.select("_bucket", "_part").distinct(), "buckets").withColumn("_after", after)
+    heads = order.join(heads.select(F.struct("_bucket", "_part").alias("_after"), "_head"), "_after").select("_bucket", "_part", "_head")
+    inside = Window.partitionBy("_bucket", "_part").orderBy(F.col(id_col).desc_nulls_last(), "_h", text_col)
     rows = rows.withColumn("_next", F.lead(F.struct(F.col(text_col).alias("_text"), F.col("fingerprint").alias("_print"))).over(inside))
-    rows = rows.join(heads, "_bucket").withColumn("_next", F.coalesce("_next", "_head"))
+    rows = rows.join(heads, ["_bucket", "_part"]).withColumn("_next", F.coalesce("_next", "_head"))
     return rows.select(*docs.columns, F.col("_next._text").alias("next_text"), F.col("_next._print").alias("next_fingerprint"))
 
 

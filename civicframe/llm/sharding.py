@@ -102,7 +102,8 @@ def shard(docs: DataFrame, *, shards: int = 16, id_col: str = "doc_id", text_col
     """Per row of ``docs``: doc_id, size, text_crc32, shard and slot, with near equal bytes in each shard.
 
     Size is the UTF-8 length of the text plus 1; null texts count as empty. Equal texts are neighbours; empty and null
-    ones are so too. Repeated rows are documents of their own. A group larger than a shard is spread over neighbouring
+    ones are so too. After the rounds a group of up to a fiftieth of a shard is put together whole, as the cut of the line
+    then moves it little; a larger one stays as far as its quotas brought it, and the cut decides. Repeated rows are documents of their own. A group larger than a shard is spread over neighbouring
     shards. With fewer rows than shards some shards stay empty; an empty table gives no rows. Other columns are ignored.
     """
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")

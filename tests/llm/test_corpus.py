@@ -7,7 +7,9 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from civicframe.llm.decontaminate import decontaminate
@@ -223,6 +225,17 @@ def test_buckets_do_not_change_the_order(spark):
     assert got == {d: f"t{ids[(k + 1) % len(ids)]}" for k, d in enumerate(ids)}
 
 
+def test_rows_of_one_id_are_ordered_in_parts(spark):
+    from civicframe.llm.fingerprint import id_buckets, with_next
+
+    docs = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.col("id")).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"), F.lit("f").alias("fingerprint"))
+    assert {(r._hot, r._parts > 10) for r in id_buckets(docs, "doc_id", 20)[1].collect()} == {(5, True), (None, True)}
+    signed = lambda t: int(np.uint64(xxhash.xxh64(t.encode(), seed=42).intdigest()).astype(np.int64))
+    rows = sorted((r.doc_id is None, -(r.doc_id or 0), signed(r.text), r.text) for r in docs.collect())
+    got = {r.text: r.next_text for r in with_next(docs, id_col="doc_id", text_col="text", per_bucket=20).collect()}
+    assert got == {t: rows[(k + 1) % len(rows)][3] for k, (*_, t) in enumerate(rows)}
+
+
 def check_shards(rows, texts, shards=16):
     by = defaultdict(list)
     for r in rows:
