@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicframe.functions.text import capitalised, first_nonempty
+from civicframe.operators.catalogue import looked_up
 from civicframe.operators.merge import first_wins, last_wins, suffix_duplicates
 
-#: Result lines and what they mean. Fixed values.
-RESULTS = {"goedgekeurd": "goedgekeurd", "kennisgenomen": "kennisname", "verworpen": "afgekeurd", "verdaagd": "uitgesteld", "ingetrokken": "ingetrokken"}
+#: Result lines and the slugs that stand for them. Fixed values.
+RESULTS = {
+    "Goedgekeurd": "goedgekeurd",
+    "Bekrachtigd": "bekrachtigd",
+    "Vastgesteld": "vastgesteld",
+    "Niet ter stemming gelegd": "niet-gestemd",
+    "Verdaagd": "verdaagd",
+    "Verworpen": "verworpen",
+}
 
 
-def mapped(value: Column, table: dict[str, str], default: Column | None = None) -> Column:
-    """Look-up of a value in small letters in a fixed table; ``default`` or the value itself if it is not there."""
-    pairs = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
-    low = F.lower(F.regexp_replace(value, r"[.\s]+$", ""))
-    return F.coalesce(F.try_element_at(pairs, low), low if default is None else default)
+def result_slug(result: Column) -> Column:
+    """The slug of a result line; of one that isn't known, the line in small letters."""
+    return looked_up(result, RESULTS, F.lower(result))
 
 
 def decided_items(decisions: DataFrame, minutes: DataFrame, themes: DataFrame) -> DataFrame:
@@ -26,7 +32,7 @@ def decided_items(decisions: DataFrame, minutes: DataFrame, themes: DataFrame) -
     """
     m = last_wins(minutes, ["session_id", "number"], "block").select("session_id", "number", F.col("text").alias("source_text"), "promises", "vote")
     d = decisions.join(m, ["session_id", "number"], "left").join(F.broadcast(themes), "category", "left")
-    result = F.when(F.col("result") != "", F.struct(mapped(F.col("result"), RESULTS).alias("decision"), F.col("result").alias("text")))
+    result = F.when(F.col("result") != "", F.struct(result_slug(F.col("result")).alias("decision"), F.col("result").alias("text")))
     return d.select(
         F.concat_ws("-", "session_id", "number").alias("id"), "session_id", "number", F.lit("beslist").alias("status"), result.alias("result"), "type", "added",
         capitalised(F.col("title")).alias("title"), F.coalesce("themes", F.array().cast("array<string>")).alias("themes"), "submitter", F.coalesce("source_text", F.lit("")).alias("source_text"), "promises", "vote",

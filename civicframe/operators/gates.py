@@ -81,3 +81,22 @@ def link_errors(links: DataFrame, items: DataFrame, texts: DataFrame) -> DataFra
     out = out.unionByName(say(extracts.where("number is not null").join(items.select("item_id", F.col("number").alias("_n")), "item_id").where("number <> _n"), "ander puntnummer", "item_id"))
     out = out.unionByName(say(collisions(links, "key", "url"), "tekst van twee stukken", "key"))
     return out.unionByName(say(links.where("key is not null").join(texts.select("key"), "key", "left_anti"), "tekst ontbreekt", "key")).distinct()
+
+
+def assert_some(name: str, df: DataFrame) -> DataFrame:
+    """``df``, unless it is empty: an empty index replaces nothing, and a page without links is no page."""
+    if df.limit(1).count() == 0:
+        raise GateError(f"{name}: nothing found")
+    return df
+
+
+def changed_prompts(prompts: DataFrame, known: DataFrame) -> DataFrame:
+    """Prompts (name, version, text) whose text differs from the known one (name, version, digest) of the same version."""
+    now = prompts.select("name", "version", F.sha2(F.col("text").cast("binary"), 256).alias("now"))
+    return now.join(known.select("name", "version", "digest"), ["name", "version"]).where(F.col("now") != F.col("digest"))
+
+
+def assert_private_list(names: DataFrame | None, *, empty_on_purpose: bool = False) -> None:
+    """Stop if there is no list of private names, or an empty one that isn't meant to be."""
+    if names is None or (not empty_on_purpose and names.limit(1).count() == 0):
+        raise GateError("the list of private names is missing or empty")

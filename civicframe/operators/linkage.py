@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from civicframe.functions.text import link_words, prefix_overlap, seq_ratio_from
 
-#: Words of titles that say nothing about the matter. Fixed values.
-LINK_STOP = ("goedkeuring", "vaststelling", "kennisname", "verwijzing", "gemeenteraad", "college", "aktename")
+#: Words of titles that say nothing about the matter; callers add the names of their place. Fixed values.
+LINK_STOP = ("belang", "stedelijk", "stedelijke", "betreffende", "houdende", "beslissing", "beslissingslijst", "besluit", "besluiten", "goedkeuring", "vaststelling", "aanvullend", "toepassing", "algemeen")
 
 
 def best_title(pairs: DataFrame, query: str, candidate: str, query_title: Column, candidate_title: Column, *, least: int, stop: tuple[str, ...] = LINK_STOP) -> DataFrame:
@@ -27,18 +27,20 @@ def best_title(pairs: DataFrame, query: str, candidate: str, query_title: Column
     return scored.where(by_title | by_words).select(query, candidate, F.when(by_title, "titel").otherwise("woorden").alias("how"))
 
 
-def link_extracts(extracts: DataFrame, items: DataFrame) -> DataFrame:
+def link_extracts(extracts: DataFrame, items: DataFrame, *, places: tuple[str, ...] = ()) -> DataFrame:
     """Extracts (extract_id, organ, session, number, letter, title) to items (item_id, the same columns).
 
     An extract with a number links inside its number alone, with one shared word or more; if no such item exists it
     stays unlinked. An extract without a number links by title inside the session, with two shared words or more.
+    ``places`` are names of the place, which say nothing about the matter either.
     """
     i = items.select("item_id", "organ", "session", "number", "letter", F.col("title").alias("item_title"))
     numbered = extracts.where("number is not null").withColumn("letter", F.coalesce("letter", F.lit("")))
     by_number = numbered.join(i.withColumn("letter", F.coalesce("letter", F.lit(""))), ["organ", "session", "number", "letter"])
     by_title = extracts.where("number is null").drop("number", "letter").join(i.drop("number", "letter"), ["organ", "session"])
     titles = ("extract_id", "item_id", F.col("title"), F.col("item_title"))
-    return best_title(by_number, *titles, least=1).unionByName(best_title(by_title, *titles, least=2))
+    stop = LINK_STOP + places
+    return best_title(by_number, *titles, least=1, stop=stop).unionByName(best_title(by_title, *titles, least=2, stop=stop))
 
 
 def link_attachments(attachments: DataFrame, linked: DataFrame) -> DataFrame:

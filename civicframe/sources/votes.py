@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from civicframe.functions.dates import MONTHS
+from civicframe.functions.text import let
 
 MEMBERS, LARGEST = 43, 60
 FOOTER = r"(?im)^\s*\d{1,2}\s+(?:" + "|".join(MONTHS) + r")\s+\d{4}\s*$"
@@ -15,6 +16,7 @@ BETWEEN = r"[\s,;]*(?:\((?:[^()]|\([^()]*\)){0,3000}\))?[\s,;]*(?:en\s+)?(?:met\
 UNANIMOUS = r"eenparigheid\s+van\s+stemmen"
 OWN = r"\bstemresultaat\s+(?:agenda)?punt\s+zelf\b"
 
+KINDS = ("voor", "tegen", "onthoudingen")
 VOTE = "struct<eenparig:boolean,onbetrouwbaar:boolean,voor:int,tegen:int,onthoudingen:int>"
 
 
@@ -29,19 +31,25 @@ def formulas(low: Column) -> Column:
 
     def of_run(run: Column) -> Column:
         def step(acc: Column, text: Column) -> Column:
-            n = F.regexp_extract(text, r"^(\d+)", 1).try_cast("int")
             kind = F.when(F.contains(text, F.lit("voor")), "voor").when(F.contains(text, F.lit("tegen")), "tegen").otherwise("onthoudingen")
-            last = F.get(acc, F.size(acc) - 1)
-            fresh = vote(voor=F.when(kind == "voor", n), tegen=F.when(kind == "tegen", n), onthoudingen=F.when(kind == "onthoudingen", n))
+            read = F.struct(F.regexp_extract(text, r"^(\d+)", 1).try_cast("int").alias("n"), kind.alias("kind"), F.get(acc, F.size(acc) - 1).alias("last"))
+            return let(read, lambda r: put(acc, r["n"], r["kind"], r["last"]))
+
+        def put(acc: Column, n: Column, kind: Column, last: Column) -> Column:
+            mine = lambda k: F.when(kind == k, n)
+            fresh = vote(**{k: mine(k) for k in KINDS})
             taken = F.when(kind == "voor", last["voor"]).when(kind == "tegen", last["tegen"]).otherwise(last["onthoudingen"])
-            joined = vote(voor=F.coalesce(last["voor"], F.when(kind == "voor", n)), tegen=F.coalesce(last["tegen"], F.when(kind == "tegen", n)), onthoudingen=F.coalesce(last["onthoudingen"], F.when(kind == "onthoudingen", n)))
+            joined = vote(**{k: F.coalesce(last[k], mine(k)) for k in KINDS})
             opens = (F.size(acc) == 0) | taken.isNotNull() | F.coalesce(last["onbetrouwbaar"], F.lit(False))
             return F.when(n.isNull() | (n > LARGEST), F.concat(acc, F.array(vote(onbetrouwbaar=F.lit(True))))).when(opens, F.concat(acc, F.array(fresh))).otherwise(F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(joined)))
 
         counts = F.regexp_extract_all(run, F.lit(f"({COUNT})"), F.lit(1))
         return F.when(run.rlike(UNANIMOUS), F.array(vote(eenparig=F.lit(True)))).otherwise(F.aggregate(counts, none, step))
 
-    whole = lambda v: vote(eenparig=v["eenparig"], onbetrouwbaar=v["onbetrouwbaar"], voor=F.when(v["eenparig"].isNull() & v["onbetrouwbaar"].isNull(), F.coalesce(v["voor"], F.lit(0))), tegen=F.when(v["eenparig"].isNull() & v["onbetrouwbaar"].isNull(), F.coalesce(v["tegen"], F.lit(0))), onthoudingen=F.when(v["eenparig"].isNull() & v["onbetrouwbaar"].isNull(), F.coalesce(v["onthoudingen"], F.lit(0))))
+    def whole(v: Column) -> Column:
+        counted = v["eenparig"].isNull() & v["onbetrouwbaar"].isNull()
+        return vote(eenparig=v["eenparig"], onbetrouwbaar=v["onbetrouwbaar"], **{k: F.when(counted, F.coalesce(v[k], F.lit(0))) for k in KINDS})
+
     return F.transform(F.flatten(F.transform(runs, of_run)), whole)
 
 
@@ -50,13 +58,22 @@ def vote(text: Column) -> Column:
 
     After the last mark of the item's own vote only what follows counts, if there is a vote there.
     """
-    low = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), FOOTER, ""))
-    own = F.regexp_extract(low, rf"(?s).*({OWN}.*)$", 1)
-    part = F.when((own != "") & (F.size(formulas(own)) > 0), own).otherwise(low)
-    distinct = F.array_distinct(formulas(part))
+    plain = F.translate(F.coalesce(text, F.lit("")), "\u00a0\u2007\u202f", "   ")  # blanks that do not break a line
+    low = F.lower(F.regexp_replace(plain, FOOTER, ""))
+    own = lambda t: F.regexp_extract(t, rf"(?s).*({OWN}.*)$", 1)
+
+    def of_own(t: Column, o: Column) -> Column:
+        votes = F.when(F.contains(o, F.lit("stemresultaat")), formulas(o)).otherwise(F.array().cast(f"array<{VOTE}>"))
+        return let(votes, lambda v: let(F.when(F.size(v) > 0, F.struct(o.alias("part"), v.alias("votes"))).otherwise(F.struct(t.alias("part"), formulas(t).alias("votes"))), lambda x: let(F.array_distinct(x["votes"]), lambda d: _judged(x["part"], d))))
+
+    return let(low, lambda t: let(own(t), lambda o: of_own(t, o)))
+
+
+def _judged(part: Column, distinct: Column) -> Column:
+    """The struct of :func:`vote` for the text that counts and its different votes."""
     one = F.get(distinct, 0)
     total = lambda v: F.coalesce(v["voor"] + v["tegen"] + v["onthoudingen"], F.lit(0))
-    modus = (
+    mode = (
         F.when((F.size(distinct) == 0) & F.contains(part, F.lit("niet ter stemming")), "niet-ter-stemming")
         .when((F.size(distinct) == 0) & F.contains(part, F.lit("mondeling beantwoord")), "mondeling-beantwoord")
         .when(F.size(distinct) == 0, "geen")
@@ -65,5 +82,5 @@ def vote(text: Column) -> Column:
         .when(F.coalesce(one["eenparig"], F.lit(False)), "eenparig")
         .otherwise("geteld")
     )
-    single = lambda k: F.when(modus == "geteld", one[k]).alias(k)
-    return F.struct(modus.alias("modus"), single("voor"), single("tegen"), single("onthoudingen"), F.when(modus == "meerdere", distinct).alias("stemmingen"))
+    single = lambda modus, k: F.when(modus == "geteld", one[k]).alias(k)
+    return let(mode, lambda modus: F.struct(modus.alias("modus"), *(single(modus, k) for k in KINDS), F.when(modus == "meerdere", distinct).alias("stemmingen")))

@@ -132,7 +132,7 @@ def test_watchdogs(spark):
 
 
 def test_assembly(spark):
-    decisions = spark.createDataFrame([("s", "1", "MOBILITEIT", "openbaar", False, None, "gewoon", "titel", "Goedgekeurd."), ("s", "2", "X", "besloten", False, None, "gewoon", "twee", "")], "session_id string, number string, category string, section string, added boolean, submitter string, type string, title string, result string")
+    decisions = spark.createDataFrame([("s", "1", "MOBILITEIT", "openbaar", False, None, "gewoon", "titel", "Goedgekeurd"), ("s", "2", "X", "besloten", False, None, "gewoon", "twee", "")], "session_id string, number string, category string, section string, added boolean, submitter string, type string, title string, result string")
     minutes = spark.createDataFrame([("s", "1", 1, "gewoon", "oud", "t", ["p"], "eenparig"), ("s", "1", 2, "gewoon", "nieuw", "t", None, "geteld"), ("s", "V1", 3, "vraag", "Antwoord ja", "vraag een", None, None)], "session_id string, number string, block int, type string, text string, title string, promises array<string>, vote string")
     themes = spark.createDataFrame([("MOBILITEIT", ["verkeer"])], "category string, themes array<string>")
     got = {r.id: r for r in assemble.decided_items(decisions, minutes, themes).collect()}
