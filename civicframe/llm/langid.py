@@ -239,10 +239,11 @@ def identify(docs: DataFrame, learned: dict[str, str], *, text_col: str = "text"
             langid.models[key] = Model(share.value)
         model = langid.models[key]
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
                 langs, scores = model.predict(part.column(text_at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*(names[k] for k in keep), *out])
+        pa.default_memory_pool().release_unused()  # the worker waits for other tasks
 
     return docs.mapInArrow(predict, schema)
 

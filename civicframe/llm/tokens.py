@@ -17,6 +17,7 @@ import re
 import string
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,7 +159,7 @@ class WordEncoder:
     Each distinct string between white space is encoded once and kept, so that a text costs a look-up a word. A new word
     is put together from pieces, as the tokenizer would split it, and each new piece goes to the library once. Words
     whose split isn't plain (marks that combine, control strings of the vocabulary) go to the library as they are. The
-    result equals that of encoding whole texts. ``keep`` bounds each of the two stores.
+    result equals that of encoding whole texts. A piece is a word too, so there is one store; ``keep`` bounds it.
     """
 
     def __init__(self, path: str, keep: int = 1 << 20) -> None:
@@ -170,36 +171,38 @@ class WordEncoder:
         self.library.no_truncation()
         self.plain = PIECES in [x.get("pattern", {}).get("Regex") for x in json.loads(self.library.to_str())["pre_tokenizer"].get("pretokenizers", [])]
         self.model = self.library.model
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _whole(self, word: str) -> bytes:
-        return np.array(self.library.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+        return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _merged(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        ids = self.known.get(piece)
         if ids is None:
             if piece.isascii() and piece.isprintable():
-                ids = np.array([t.id for t in self.model.tokenize(piece)], np.uint32).tobytes()
-            elif self.plain and piece.isalpha() and max(piece) <= "\xff":  # one letter a sign, composed, however small
-                shown = piece.lower().encode().decode("latin-1").translate(_SHOWN)
-                ids = np.array([t.id for t in self.model.tokenize(shown)], np.uint32).tobytes()
+                ids = self._merged(piece)
+            elif piece.isalpha() and max(piece) <= "\xff":  # one letter a sign, composed, however small
+                ids = self._merged(piece.lower().encode().decode("latin-1").translate(_SHOWN))
             else:
                 ids = self._whole(piece)
-            self.pieces[piece] = ids
+            self.known[piece] = ids
         return ids
 
     def _learn(self, word: str) -> bytes:
         if not self.plain or "<|" in word:
             return self._whole(word)
         if word.isascii():
-            return b"".join([self._piece(p) for p in _ascii_pieces(word.lower())])
+            word = word.lower()
+            return self._merged(word) if word.isalpha() else b"".join([self._piece(p) for p in _ascii_pieces(word)])
         # letters with other signs of ASCII around them; an apostrophe before a letter may belong to it
         start = word.lstrip(_SIGNS.replace("'", ""))
         core = start.rstrip(_SIGNS)
         if core.isalpha():
             return b"".join([self._piece(p) for p in (word[: len(word) - len(start)], core, start[len(core) :]) if p])
-        return self._piece(word)
+        return self._whole(word)
 
     def split(self, text: str) -> list[str]:
         """Strings between white space, A-Z in lower case where that can't matter."""
@@ -209,11 +212,9 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.words) > self.keep:
-            self.words.clear()
-        if len(self.pieces) > self.keep:
-            self.pieces.clear()
-        split, known = [self.split(x) for x in texts], self.words
+        if len(self.known) > self.keep:
+            self.known.clear()
+        split, known = [self.split(x) for x in texts], self.known
         for word in set().union(*split).difference(known):
             known[word] = self._learn(word)
         return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in split]
