@@ -22,13 +22,21 @@ def mined(items: DataFrame, id_col: str, text: Column, patterns: dict[str, str]
 
 
 def linking(edges: DataFrame, least: int = 2) -> DataFrame:
-    """Codes of ``least`` items or more, with the sorted list of these."""
-    return edges.groupBy("kind", "code").agg(F.sort_array(F.collect_set("item")).alias("items")).where(F.size("items") >= least)
-
-
-def related(edges: DataFrame, *, max_items: int = 1000) -> DataFrame:
-    """Pairs of items that share a code, with the number of codes. Codes of more than ``max_items`` items relate nothing."""
-    counted = edges.groupBy("kind", "code").agg(F.count("*").alias("n")).where(F.col("n").between(2, max_items))
-    kept = edges.join(counted, ["kind", "code"], "left_semi")
-    other = kept.select("kind", "code", F.col("item").alias("b"))
-    return kept.select("kind", "code", F.col("item").alias("a")).join(other, ["kind", "code"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_codes"))
+    """Rows (kind, code, n_items, item) of the codes of ``least`` items or more; a code of any size is spread over rows."""
+    counted = edges.groupBy("kind", "code").agg(F.count("*").alias("n_items")).where(F.col("n_items") >= least)
+    return edges.join(counted, ["kind", "code"]).select("kind", "code", "n_items", "item")
+
+
+def related(edges: DataFrame, *, wide: int = 40) -> DataFrame:
+    """Items that share a code. Rows (a, b, kind, code, n).
+
+    For codes of up to ``wide`` items, pairs a < b with the number of such codes they share (kind and code null). A
+    code of more items relates all of them: one row for each item (b null), with the code and its number of items.
+    """
+    held = linking(edges)
+    short = held.where(F.col("n_items") <= wide)
+    other = short.select("kind", "code", F.col("item").alias("b"))
+    pairs = short.select("kind", "code", F.col("item").alias("a")).join(other, ["kind", "code"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    members = held.where(F.col("n_items") > wide).select(F.col("item").alias("a"), F.lit(None).cast(edges.schema["item"].dataType).alias("b"), "kind", "code", F.col("n_items").alias("n"))
+    null = F.lit(None).cast("string")
+    return pairs.select("a", "b", null.alias("kind"), null.alias("code"), "n").unionByName(members)

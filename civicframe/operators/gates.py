@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicframe.functions.text import let
+
 
 class GateError(RuntimeError):
     """A gate found violations."""
@@ -62,6 +64,12 @@ def unstable(df: DataFrame, column: str, mask) -> DataFrame:
     return df.where(~mask(F.col(column)).eqNullSafe(F.col(column)))
 
 
+def unstable_count(df: DataFrame, text: Column, mask) -> DataFrame:
+    """One row (n, n_unstable): all rows, and those that the mask would change again after it was applied; one pass."""
+    again = let(mask(text), lambda t: ~mask(t).eqNullSafe(t))
+    return df.agg(F.count("*").alias("n"), F.count_if(again).alias("n_unstable"))
+
+
 def collisions(df: DataFrame, key: str, value: str) -> DataFrame:
     """Keys with two values or more."""
     return df.groupBy(key).agg(F.count_distinct(value).alias("n")).where("n > 1")

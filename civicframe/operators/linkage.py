@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,28 @@ def best_title(pairs: DataFrame, query: str, candidate: str, query_title: Column
     return scored.where(by_title | by_words).select(query, candidate, F.when(by_title, "titel").otherwise("woorden").alias("how"))
 
 
+def best_titles(rows: DataFrame, *, id_col: str, block: str, title: str, least: int, stop: tuple[str, ...] = LINK_STOP) -> DataFrame:
+    """For each row the other row of its block that its title names, by the rule of :func:`best_title`; (q, c, how).
+
+    Titles are compared once, however many rows have them: equal titles meet in a grouping, others in a join on the
+    block and the first five characters of a word. A title of several rows can't win by words, as these rows tie. Rows
+    without a block or a title match nothing.
+    """
+    known = rows.where(F.col(block).isNotNull() & F.col(title).isNotNull()).select(F.col(block).alias("b"), F.col(title).alias("t"), F.col(id_col).alias("id"))
+    titles = known.groupBy("b", "t").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
+    pair = titles.where("n = 2")
+    exact = pair.select(F.col("first").alias("q"), F.col("last").alias("c")).unionByName(pair.select(F.col("last").alias("q"), F.col("first").alias("c")))
+    word = titles.select("b", "t", "n", "first", F.explode(link_words(F.col("t"), F.array(*map(F.lit, stop)))).alias("w")).withColumn("p", F.substring("w", 1, 5))
+    mine = word.where("n = 1").select("b", "p", F.col("first").alias("q"), F.col("t").alias("qt"), F.col("w").alias("v"))
+    hit = mine.join(word, ["b", "p"]).where((F.col("qt") != F.col("t")) & (F.col("v").startswith(F.col("w")) | F.col("w").startswith(F.col("v"))))
+    scored = hit.groupBy("q", "t").agg(F.count_distinct("w").alias("score"), F.first("n").alias("n"), F.first("first").alias("c"))
+    # the best score of each query, how often it is reached, and by whom
+    best = scored.groupBy("q").agg(F.max(F.struct("score", "n", "c")).alias("top"), F.max("score").alias("most"))
+    ties = scored.join(best, "q").where(F.col("score") == F.col("most")).groupBy("q").agg(F.sum("n").alias("m"), F.first("top").alias("top"))
+    by_words = ties.where((F.col("m") == 1) & (F.col("top.score") >= least)).select("q", F.col("top.c").alias("c"))
+    return exact.withColumn("how", F.lit("titel")).unionByName(by_words.withColumn("how", F.lit("woorden")))
+
+
 def link_extracts(extracts: DataFrame, items: DataFrame, *, places: tuple[str, ...] = ()) -> DataFrame:
     """Extracts (extract_id, organ, session, number, letter, title) to items (item_id, the same columns).
 
@@ -67,18 +91,34 @@ def unique_match(queries: DataFrame, roster: DataFrame, keys: list[str]) -> Data
     return queries.join(single, keys, "left")
 
 
-def as_of(facts: DataFrame, versions: DataFrame, *, fact_id: str, fact_day: str, version: str, valid_from: str, keys: list[str]) -> DataFrame:
+def as_of(facts: DataFrame, versions: DataFrame, *, fact_id: str, fact_day: str, version: str, valid_from: str, keys: list[str], days: int = 32) -> DataFrame:
     """Each fact with the latest version that was valid on its day; if none was yet, the earliest, flagged.
 
-    The versions of a key become one sorted array, so a fact is joined once, whatever their number. A key without
-    versions is flagged with a null version. A null day takes the earliest version.
+    Facts and versions are sorted together inside cells of a key and ``days`` days, so a key with very many of both is
+    spread over its cells; what earlier cells hand on comes from a table of one row for each cell. Of versions of one day
+    the least counts. A key without versions, or a null key, is flagged with a null version. A null day takes the
+    earliest version. ``fact_id`` is kept for callers; repeated facts stay repeated.
     """
-    known = versions.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(valid_from).alias("f"), F.col(version).alias("v")))).alias("_all"))
-    joined = facts.join(known, keys, "left")
-    before = F.filter("_all", lambda x: x["f"] <= F.col(fact_day))
-    newest = F.array_max(F.transform(before, lambda x: x["f"]))
-    chosen = F.get(F.filter(before, lambda x: x["f"] == newest), 0)
-    return joined.select(*facts.columns, F.coalesce(chosen["v"], F.get("_all", 0)["v"]).alias(version), chosen["v"].isNull().alias("fallback"))
+    cell = lambda day: F.coalesce(F.floor(F.unix_date(day.cast("date")) / days), F.lit(-(1 << 40)))
+    f = facts.withColumn("_day", F.col(fact_day)).withColumn("_cell", cell(F.col(fact_day))).withColumn("_is_fact", F.lit(True))
+    v = versions.select(*keys, F.col(valid_from).alias("_day"), F.col(version).alias("_v")).where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
+    v = v.groupBy(*keys, "_day").agg(F.min("_v").alias("_v")).withColumn("_cell", cell(F.col("_day"))).withColumn("_is_fact", F.lit(False))
+    both = f.withColumn("_v", F.lit(None).cast(v.schema["_v"].dataType)).unionByName(v, allowMissingColumns=True)
+    # a version goes as a struct, so that its own null is no gap
+    both = both.withColumn("_held", F.when(~F.col("_is_fact") & F.col("_day").isNotNull(), F.struct(F.col("_v").alias("v"))))
+    here = Window.partitionBy(*keys, "_cell").orderBy(F.col("_day"), F.col("_is_fact")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn("_last", F.last("_held", ignorenulls=True).over(here)).where("_is_fact")
+    versioned = F.when(~F.col("_is_fact"), F.struct(F.col("_day").alias("f"), F.col("_v").alias("v")))
+    cells = both.groupBy(*keys, "_cell").agg(F.max(F.when(F.col("_day").isNotNull(), versioned)).alias("_newest"), F.min(versioned).alias("_oldest"))
+    over = Window.partitionBy(*keys)
+    before = over.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_cell").alias("_c"), F.last("_newest", ignorenulls=True).over(before).alias("_carried"), F.min("_oldest").over(over).alias("_earliest"))
+    on = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys))) & (F.col("_cell") == F.col("_c"))
+    joined = placed.join(cells, on, "left")
+    carried = F.when(F.col("_carried").isNotNull() & F.col("_day").isNotNull(), F.struct(F.col("_carried.v").alias("v")))
+    chosen = F.coalesce("_last", carried)
+    value = F.when(chosen.isNotNull(), chosen["v"]).otherwise(F.col("_earliest.v"))
+    return joined.select(*facts.columns, value.alias(version), chosen.isNull().alias("fallback"))
 
 
 def plan_validity(plans: DataFrame, decisions: DataFrame) -> DataFrame:

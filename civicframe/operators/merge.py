@@ -77,8 +77,9 @@ def repaired_list(text: Column) -> Column:
 def clean_terms(terms: Column, most: int = 8, longest: int = 60) -> Column:
     """Trimmed terms without empty and overlong ones, each once whatever its case, the first ``most``."""
     tidy = F.filter(F.transform(terms, lambda x: F.trim(x)), lambda x: (F.length(x) > 0) & (F.length(x) <= longest))
-    seen = F.aggregate(tidy, F.array().cast("array<string>"), lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x))))
-    return F.slice(seen, 1, most)
+    # once ``most`` are found no more are looked at, so a list of any length costs one pass
+    seen = F.aggregate(tidy, F.array().cast("array<string>"), lambda acc, x: F.when((F.size(acc) >= most) | F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x))))
+    return seen
 
 
 def allowed_only(values: Column, allowed: Column) -> Column:

@@ -183,7 +183,7 @@ def as_of_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH p AS (SELECT p_partkey AS id, p_brand AS brand, string_split(p_name, ' ') AS w, p_name AS title FROM part WHERE p_size <= 10),
+    WITH p AS (SELECT p_partkey AS id, p_brand AS brand, string_split(p_name, ' ') AS w, p_name AS title FROM part),
     x AS (SELECT a.id AS q, b.id AS c, (a.title = b.title)::INT AS exact, len(list_filter(list_distinct(b.w), lambda u: length(u) >= 5 AND len(list_filter(list_distinct(a.w), lambda v: length(v) >= 5 AND (starts_with(v, u) OR starts_with(u, v)))) > 0)) AS score FROM p a JOIN p b ON a.brand = b.brand AND a.id <> b.id),
     r AS (SELECT *, sum(exact) OVER (PARTITION BY q) AS n_exact, row_number() OVER (PARTITION BY q ORDER BY score DESC, c DESC) AS rn, lead(score) OVER (PARTITION BY q ORDER BY score DESC, c DESC) AS nxt FROM x)
     SELECT q, c, CASE WHEN n_exact = 1 AND exact = 1 THEN 'titel' ELSE 'woorden' END AS how FROM r
@@ -192,10 +192,7 @@ def as_of_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def blocked_title_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the same brand that a part's name names, if one wins clearly."""
-    parts = table(spark, sf_dir, "part").where("p_size <= 10").select(F.col("p_partkey").alias("q"), F.col("p_brand").alias("brand"), F.col("p_name").alias("qt"))
-    others = parts.select(F.col("q").alias("c"), "brand", F.col("qt").alias("ct"))
-    found = linkage.best_title(parts.join(others, "brand").where("q <> c"), "q", "c", F.col("qt"), F.col("ct"), least=2, stop=("",))
-    return found.select("q", "c", "how")
+    return linkage.best_titles(table(spark, sf_dir, "part"), id_col="p_partkey", block="p_brand", title="p_name", least=2, stop=("",))
 
 
 @query(
@@ -271,15 +268,15 @@ def two_sided_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     WITH d AS (SELECT DISTINCT doc_id AS id, unnest(regexp_extract_all(strip_accents(lower(text)), '[a-z][a-z-]{4,}')) AS token FROM documents),
-    r AS (SELECT token FROM d GROUP BY token HAVING count(*) BETWEEN 2 AND 3),
+    r AS (SELECT token FROM d GROUP BY token HAVING count(*) BETWEEN 2 AND 40),
     m AS (SELECT id, source AS author, token FROM d JOIN r USING (token) JOIN documents ON id = doc_id)
     SELECT DISTINCT x.id AS a, y.id AS b, author FROM m x JOIN m y USING (author, token) WHERE x.id < y.id
     """
 )
 def same_author_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of one source that share a word of three documents at most."""
-    d, _, _ = _pair_tokens(spark, sf_dir)
-    rare = d.groupBy("token").agg(F.count("*").alias("n")).where("n between 2 and 3")
+    """Documents of one source that share a rare word: one of 2 to 40 documents."""
+    d, _, weights = _pair_tokens(spark, sf_dir)
+    rare = weights.where("df >= 2")
     return pairs.same_author_pairs(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("author")), d, rare)
 
 

@@ -81,8 +81,7 @@ GROUPS = [("the", "a"), ("and", "a"), ("thnd", "a"), ("oning", "b"), ("haea", "b
 
 @query(
     f"""
-    WITH {TOKENS}, df AS (SELECT token FROM kept GROUP BY token HAVING count(*) <= 1000000),
-    wanted AS (SELECT * FROM (VALUES ('oning', 0), ('haea', 1), ('eren', 1)) AS t(token, rank))
+    WITH {TOKENS}, wanted AS (SELECT * FROM (VALUES ('oning', 0), ('haea', 1), ('eren', 1)) AS t(token, rank))
     SELECT id, CAST(min(rank) AS INTEGER) AS rank FROM kept JOIN wanted USING (token) GROUP BY id
     """
 )
@@ -128,22 +127,22 @@ EDGES = """
 """
 
 
-@query(f"WITH {EDGES} SELECT kind, translate(code, '/-', '__') AS code, count(*) AS n_items, array_to_string(list(item ORDER BY item), ',') AS items FROM edges GROUP BY ALL HAVING count(*) >= 2")
+@query(f"WITH {EDGES} SELECT kind, translate(code, '/-', '__') AS code, count(*) OVER (PARTITION BY kind, code) AS n_items, item FROM edges QUALIFY n_items >= 2")
 def code_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes in the urls of two pages or more."""
-    edges = codes.mined(table(spark, sf_dir, "pages"), "page_id", F.col("url"), PAGE_CODES)
-    return codes.linking(edges).select("kind", "code", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items"))
+    """Codes in the urls of two pages or more, a row for each page."""
+    return codes.linking(codes.mined(table(spark, sf_dir, "pages"), "page_id", F.col("url"), PAGE_CODES))
 
 
 @query(
     f"""
-    WITH {EDGES}, few AS (SELECT kind, code FROM edges GROUP BY ALL HAVING count(*) BETWEEN 2 AND 40)
-    SELECT x.item AS a, y.item AS b, count(*) AS n_codes FROM edges x JOIN edges y USING (kind, code) JOIN few USING (kind, code) WHERE x.item < y.item GROUP BY ALL
+    WITH {EDGES}, c AS (SELECT *, count(*) OVER (PARTITION BY kind, code) AS n FROM edges)
+    SELECT x.item AS a, y.item AS b, CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS VARCHAR) AS code, count(*) AS n FROM c x JOIN c y USING (kind, code) WHERE x.item < y.item AND x.n <= 40 GROUP BY x.item, y.item
+    UNION ALL SELECT item, NULL, kind, translate(code, '/-', '__'), n FROM c WHERE n > 40
     """
 )
 def related_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of pages that share a code of at most 40 pages."""
-    return codes.related(codes.mined(table(spark, sf_dir, "pages"), "page_id", F.col("url"), PAGE_CODES), max_items=40)
+    """Pairs of pages that share codes, and the members of codes of more than 40 pages."""
+    return codes.related(codes.mined(table(spark, sf_dir, "pages"), "page_id", F.col("url"), PAGE_CODES))
 
 
 @query(

@@ -29,8 +29,7 @@ def mask_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mask_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that the masks would change again: none."""
     mask = lambda t: privacy.mask_context(privacy.mask_accounts(privacy.mask_email(t)))
-    docs = table(spark, sf_dir, "documents").select("doc_id", mask(F.col("text")).alias("text"))
-    return docs.agg(F.count("*").alias("n")).crossJoin(gates.unstable(docs, "text", mask).agg(F.count("*").alias("n_unstable")))
+    return gates.unstable_count(table(spark, sf_dir, "documents"), F.col("text"), mask)
 
 
 @query(f"WITH a AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{EMAIL}'))) AS address FROM documents) SELECT address FROM a WHERE address <> (SELECT min(address) FROM a)")
@@ -50,8 +49,8 @@ def coverage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH w AS (SELECT doc_id, list_transform(string_split(left(text, 400), ' '), lambda x: trim(x)) AS w FROM documents),
-    t AS (SELECT doc_id, u.x, u.i FROM w, LATERAL (SELECT unnest(w) AS x, generate_subscripts(w, 1) AS i) u WHERE length(u.x) BETWEEN 1 AND 12),
+    WITH w AS (SELECT doc_id, list_transform(string_split(text, ' '), lambda x: trim(x)) AS w FROM documents),
+    t AS (SELECT doc_id, u.x, u.i FROM w, LATERAL (SELECT unnest(w) AS x, generate_subscripts(w, 1) AS i) u WHERE length(u.x) BETWEEN 1 AND 60),
     f AS (SELECT doc_id, arg_min(x, i) AS x, min(i) AS i FROM t GROUP BY doc_id, lower(x)),
     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM f)
     SELECT doc_id, array_to_string(list(x ORDER BY i), '|') AS terms FROM r WHERE k <= 8 GROUP BY doc_id
@@ -59,7 +58,7 @@ def coverage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def tag_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key terms, made of the first words: trimmed, distinct whatever the case, eight at most."""
-    terms = merge.clean_terms(F.split(F.substring("text", 1, 400), " "), longest=12)
+    terms = merge.clean_terms(F.split("text", " "))
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(terms, "|").alias("terms")).where("terms <> ''")
 
 

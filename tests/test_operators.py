@@ -53,8 +53,48 @@ def test_pairs_and_verdicts(spark):
 
 def test_codes(spark):
     items = spark.createDataFrame([(1, "MJP000123 en 2026-GR-12"), (2, "zie mjp0001, MJP000123 en OMV/2026001234"), (3, "omv_2026001234 2026_gr_12x 2026_GR_12")], "id int, text string")
-    got = {(r.kind, r.code): r.items for r in codes.linking(codes.mined(items, "id", F.col("text"))).collect()}
-    assert got == {("mjp", "MJP000123"): [1, 2], ("omv", "OMV_2026001234"): [2, 3], ("zaak", "2026_GR_12"): [1, 3]}
+    edges = codes.mined(items, "id", F.col("text"))
+    got = {(r.kind, r.code, r.n_items, r["item"]) for r in codes.linking(edges).collect()}
+    assert got == {("mjp", "MJP000123", 2, 1), ("mjp", "MJP000123", 2, 2), ("omv", "OMV_2026001234", 2, 2), ("omv", "OMV_2026001234", 2, 3), ("zaak", "2026_GR_12", 2, 1), ("zaak", "2026_GR_12", 2, 3)}
+    assert {tuple(r)[:2] + (r.n,) for r in codes.related(edges).collect()} == {(1, 2, 1), (2, 3, 1), (1, 3, 1)}
+    assert {(r.a, r.b, r.n) for r in codes.related(edges, wide=1).collect()} == {(i, None, 2) for i in (1, 2, 3)}  # wide codes give members, none is lost
+    assert codes.related(edges, wide=1).count() == 6
+
+
+def test_as_of_against_brute_force(spark):
+    import random
+
+    rnd = random.Random(5)
+    day = lambda: f"20{rnd.randint(20, 23)}-{rnd.randint(1, 12):02}-{rnd.randint(1, 28):02}"
+    versions = [(rnd.choice("aabc"), day(), rnd.randint(0, 99)) for _ in range(60)]
+    facts = [(i, rnd.choice("aaabcd") if i % 17 else None, day() if i % 13 else None) for i in range(300)] + [(0, "a", "2022-02-02")] * 2
+
+    def brute(key, d):
+        mine = sorted((f, v) for k, f, v in versions if k == key)
+        good = [f for f, _ in mine if d and f <= d]
+        if not mine:
+            return None, True
+        return (min(v for f, v in mine if f == max(good)), False) if good else (mine[0][1], True)
+
+    f, v = spark.createDataFrame(facts, "id int, code string, d string"), spark.createDataFrame(versions, "code string, f string, plan int")
+    f, v = f.withColumn("d", F.col("d").cast("date")), v.withColumn("f", F.col("f").cast("date"))
+    for days in (32, 3, 100_000):
+        got = linkage.as_of(f, v, fact_id="id", fact_day="d", version="plan", valid_from="f", keys=["code"], days=days)
+        assert got.columns == ["id", "code", "d", "plan", "fallback"]
+        assert sorted(str((r.id, r.plan, r.fallback)) for r in got.collect()) == sorted(str((i, *brute(k, d))) for i, k, d in facts)
+
+
+def test_best_titles_against_pairs(spark):
+    import random
+
+    rnd = random.Random(3)
+    words = ["heraanleg", "heraanlegging", "marktplein", "marktpleinen", "subsidies", "subsidie", "zon"]
+    rows = [(i, rnd.choice(["x", "y", None]) if i else None, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4))) if i % 19 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, b string, t string")
+    pairs_ = df.select(F.col("id").alias("q"), "b", F.col("t").alias("qt")).join(df.select(F.col("id").alias("c"), "b", F.col("t").alias("ct")), "b").where("q <> c and qt is not null and ct is not null")
+    want = linkage.best_title(pairs_, "q", "c", F.col("qt"), F.col("ct"), least=2, stop=("",))
+    got = linkage.best_titles(df, id_col="id", block="b", title="t", least=2, stop=("",))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 5
 
 
 def test_dossiers_with_corrections(spark):
