@@ -92,9 +92,9 @@ def search_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    WITH {TOKENS}, v AS (SELECT DISTINCT token FROM kept),
-    held AS (SELECT token, substr(token, 1, strpos(token, 'tion') - 1) AS head FROM v WHERE contains(token, 'tion'))
-    SELECT token FROM held WHERE head = '' OR (head IN (SELECT token FROM v) AND token <> 'ertion')
+    WITH {TOKENS}, v AS MATERIALIZED (SELECT DISTINCT token FROM kept),
+    held AS MATERIALIZED (SELECT token, substr(token, 1, strpos(token, 'tion') - 1) AS head FROM v WHERE contains(token, 'tion'))
+    SELECT held.token FROM held LEFT JOIN v ON v.token = head WHERE head = '' OR (v.token IS NOT NULL AND held.token <> 'ertion')
     """
 )
 def search_compound(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicframe.functions.money import amount, belgian
-from civicframe.operators import gates, geo, merge, privacy
+from civicframe.operators import gates, geo, merge, privacy, redaction
 from civicframe.plans.registry import query, table
 from civicframe.sources import lines, votes
 
@@ -151,10 +151,73 @@ def parse_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.parse_decisions(docs).select("doc", "number", "category", "section", "title", "result")
 
 
-@query()
+#: Texts with a name (%1$s), and what the mask leaves of them.
+PRIVATE_TEXTS = (
+    ("Zitting van %1$s. Advocaat Els %1$s pleit, meester An Open ook.", "Zitting van %1$s. Advocaat [naam] pleit, meester An Open ook."),
+    ("Plan opgemaakt door Tom %1$s, beedigd landmeter-expert.", "Plan opgemaakt door Tom %1$s, beedigd landmeter-expert."),
+    ("Plan opgemaakt door Tom %1$s, landmeter-expert.", "Plan opgemaakt door [naam], landmeter-expert."),
+    ("Landmeter %1$s Kaarten bv en landmeter %1$s.", "Landmeter %1$s Kaarten bv en landmeter [naam]."),
+    ("Arbeidsarts: dokter %1$s; Tom %1$s is de vertrouwenspersoon.", "Arbeidsarts: dokter [naam]; [naam] is de vertrouwenspersoon."),
+    ("Syndicaal overleg, voorzitter Tom %1$s, Els %1$s, An Open, Decreet Lokaal Bestuur, Groen: Bea %1$s.", "Syndicaal overleg, voorzitter [naam], [naam], An Open, Decreet Lokaal Bestuur, Groen: [naam]."),
+    ("Jan Geheim woont bij Geheim en %1$s.", "[naam] woont bij [naam] en %1$s."),
+    ("Geheim en Tom %1$s beslissen.", "Geheim en Tom %1$s beslissen."),
+)
+#: A capital and nine letters at most that stand for a number.
+LETTERS = ("0123456789", "abcdefghij")
+_NAME_SQL = "'N' || translate(CAST({key} AS VARCHAR), '0123456789', 'abcdefghij')"
+
+
+def _name(key: str) -> Column:
+    return F.concat(F.lit("N"), F.translate(F.col(key).cast("string"), *LETTERS))
+
+
+def _case_sql(key: str, texts: list[str]) -> str:
+    return f"CASE {key} % {len(texts)} " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(texts)) + " END"
+
+
+def _case(key: str, texts: list[str]) -> Column:
+    """One of ``texts`` for each row, with the row's name in it."""
+    text = F.element_at(F.array(*map(F.lit, texts)), (F.col(key) % len(texts) + 1).cast("int"))
+    return F.replace(text, F.lit("%1$s"), _name(key))
+
+
+@query(f"SELECT c_custkey, replace({_case_sql('c_custkey', [m for _, m in PRIVATE_TEXTS])}, '%1$s', {_NAME_SQL.format(key='c_custkey')}) AS masked FROM customer")
+def redaction_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered mask of persons over texts that are made for each customer."""
+    lists = redaction.Lists(public=frozenset({"An Open"}), private=("Jan Geheim",), surnames=("Geheim",))
+    text = _case("c_custkey", [t for t, _ in PRIVATE_TEXTS])
+    return table(spark, sf_dir, "customer").select("c_custkey", redaction.redacted(text, lists).alias("masked"))
+
+
+@query(f"SELECT c_custkey FROM customer WHERE c_custkey % {len(PRIVATE_TEXTS)} NOT IN (1, 7)")
+def redaction_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose made texts the mask of persons would change."""
+    lists = redaction.Lists(public=frozenset({"An Open"}), private=("Jan Geheim",), surnames=("Geheim",))
+    made = table(spark, sf_dir, "customer").withColumn("text", _case("c_custkey", [t for t, _ in PRIVATE_TEXTS]))
+    return redaction.leaks(made, ["text"], lists).select("c_custkey")
+
+
+#: Sentences with a name, and the name that the watchdog reports of each (empty: none).
+WATCHED = (
+    ("Aanvraag ingediend door mevrouw Els %1$s.", "Els %1$s"),
+    ("Verkocht aan de heer %1$s, eigenaar: stad Proef.", "%1$s"),
+    ("Het goed is verkocht aan de heer %1$s.", "%1$s"),
+    ("De heer en mevrouw %1$s-Van Proef Kerkstraat 3 tekenen.", "%1$s-Van Proef"),
+    ("Eigenaar Publiek Persoon en huurder Van %1$sstraat.", ""),
+    ("Gegund aan Tom %1$s BV.", ""),
+    ("Er kwam een bezwaar van Tom %1$s, wonend in de stad.", "Tom %1$s"),
+    ("Stad Proef en consorten, mevrouw Algemeen Directeur.", ""),
+    ("%1$s en consorten vragen uitstel.", "%1$s"),
+)
+
+
+@query(
+    f"""
+    WITH t AS (SELECT replace({_case_sql("s_suppkey", [n for _, n in WATCHED])}, '%1$s', {_NAME_SQL.format(key="s_suppkey")}) AS name FROM supplier)
+    SELECT DISTINCT name FROM t WHERE name <> ''
+    """
+)
 def name_watchdog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names in telling sentences that are made for each supplier, without the public ones."""
-    text = F.format_string("Besluit over de aanvrager Naam%1$d Achternaam en de heer Publiek Persoon.", F.col("s_suppkey") % 50)
-    items = table(spark, sf_dir, "supplier").select("s_suppkey", text.alias("text"))
-    names = spark.createDataFrame([("Publiek Persoon",)], "name string")
-    return privacy.watchdog(items, "s_suppkey", "text", names, names.limit(0)).select("id", "name")
+    """Names in telling sentences that are made for each supplier, without public ones, bodies, streets and firms."""
+    items = table(spark, sf_dir, "supplier").select(_case("s_suppkey", [t for t, _ in WATCHED]).alias("text"))
+    return redaction.name_watchdog(items, "text", spark.createDataFrame([("Publiek Persoon",)], "name string")).select("name")

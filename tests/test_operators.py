@@ -116,7 +116,7 @@ def test_dossiers_with_corrections(spark):
         ("geboren te Plaats, op 01-02-1970", "geboren te Plaats, op ··-··-1970"),
         ("geboren te Plaats, op 1 januari 1970", "geboren te Plaats, op ·· ·· 1970"),
         ("kinderen geboren op 1 januari 2020", "kinderen geboren op 1 januari 2020"),
-        ("Contactpersoon X\nTelefoon: 015 00\nEmail a\n", "Contactpersoon X\nTelefoon: [contact]\nEmail [contact]\n"),
+        ("Contactpersoon X\nTelefoon: 015 00\nEmail a\n", "Contactpersoon X\nTelefoon: [verwijderd]\nEmail [verwijderd]\n"),
     ],
 )
 def test_context_masks(spark, text, masked):
@@ -129,8 +129,7 @@ def test_other_masks(spark):
     assert one(spark, privacy.mask_birth_tables(F.col("x"), F.lit(True)), "12/03/74 2026/7450100/08/89/01") == "··/··/74 2026/7450100/08/89/01"
     assert one(spark, privacy.mask_names(F.col("x"), ["Jan Van Proef"]), "Jan  Van Proef en Van Proef Jan; Van Proef") == "[naam] en [naam]; [naam]"
     assert one(spark, privacy.mask_names(F.col("x"), ["Jan Proef"]), "Proef alleen, Proefman") == "Proef alleen, Proefman"
-    assert one(spark, privacy.mask_role_names(F.col("x"), public=["An Open"]), "advocaat Els De Proef, landmeter An Open, architect Groot Huis bv") == "advocaat [naam], landmeter An Open, architect Groot Huis bv"
-    assert one(spark, privacy.mask_phrases(F.col("x"), ["ernstig ziek"]), "is ernstig\nziek") == "is [gezondheid]"
+    assert one(spark, privacy.mask_phrases(F.col("x"), ["ernstig ziek"]), "is ernstig\nziek") == "is [verwijderd]"
     assert one(spark, privacy.indexable(F.col("x")), "31 stemmen voor (Jan X, An Y), de heer Jan Proef en mevrouw de Gouverneur") == "31 stemmen voor,   en mevrouw de Gouverneur"
 
 
@@ -165,7 +164,6 @@ def test_gates(spark):
 def test_watchdogs(spark):
     items = spark.createDataFrame([(1, "De aanvrager Jan Proef woont hier. De heer Open Baar sprak."), (2, "Ernstig ziek in Proefstraat 12 meldt de heer Jan Proef."), (3, "bezwaar van Els Geheim; en een proef")], "id int, text string")
     public = spark.createDataFrame([("Open Baar",)], "name string")
-    assert {(r.id, r.name) for r in privacy.watchdog(items, "id", "text", public, public.limit(0)).collect()} == {(1, "Jan Proef"), (2, "Jan Proef")}
     assert [r.id for r in privacy.health_watch(items, "id", "text", ["ziek"]).collect()] == [2]
     built = spark.createDataFrame([("geheim", [3]), ("els", [1])], "token string, items array<int>")
     assert [(r.id, r.token) for r in privacy.index_audit(items, "id", "text", built, public).collect()] == [(3, "geheim")]
