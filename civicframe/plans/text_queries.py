@@ -162,13 +162,13 @@ PRIVATE_TEXTS = (
     ("Jan Geheim woont bij Geheim en %1$s.", "[naam] woont bij [naam] en %1$s."),
     ("Geheim en Tom %1$s beslissen.", "Geheim en Tom %1$s beslissen."),
 )
-#: A capital and nine letters at most that stand for a number.
+#: Digits, and the letters that stand for them in a name.
 LETTERS = ("0123456789", "abcdefghij")
-_NAME_SQL = "'N' || translate(CAST({key} AS VARCHAR), '0123456789', 'abcdefghij')"
+_NAME_SQL = "'Naam' || translate(CAST({key} AS VARCHAR), '0123456789', 'abcdefghij')"
 
 
 def _name(key: str) -> Column:
-    return F.concat(F.lit("N"), F.translate(F.col(key).cast("string"), *LETTERS))
+    return F.concat(F.lit("Naam"), F.translate(F.col(key).cast("string"), *LETTERS))
 
 
 def _case_sql(key: str, texts: list[str]) -> str:
