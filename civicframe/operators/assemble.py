@@ -31,7 +31,7 @@ def decided_items(decisions: DataFrame, minutes: DataFrame, themes: DataFrame) -
     All three have ``session_id``, but for ``themes``; columns are those of the parsers.
     """
     m = last_wins(minutes, ["session_id", "number"], "block").select("session_id", "number", F.col("text").alias("source_text"), "promises", "vote")
-    d = decisions.join(m, ["session_id", "number"], "left").join(F.broadcast(themes), "category", "left")
+    d = decisions.join(m, ["session_id", "number"], "left").join(themes, "category", "left")
     result = F.when(F.col("result") != "", F.struct(result_slug(F.col("result")).alias("decision"), F.col("result").alias("text")))
     return d.select(
         F.concat_ws("-", "session_id", "number").alias("id"), "session_id", "number", F.lit("beslist").alias("status"), result.alias("result"), "type", "added",

@@ -65,9 +65,18 @@ def polygon_contains(x: Column, y: Column, polygons: Column) -> Column:
     return F.exists(polygons, lambda rings: ring_contains(x, y, F.get(rings, 0)) & ~F.exists(F.slice(rings, F.lit(2), F.size(rings)), lambda h: ring_contains(x, y, h)))
 
 
-def in_districts(points: DataFrame, districts: DataFrame, x: str, y: str, key: str) -> DataFrame:
-    """Points with the first district (name, polygons) by name that holds them, or null. Districts are a small table."""
-    pairs = points.join(F.broadcast(districts), polygon_contains(F.col(x), F.col(y), F.col("polygons")), "left")
+def in_districts(points: DataFrame, districts: DataFrame, x: str, y: str, key: str, *, cell: float = 0.05) -> DataFrame:
+    """Points with the first district (name, polygons) by name that holds them, or null.
+
+    Districts are listed under the squares of side ``cell`` that their outlines' bounds touch, and a point is compared with
+    those of its square only: an equal join that Spark shuffles, or broadcasts where it knows the districts to be few.
+    """
+    corners = F.flatten(F.transform("polygons", lambda rings: F.get(rings, 0)))
+    square = lambda v: F.floor(v / F.lit(cell)).cast("long")
+    span = lambda i: F.sequence(square(F.array_min(F.transform(corners, lambda c: F.get(c, i)))), square(F.array_max(F.transform(corners, lambda c: F.get(c, i)))))
+    rows = districts.where(F.size(corners) > 0).select("name", "polygons", F.explode(span(0)).alias("_dx"), span(1).alias("_span")).select("name", "polygons", "_dx", F.explode("_span").alias("_dy"))
+    here = (square(F.col(x)) == F.col("_dx")) & (square(F.col(y)) == F.col("_dy"))
+    pairs = points.join(rows, here & polygon_contains(F.col(x), F.col(y), F.col("polygons")), "left")
     first = Window.partitionBy(key).orderBy("name")
     return pairs.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*points.columns, F.col("name").alias("district"))
 

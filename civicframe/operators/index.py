@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicframe.functions.text import fold, index_tokens
+from civicframe.store import stored
 
 #: Words that are no search terms, and the months. Fixed values.
 STOP_WORDS = (
@@ -50,9 +51,13 @@ def boundary_tokens(tokens: DataFrame, *, max_items: int = MAX_ITEMS, stop: list
 
 def dictionary(tokens: DataFrame) -> DataFrame:
     """Number of each item that has a token, in the order of the ids, from 0."""
-    from pyspark.sql import Window
-
-    return tokens.select("id").distinct().withColumn("number", F.row_number().over(Window.orderBy("id")) - 1)
+    # each task numbers its range of ids; what comes before it is summed up from one row a range
+    ids = tokens.select("id").distinct().repartitionByRange("id").withColumn("_cell", F.spark_partition_id())
+    ids = stored(ids, "dictionary")
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ids.groupBy("_cell").agg(F.count("*").alias("n")).select("_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_cell").orderBy("id"))
+    return ids.withColumn("number", place).join(starts, "_cell").select("id", (F.col("number") + F.col("_start") - 1).alias("number"))
 
 
 def index_errors(index: DataFrame, items: DataFrame, id_col: str, full: Column, visible: Column, *, stop: list[str] | None = None) -> DataFrame:
@@ -80,12 +85,12 @@ def _wanted(groups: DataFrame, term: str) -> DataFrame:
 
 def synonym_items(tokens: DataFrame, groups: DataFrame, term: str) -> DataFrame:
     """:func:`synonym_search` on item tokens (id, token): no posting list, so a word may be as common as it is."""
-    return tokens.join(F.broadcast(_wanted(groups, term)), "token").groupBy("id").agg(F.min("rank").alias("rank"))
+    return tokens.join(_wanted(groups, term), "token").groupBy("id").agg(F.min("rank").alias("rank"))
 
 
 def synonym_search(index: DataFrame, groups: DataFrame, term: str) -> DataFrame:
     """Items of a term and of the words of its groups (rows word, group); rank 0 for direct hits, 1 for synonyms."""
-    return index.join(F.broadcast(_wanted(groups, term)), "token").select(F.explode("items").alias("id"), "rank").groupBy("id").agg(F.min("rank").alias("rank"))
+    return index.join(_wanted(groups, term), "token").select(F.explode("items").alias("id"), "rank").groupBy("id").agg(F.min("rank").alias("rank"))
 
 
 def compounds(vocabulary: DataFrame, term: str, false_compounds: list[str] = ()) -> DataFrame:

@@ -76,6 +76,12 @@ def search_and(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.search(table(spark, sf_dir, "documents"), "doc_id", ["tion", "ënt"], F.col("text"), F.get(F.split("text", "\n"), 0))
 
 
+@query(f"WITH {TOKENS}, i AS (SELECT DISTINCT id FROM kept) SELECT id, row_number() OVER (ORDER BY id) - 1 AS number FROM i")
+def index_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of the documents that have a term of their own, in the order of their ids."""
+    return index.dictionary(_tokens(spark, sf_dir))
+
+
 GROUPS = [("the", "a"), ("and", "a"), ("thnd", "a"), ("oning", "b"), ("haea", "b"), ("eren", "b")]
 
 

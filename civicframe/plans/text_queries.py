@@ -132,7 +132,12 @@ def lambert72(spark: SparkSession, sf_dir: str) -> DataFrame:
 MINUTES = "De raad beslist.\n{n}. FINANCIEN. Titel {n}.\nGoedgekeurd met {v} stemmen voor (A, B) en {t} stemmen tegen (C)\nO1. OPDRACHT. Nagaan.\n"
 
 
-@query()
+@query(
+    """
+    SELECT o_orderkey AS doc, CAST(o_orderkey % 9 + 1 AS VARCHAR) AS number, 'Titel ' || (o_orderkey % 9 + 1) || '.' AS title, CAST(1 AS INTEGER) AS n_promises, 'geteld' AS modus,
+        CAST(o_orderkey % 40 + 1 AS INTEGER) AS voor, CAST(40 - o_orderkey % 40 AS INTEGER) AS tegen FROM orders
+    """
+)
 def vote_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Votes of minutes that are made for each order: items, promises and counts."""
     n, v = F.col("o_orderkey") % 9 + 1, F.col("o_orderkey") % 40 + 1
@@ -144,7 +149,12 @@ def vote_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 DECISIONS = "Beslissingenlijst 2\nOpenbare zitting\n1. MOBILITEIT. Heraanleg van straat %1$d\nvervolg\nGoedgekeurd\n2. CULTUUR. Subsidie\nKennisgenomen\nBesloten zitting\n3. PERSONEEL. Aanstelling\nGoedgekeurd\n"
 
 
-@query()
+@query(
+    """
+    SELECT c_custkey AS doc, number, category, section, replace(title, '#', CAST(c_custkey AS VARCHAR)) AS title, result FROM customer,
+        (VALUES ('1', 'MOBILITEIT', 'openbaar', 'Heraanleg van straat # vervolg', 'Goedgekeurd'), ('2', 'CULTUUR', 'openbaar', 'Subsidie', 'Kennisgenomen'), ('3', 'PERSONEEL', 'besloten', 'Aanstelling', 'Goedgekeurd')) AS t(number, category, section, title, result)
+    """
+)
 def parse_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of decision lists that are made for each customer."""
     docs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc"), F.format_string(DECISIONS, "c_custkey").alias("text"))
