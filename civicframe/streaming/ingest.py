@@ -25,11 +25,16 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return query
 
 
-def upsert_into(path: str, key: str):
-    """A batch function for ``foreachBatch`` that replaces the rows of equal keys; a repeated batch changes nothing."""
+def upsert_into(path: str, key: str, order: str | None = None):
+    """A batch function for ``foreachBatch`` that replaces the rows of equal keys; a repeated batch changes nothing.
+
+    Of equal keys in a batch the row of the largest ``order`` stays, and of equal ones of these the largest row.
+    """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([key]).withColumn("_batch", F.lit(batch_id))
+        columns = [c for c in batch.columns if c != key]
+        newest = F.max(F.struct(*([F.col(order).alias("_order")] if order else []), *columns)).alias("_row")
+        fresh = batch.groupBy(key).agg(newest).select(key, *(F.col("_row")[c].alias(c) for c in columns)).withColumn("_batch", F.lit(batch_id))
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
 
     return put

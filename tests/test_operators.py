@@ -209,6 +209,8 @@ def test_streams(spark, tmp_path):
     for batch, rows in enumerate([[(1, "x"), (2, "y")], [(2, "z")]]):
         ingest.upsert_into(table, "id")(spark.createDataFrame(rows, "id int, v string"), batch)
     assert {r.id: r.v for r in ingest.current(spark, table, "id").collect()} == {1: "x", 2: "z"}
+    ingest.upsert_into(table, "id", order="v")(spark.createDataFrame([(2, "b"), (2, "zz"), (2, "a")], "id int, v string"), 9)
+    assert {r.id: r.v for r in ingest.current(spark, table, "id").collect()} == {1: "x", 2: "zz"}
 
 
 def test_fuzzy_title_compares_whole_first_lines(spark, tmp_path):
