@@ -56,15 +56,15 @@ VOTES = [
     ("De vraag wordt mondeling beantwoord", "mondeling-beantwoord", None, None, None),
     ("%n spreekt", "geen", None, None, None),
 ]
-_votes_sql = ", ".join(f"CAST({made_sql('o_orderkey', [v[i] for v in VOTES])} AS {kind}) AS {name}" for i, name, kind in ((1, "modus", "VARCHAR"), (2, "voor", "INTEGER"), (3, "tegen", "INTEGER"), (4, "onthoudingen", "INTEGER")))
+_votes_sql = ", ".join(f"CAST(coalesce({made_sql('o_orderkey', [v[i] for v in VOTES])}, '-1') AS {kind}) AS {name}" for i, name, kind in ((1, "modus", "VARCHAR"), (2, "voor", "INTEGER"), (3, "tegen", "INTEGER"), (4, "onthoudingen", "INTEGER")))
 
 
 @query(f"SELECT o_orderkey, {_votes_sql} FROM orders WHERE NOT (o_orderkey % {len(VOTES)} = 4 AND o_orderkey % 30 + 1 = 5)")
 def vote_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How items were voted, in all modes. A second vote of the first's counts would be no other vote, so it is left out."""
+    """How items were voted, in all modes (-1: no count). A second vote of the first's counts would be no other vote, so it is left out."""
     v = votes.vote(made("o_orderkey", [t[0] for t in VOTES]))
     rows = table(spark, sf_dir, "orders").where(~((F.col("o_orderkey") % len(VOTES) == 4) & (F.col("o_orderkey") % 30 + 1 == 5)))
-    return rows.select("o_orderkey", v.alias("v")).select("o_orderkey", "v.modus", "v.voor", "v.tegen", "v.onthoudingen")
+    return rows.select("o_orderkey", v.alias("v")).select("o_orderkey", "v.modus", *(F.coalesce(f"v.{k}", F.lit(-1)).alias(k) for k in votes.KINDS))
 
 
 ATTENDING = [

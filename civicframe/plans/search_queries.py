@@ -142,13 +142,13 @@ def code_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {EDGES}, c AS (SELECT *, count(*) OVER (PARTITION BY kind, code) AS n FROM edges)
-    SELECT x.item AS a, y.item AS b, CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS VARCHAR) AS code, count(*) AS n FROM c x JOIN c y USING (kind, code) WHERE x.item < y.item AND x.n <= 40 GROUP BY x.item, y.item
-    UNION ALL SELECT item, NULL, kind, translate(code, '/-', '__'), n FROM c WHERE n > 40
+    SELECT x.item AS a, y.item AS b, '' AS kind, '' AS code, count(*) AS n FROM c x JOIN c y USING (kind, code) WHERE x.item < y.item AND x.n <= 40 GROUP BY x.item, y.item
+    UNION ALL SELECT item, -1, kind, translate(code, '/-', '__'), n FROM c WHERE n > 40
     """
 )
 def related_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of pages that share codes, and the members of codes of more than 40 pages."""
-    return codes.related(codes.mined(table(spark, sf_dir, "pages"), "page_id", F.col("url"), PAGE_CODES))
+    """Pairs of pages that share codes, and the members of codes of more than 40 pages (with -1 for a partner)."""
+    return codes.related(codes.mined(table(spark, sf_dir, "pages"), "page_id", F.col("url"), PAGE_CODES)).na.fill(-1, ["b"]).na.fill("", ["kind", "code"])
 
 
 @query(
