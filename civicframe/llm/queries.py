@@ -93,6 +93,68 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(files, uri)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations by rule and repair each at least cost."""
+    from civicframe.llm.repair import damaged, repair, transcript_digests
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    plans, turns = repair(damaged(rows), rows)
+    digests = transcript_digests(stored(turns, "repaired-turns")).withColumnRenamed("conv_id", "conv")
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    found = plans.join(digests, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    return found.withColumn("repaired_sha256", F.coalesce("sha256", empty)).drop("sha256")
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal normalised texts of all documents."""
+    from civicframe.llm.exactdup import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents")).withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for each benchmark item."""
+    from civicframe.llm.search import build_index, search
+
+    index = stored(build_index(table(spark, sf_dir, "documents")), "index")
+    return search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
+ORACLES = {
+    "op12_exact_dedup": r"""
+    WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+    FROM texts WINDOW same AS (PARTITION BY t)
+    """,
+    "op13_search": r"""
+    WITH doc_terms AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM documents
+    ),
+    item_terms AS (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL),
+    sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+    corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tf, corpus WHERE term IN (SELECT term FROM item_terms) GROUP BY term, docs
+    ),
+    qtf AS (SELECT item_id, term, count(*) AS times FROM item_terms GROUP BY ALL),
+    scores AS (
+        SELECT item_id, doc_id,
+               CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+        FROM qtf JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (doc_id), corpus GROUP BY item_id, doc_id
+    ),
+    ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM scores WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 20
+    """,
+}
+
+
 def queries() -> dict:
     """Name and function of each query."""
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
@@ -100,4 +162,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return dict(ORACLES)
