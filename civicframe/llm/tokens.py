@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import string
 import uuid
 import zlib
 from array import array
@@ -34,7 +33,6 @@ COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2)
 #: Selector of one id of 60 bits is folded into the escape, which takes 64 bits in a word of its own.
 ESCAPE = 15
 _BITS = tuple(0 if i < 2 else 60 // n for i, n in enumerate(COUNTS))
-_SIGNS = string.punctuation
 _WIDTHS = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 
 
@@ -144,22 +142,24 @@ def blocks(f, size: int) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
         yield [x if k else None for x, k in zip(doc_ids, known, strict=True)], np.split(values, np.cumsum(lengths)[:-1]) if docs else []
 
 
-#: What the tokenizer splits words into before it merges; a fixed value of the vocabulary file.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: How a tokenizer must normalise and split for its words to be encoded one by one; fixed values of the vocabulary file.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same pieces of printable small Latin-1 text, whose letters are composed and stay so.
+_latin_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾]+").findall
 #: Bytes that byte-level vocabularies write as another sign: those that can't be printed, in turn from 256 on.
 _SHOWN = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
-_ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 _controls, _marks = re.compile("[\x1c-\x1f]").search, re.compile("[\u0300-\u036f]").search
 _words = re.compile(r"[^\x20\x09-\x0D]+").findall
 
 
 class WordEncoder:
-    """Texts to token ids, for a tokenizer that drops white space, lower-cases and joins nothing across white space.
+    """Texts to token ids, equal to those of the library for whole texts.
 
-    Each distinct string between white space is encoded once and kept, so that a text costs a look-up a word. A new word
-    is put together from pieces, as the tokenizer would split it, and each new piece goes to the library once. Words
-    whose split isn't plain (marks that combine, control strings of the vocabulary) go to the library as they are. The
-    result equals that of encoding whole texts. A piece is a word too, so there is one store; ``keep`` bounds it.
+    A tokenizer that drops white space, lower-cases and joins nothing across white space (``plain``) encodes each distinct
+    string between white space once; a text costs a look-up a word. A new word is normalised and split by the library itself, unless it
+    is Latin-1, where both are plain, and each new piece is merged once. ``keep`` bounds the words that are held. Words with control
+    strings of the vocabulary go to the library as they are. For any other tokenizer whole texts go to the library.
     """
 
     def __init__(self, path: str, keep: int = 1 << 20) -> None:
@@ -169,40 +169,31 @@ class WordEncoder:
         self.library, self.keep = Tokenizer.from_file(path), keep
         self.library.no_padding()
         self.library.no_truncation()
-        self.plain = PIECES in [x.get("pattern", {}).get("Regex") for x in json.loads(self.library.to_str())["pre_tokenizer"].get("pretokenizers", [])]
-        self.model = self.library.model
+        made = json.loads(self.library.to_str())
+        normal = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
+        splits = [x.get("pattern", {}).get("Regex") for x in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.plain = normal == _NORMAL and splits == [_PIECES, None]
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def _whole(self, word: str) -> bytes:
-        return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _merged(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
+    def _piece(self, shown: str) -> bytes:
+        """Ids of a piece in the letters that the vocabulary writes bytes in."""
+        ids = self.pieces.get(shown)
         if ids is None:
-            if piece.isascii() and piece.isprintable():
-                ids = self._merged(piece)
-            elif piece.isalpha() and max(piece) <= "\xff":  # one letter a sign, composed, however small
-                ids = self._merged(piece.lower().encode().decode("latin-1").translate(_SHOWN))
-            else:
-                ids = self._whole(piece)
-            self.known[piece] = ids
+            ids = self.pieces[shown] = array("I", [t.id for t in self.library.model.tokenize(shown)]).tobytes()
         return ids
 
     def _learn(self, word: str) -> bytes:
-        if not self.plain or "<|" in word:
+        if "<|" in word:
             return self._whole(word)
-        if word.isascii():
-            word = word.lower()
-            return self._merged(word) if word.isalpha() else b"".join([self._piece(p) for p in _ascii_pieces(word)])
-        # letters with other signs of ASCII around them; an apostrophe before a letter may belong to it
-        start = word.lstrip(_SIGNS.replace("'", ""))
-        core = start.rstrip(_SIGNS)
-        if core.isalpha():
-            return b"".join([self._piece(p) for p in (word[: len(word) - len(start)], core, start[len(core) :]) if p])
-        return self._whole(word)
+        if word.isprintable() and max(word) <= "\xff":
+            pieces = _latin_pieces(word.lower())
+            return b"".join([self._piece(p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN)) for p in pieces])
+        normal = self.library.normalizer.normalize_str(word)
+        return b"".join([self._piece(p) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)])
 
     def split(self, text: str) -> list[str]:
         """Strings between white space, A-Z in lower case where that can't matter."""
@@ -212,8 +203,11 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.known) > self.keep:
-            self.known.clear()
+        if not self.plain:
+            return [np.frombuffer(self._whole(x), np.uint32) for x in texts]
+        for store in (self.known, self.pieces):
+            if len(store) > self.keep:
+                store.clear()
         split, known = [self.split(x) for x in texts], self.known
         for word in set().union(*split).difference(known):
             known[word] = self._learn(word)
@@ -235,7 +229,7 @@ def word_encoder(path: str) -> WordEncoder:
 def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None, block_docs: int = 512) -> DataFrame:
     """Encode the texts and write their ids in ascending ``id_col`` order; return (part, path, size, docs, ids).
 
-    Null texts count as empty; each document ends with ``end_id``. Rows with a null id come first; rows with equal ids
+    Ids of documents are whole numbers. Null texts count as empty; each document ends with ``end_id``. Rows with a null id come first; rows with equal ids
     are ordered by a hash of their text. Other columns are ignored. An empty table gives an empty list. The texts are
     dealt by ranges of id and hash, so each task writes a run of the corpus and rows that share an id, or have none, are
     dealt over tasks too. Files of attempts that did not count are not listed.

@@ -1,9 +1,12 @@
 """WARC archives and token files: exact round trips."""
 
 import base64
+import functools
 import gzip
 import hashlib
 import io
+import string
+import unicodedata
 import zlib
 
 import numpy as np
@@ -22,6 +25,11 @@ PAGES = "page_id long, url string, html string, record_type string"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+@functools.cache
+def loaded(kind, *args):
+    return kind(*args)
+
+
 def expected_records(rows):
     largest = {}
     for page_id, _, html, _ in rows:
@@ -96,11 +104,32 @@ def test_word_by_word_equals_whole_texts(spark, sf_dir):
     assert [x.tolist() for x in encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
-@settings(max_examples=150, deadline=None)
+def test_letters_that_normalising_takes_apart_equal_whole_texts():
+    library = Tokenizer.from_file(VOCABULARY)
+    unstable = [c for c in map(chr, range(128, 0x110000)) if not "\ud800" <= c <= "\udfff" and (len(unicodedata.normalize("NFC", c.lower())) > 1 or unicodedata.normalize("NFC", c.lower()) != c.lower())]
+    assert {"\u0130", "\u09df", "\u095c", "\ufb1d"} <= set(unstable)
+    texts = [f"{sign}{c}{sign} a{c}{sign}b {sign}{c}1" for c in unstable for sign in string.punctuation]
+    latin = [chr(c) for c in range(33, 256)]
+    texts += [" ".join(f"{a}{b} a{a}{b}1 {a}'s{b}" for b in latin) for a in latin]
+    texts += ["BELED\u0130YES\u0130, ANKARA", "(\u0130)", "\u09b9\u09df, \u09b9\u09df\u0964", "a\u0130's \u0130'll"]
+    encode = tokens.WordEncoder(VOCABULARY)
+    for i in range(0, len(texts), 4096):
+        part = texts[i : i + 4096]
+        assert [x.tolist() for x in encode(part)] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aAB  \n's1,\u0130")), max_size=40), max_size=8))
+def test_another_vocabulary_equals_whole_texts(texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert [x.tolist() for x in loaded(tokens.WordEncoder, path)(texts)] == [e.ids for e in loaded(Tokenizer.from_file, path).encode_batch(texts, add_special_tokens=False)]
+
+
+@settings(max_examples=400, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aAzZtThHwWyY's'reDll 19.,!&<|>\u0308\u0307\u030aİΣßéÉ\x1c\x85\xa0")), max_size=40), max_size=8))
 def test_odd_words_equal_whole_texts(texts):
-    library = Tokenizer.from_file(VOCABULARY)
-    assert [x.tolist() for x in tokens.WordEncoder(VOCABULARY, keep=8)(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    library = loaded(Tokenizer.from_file, VOCABULARY)
+    assert [x.tolist() for x in loaded(tokens.WordEncoder, VOCABULARY, 8)(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_rows_of_one_id_are_dealt_over_tasks(spark):
