@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 from array import array
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -164,7 +165,7 @@ def search_shard(row: dict, best: dict[int, list[tuple]], names: dict[int, int |
                 docs = unpacked(gaps[gap_ends[low - 1] if low else 0 : gap_ends[low]]).cumsum()
                 tf = unpacked(tfs[tf_ends[low - 1] if low else 0 : tf_ends[low]]) + 1
                 worth = 1_000_000_000 * tf // (1000 * tf + 12 * m[docs])
-                lists[term] = (docs, worth, int(worth.max()))
+                lists[term] = (docs.tolist(), worth.tolist(), int(worth.max()))
             else:
                 lists[term] = None
         return lists[term]
@@ -194,7 +195,7 @@ def _merge(cursors: list[tuple], ids: list, heap: list[tuple], k: int) -> None:
         return first
 
     leaders = lead()
-    queue = [(int(c[2][0]), j) for j, c in enumerate(cursors) if j >= leaders]
+    queue = [(c[2][0], j) for j, c in enumerate(cursors) if j >= leaders]
     heapq.heapify(queue)
     while queue:
         doc = queue[0][0]
@@ -202,19 +203,19 @@ def _merge(cursors: list[tuple], ids: list, heap: list[tuple], k: int) -> None:
         while queue and queue[0][0] == doc:
             j = queue[0][1]
             _, weight, docs, worth = cursors[j]
-            score += weight * int(worth[at[j]])
+            score += weight * worth[at[j]]
             at[j] += 1
             if at[j] < len(docs):
-                heapq.heapreplace(queue, (int(docs[at[j]]), j))
+                heapq.heapreplace(queue, (docs[at[j]], j))
             else:
                 heapq.heappop(queue)
         for j in range(leaders - 1, -1, -1):
             if score + bounds[j] < floor:
                 break
             _, weight, docs, worth = cursors[j]
-            at[j] += int(np.searchsorted(docs[at[j] :], doc))
+            at[j] = bisect_left(docs, doc, at[j])
             if at[j] < len(docs) and docs[at[j]] == doc:
-                score += weight * int(worth[at[j]])
+                score += weight * worth[at[j]]
         else:
             if score > 0:
                 key = (score, ids[doc] is not None, -(ids[doc] or 0))
