@@ -122,7 +122,12 @@ def as_of(facts: DataFrame, versions: DataFrame, *, fact_id: str, fact_day: str,
 
 
 def plan_validity(plans: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Valid-from of each plan (plan, first_year, last_year): the first decision whose title sets it, else New Year."""
-    sets = F.regexp_like(F.lower("title"), F.concat(F.lit("vaststelling.*meerjarenplan.*"), F.col("first_year").cast("string"), F.lit(r"\s*-\s*"), F.col("last_year").cast("string")))
-    named = plans.join(decisions.select("title", "day"), sets, "left").groupBy(*plans.columns).agg(F.min("day").alias("day"))
+    """Valid-from of each plan (plan, first_year, last_year): the first decision whose title sets it, else New Year.
+
+    The years are read from the titles (``decisions``: title, day) once and joined; titles that set no plan have none.
+    """
+    pattern = r"(?i)^\s*(?:vaststelling|goedkeuring)\s+(?:van\s+het\s+)?meerjarenplan\s+(20\d{2})\s*\W\s*(20\d{2})\b"
+    year = lambda i: F.regexp_extract("title", pattern, i).try_cast("int")
+    sets = decisions.select(year(1).alias("first_year"), year(2).alias("last_year"), "day").where("first_year is not null").groupBy("first_year", "last_year").agg(F.min("day").alias("day"))
+    named = plans.join(sets, ["first_year", "last_year"], "left")
     return named.select(*plans.columns, F.coalesce("day", F.make_date("first_year", F.lit(1), F.lit(1))).alias("valid_from"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicframe.functions.text import title_words
+from civicframe.operators.budget import plan_of_items, publication, publication_json
 from civicframe.operators.dossiers import around_cores, placed_questions, signature_links
 from civicframe.plans.registry import query, table
 from civicframe.store import stored
@@ -72,3 +73,53 @@ def questions_by_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = docs.where("id % 3 = 0").select("id")
     groups = docs.where("id % 3 = 1").select("id", F.floor(F.col("id") / 30).alias("dossier"))
     return placed_questions(questions, judged.where("same"), judged.where("not same"), groups)
+
+
+@query(
+    """
+    WITH years AS (SELECT DISTINCT year(l_shipdate) AS y FROM lineitem),
+    plans AS (SELECT 2000 - y AS plan, make_date(y, 1 + (y % 5)::INT, 3) AS valid_from FROM years),
+    versions AS (SELECT DISTINCT 2000 - year(l_shipdate) AS plan, l_partkey AS code FROM lineitem WHERE l_linenumber <= 2),
+    refs AS (SELECT DISTINCT l_partkey AS code, l_orderkey AS item, l_shipdate::DATE AS day FROM lineitem WHERE l_linenumber = 3),
+    dated AS (
+        SELECT code, item, day, coalesce((SELECT arg_max(plan, valid_from) FROM plans WHERE valid_from <= day), (SELECT arg_min(plan, valid_from) FROM plans)) AS plan FROM refs
+    ),
+    placed AS (
+        SELECT d.code, item, coalesce(v.plan, (SELECT min(plan) FROM versions f WHERE f.code = d.code)) AS plan, v.plan IS NULL AS other_plan
+        FROM dated d LEFT JOIN versions v ON v.code = d.code AND v.plan = d.plan WHERE d.code IN (SELECT code FROM versions)
+    )
+    SELECT code, item, CAST(plan AS INT) AS plan, other_plan FROM placed
+    """
+)
+def budget_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as budget codes, years as plans, first lines of orders as versions, third lines as references by their ship day."""
+    return plan_of_items(*_budget(table(spark, sf_dir, "lineitem")))
+
+
+def _budget(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """References, plans and versions made from order lines."""
+    year = F.year("l_shipdate")
+    plans = lines.select(year.alias("y")).distinct().select((2000 - F.col("y")).alias("plan"), F.make_date("y", 1 + F.col("y") % 5, F.lit(3)).alias("valid_from"))
+    versions = lines.where("l_linenumber <= 2").select((2000 - year).alias("plan"), F.col("l_partkey").alias("code"))
+    references = lines.where("l_linenumber = 3").select(F.col("l_partkey").alias("code"), F.col("l_orderkey").alias("item"), F.col("l_shipdate").cast("date").alias("day"))
+    return references, plans, versions
+
+
+@query(
+    """
+    WITH lines AS (SELECT l_partkey AS code, 2000 - year(l_shipdate) AS plan, CAST(sum(l_quantity) AS BIGINT) AS total FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL),
+    refs AS (SELECT DISTINCT l_partkey AS code, l_orderkey AS item FROM lineitem WHERE l_linenumber = 3)
+    SELECT code, arg_min(total, plan) AS newest, count(*) AS n_versions, CAST(sum(total) AS BIGINT) AS total, (SELECT count(*) FROM refs WHERE refs.code = lines.code) AS n_items
+    FROM lines WHERE code IN (SELECT code FROM refs) GROUP BY code
+    """
+)
+def budget_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publication of all codes as JSON texts, written, read back by a schema and summed up."""
+    orders = table(spark, sf_dir, "lineitem")
+    references, plans, versions = _budget(orders)
+    lines = orders.where("l_linenumber <= 2").groupBy((2000 - F.year("l_shipdate")).alias("plan"), F.col("l_partkey").alias("code")).agg(F.sum("l_quantity").cast("long").alias("total"))
+    published = publication(lines.select("plan", "code", F.struct("total").alias("line")), plan_of_items(references, plans, versions))
+    texts = stored(published.select(publication_json(published).alias("value")), "budget")
+    back = texts.select(F.from_json("value", "code long, line struct<total:long>, versions map<string,struct<total:long>>, plan_of_item map<string,int>").alias("r")).select("r.*")
+    sums = F.aggregate(F.map_values("versions"), F.lit(0).cast("long"), lambda a, v: a + v["total"])
+    return back.select("code", F.col("line.total").alias("newest"), F.size("versions").cast("long").alias("n_versions"), sums.alias("total"), F.size("plan_of_item").cast("long").alias("n_items"))

@@ -42,17 +42,40 @@ def year_columns(cell_rows: DataFrame) -> DataFrame:
     return good.select("doc", "page", "col", F.col("year").cast("int").alias("year"), kind.alias("kind"))
 
 
+def field_columns(cell_rows: DataFrame) -> DataFrame:
+    """Rows (doc, page, field, col) of the first page of each document that shows codes of lines: where its fields stand.
+
+    A code's description stands beside it, if a column is left; the entity comes first; the service is named in the heading.
+    """
+    maps = code_columns(cell_rows)
+    first = maps.where("kind = 'mjp'").groupBy("doc").agg(F.min("page").alias("page"))
+    head = cell_rows.where("row = 0").join(first, ["doc", "page"], "left_semi")
+    codes = maps.join(first, ["doc", "page"], "left_semi")
+    text = codes.select("doc", "page", F.concat("kind", F.lit("_text")).alias("field"), (F.col("col") + 1).alias("col")).join(head.select("doc", "page", "col"), ["doc", "page", "col"], "left_semi")
+    service = head.where(F.contains(F.lower("cell"), F.lit("dienst"))).groupBy("doc", "page").agg(F.min("col").alias("col")).select("doc", "page", F.lit("service").alias("field"), "col")
+    entity = first.select("doc", "page", F.lit("entity").alias("field"), F.lit(0).alias("col"))
+    found = codes.select("doc", "page", F.col("kind").alias("field"), "col")
+    for more in (text, service, entity):
+        found = found.unionByName(more.select("doc", "page", "field", "col"))
+    return found
+
+
 def budget_lines(tables: DataFrame) -> DataFrame:
-    """Lines (doc, code, description, amounts): the first row of each code; columns as on the first page that shows them."""
+    """Lines (doc, code, entity, goal, plan, action, service, description, amounts): the first row of each code.
+
+    Columns are fixed on the first page that shows codes of lines and hold for all later pages; earlier pages have none.
+    Goal, plan and action are pairs (code, text); what a document has no column for is empty. Amounts have year, kind and amount,
+    in the order of these.
+    """
     c = cells(tables)
-    maps, years = code_columns(c), year_columns(c)
-    first = maps.where("kind = 'mjp'").groupBy("doc").agg(F.min("page").alias("page"))
-    mjp = maps.where("kind = 'mjp'").join(first, ["doc", "page"]).select("doc", F.col("page").alias("first_page"), F.col("col").alias("code_col"))
-    code = c.where("row > 0").join(mjp, "doc").where((F.col("col") == F.col("code_col")) & (F.col("page") >= F.col("first_page")) & F.col("cell").rlike(CODES["mjp"])).select("doc", "page", "row", F.col("cell").alias("code"), "code_col")
+    fields = field_columns(c)
+    first = fields.select("doc", F.col("page").alias("first_page")).distinct()
+    values = c.where("row > 0").join(fields.drop("page"), ["doc", "col"]).join(first, "doc").where(F.col("page") >= F.col("first_page"))
+    at = lambda f: F.coalesce(F.max(F.when(F.col("field") == f, F.col("cell"))), F.lit(""))
+    pair = lambda k: F.struct(at(k).alias("code"), at(f"{k}_text").alias("text"))
+    rows = values.groupBy("doc", "page", "row").agg(at("mjp").alias("code"), at("entity").alias("entity"), pair("bd").alias("goal"), pair("ap").alias("plan"), pair("ac").alias("action"), at("service").alias("service"), at("mjp_text").alias("description"))
     order = Window.partitionBy("doc", "code").orderBy("page", "row")
-    code = code.withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
-    text = c.select("doc", "page", "row", (F.col("col") - 1).alias("code_col"), F.col("cell").alias("description"))
-    use = years.join(first, ["doc", "page"]).select("doc", "col", "year", "kind")
-    values = c.join(use, ["doc", "col"]).withColumn("amount", amount(F.col("cell"))).where("amount is not null")
-    per_row = values.groupBy("doc", "page", "row").agg(F.sort_array(F.collect_list(F.struct("year", "kind", "amount"))).alias("amounts"))
-    return code.join(text, ["doc", "page", "row", "code_col"], "left").join(per_row, ["doc", "page", "row"], "left").select("doc", "code", F.coalesce("description", F.lit("")).alias("description"), "amounts")
+    lines = rows.where(F.col("code").rlike(CODES["mjp"])).withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
+    use = year_columns(c).join(first, "doc").where(F.col("page") == F.col("first_page")).select("doc", "col", "year", "kind")
+    per_row = c.join(use, ["doc", "col"]).withColumn("amount", amount(F.col("cell"))).where("amount is not null").groupBy("doc", "page", "row").agg(F.sort_array(F.collect_list(F.struct("year", "kind", "amount"))).alias("amounts"))
+    return lines.join(per_row, ["doc", "page", "row"], "left").drop("page", "row")

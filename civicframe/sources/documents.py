@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from civicframe.store import stored
+
 CORRUPT = "_corrupt_record"
 
 
@@ -18,7 +20,7 @@ def json_documents(spark: SparkSession, path: str, schema: StructType | str) ->
     kind = _parse_datatype_string(schema) if isinstance(schema, str) else schema
     with_bad = StructType([*kind.fields]).add(CORRUPT, "string")
     rows = spark.read.schema(with_bad).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, recursiveFileLookup=True)
-    rows = rows.withColumn("file", F.col("_metadata.file_path"))
+    rows = stored(rows.withColumn("file", F.col("_metadata.file_path")), "json")  # parsed once, for both tables
     good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, rows.where(F.col(CORRUPT).isNotNull()).select("file", F.col(CORRUPT).alias("text"))
 
