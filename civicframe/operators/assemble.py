@@ -53,6 +53,30 @@ def oral_questions(minutes: DataFrame, agenda: DataFrame) -> DataFrame:
     )
 
 
+def debate_number(number: Column) -> Column:
+    """``ACT``, ``ACT1`` and ``ACT01`` are one debate; other numbers stay."""
+    bare = F.regexp_extract(number, r"^ACT0*(\d*)$", 1)
+    return F.when(number.rlike(r"^ACT0*\d*$"), F.concat(F.lit("ACT"), F.when(bare == "", "1").otherwise(bare))).otherwise(number)
+
+
+def debates(minutes: DataFrame, agenda: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Debates of the day that the decision list lacks: title of the first agenda, else of the minutes; text and status by the minutes.
+
+    Nothing is voted on. Without minutes a debate is an item of the agenda, and its source text is the agenda's line.
+    """
+    with_key = lambda df: df.withColumn("key", debate_number(F.col("number")))
+    planned = first_wins(with_key(agenda.where("type = 'actuadebat'")), ["session_id", "key"], F.col("ord")).select("session_id", "key", F.col("number").alias("_planned"), F.col("title").alias("_title"))
+    told = last_wins(with_key(minutes.where("type = 'actualiteitsdebat'")), ["session_id", "key"], "block").select("session_id", "key", F.col("number").alias("_told"), F.col("title").alias("_heard"), "text", "vote")
+    both = planned.join(told, ["session_id", "key"], "full").join(with_key(decisions).select("session_id", "key").distinct(), ["session_id", "key"], "left_anti")
+    number, title = F.coalesce("_planned", "_told"), F.trim(F.coalesce("_title", "_heard", F.lit("")))
+    held = F.col("_told").isNotNull()
+    result = F.when(held, F.struct(F.lit("bespreking ter zitting").alias("decision"), F.lit("Bespreking ter zitting").alias("text")))
+    return both.select(
+        F.concat_ws("-", "session_id", number).alias("id"), "session_id", number.alias("number"), F.when(held, "beslist").otherwise("agenda").alias("status"), result.alias("result"),
+        F.lit("actuadebat").alias("type"), title.alias("title"), F.when(held, F.coalesce("text", F.lit(""))).otherwise(F.concat(number, F.lit(". ACTUALITEITSDEBAT. "), title)).alias("source_text"), "vote",
+    )
+
+
 def missing_questions(agenda: DataFrame, published: DataFrame) -> DataFrame:
     """Questions of the agenda that no published item has."""
     return agenda.where("type = 'vraag'").join(published, ["session_id", "number"], "left_anti")

@@ -91,6 +91,21 @@ def link_errors(links: DataFrame, items: DataFrame, texts: DataFrame) -> DataFra
     return out.unionByName(say(links.where("key is not null").join(texts.select("key"), "key", "left_anti"), "tekst ontbreekt", "key")).distinct()
 
 
+def file_errors(links: DataFrame, catalogue: DataFrame, files: DataFrame) -> DataFrame:
+    """What is wrong between a link table (item_id, url, key), the ``catalogue`` (url, path) and the ``files`` (path, modified in nanoseconds, size): rows (what, id).
+
+    The key of a cached text is the digest of its file's path, time and size: another key means the text of another
+    document, or of a former one. A text whose file is gone can't be checked and is an error too, and so is a path
+    that two documents of the catalogue share.
+    """
+    keyed = links.where("key is not null").join(catalogue.select("url", "path"), "url").join(files, "path", "left")
+    own = F.sha1(F.concat_ws("|", "path", F.col("modified").cast("string"), F.col("size").cast("string")).cast("binary"))
+    say = lambda df, what, c: df.select(F.lit(what).alias("what"), F.col(c).cast("string").alias("id"))
+    out = say(keyed.where(F.col("size").isNull()), "tekst zonder bestand", "item_id")
+    out = out.unionByName(say(keyed.where(F.col("size").isNotNull() & (F.col("key") != own)), "tekst van een ander stuk", "item_id"))
+    return out.unionByName(say(collisions(catalogue, "path", "url"), "bestandsnaam gedeeld", "path")).distinct()
+
+
 def assert_some(name: str, df: DataFrame) -> DataFrame:
     """``df``, unless it is empty: an empty index replaces nothing, and a page without links is no page."""
     if df.limit(1).count() == 0:

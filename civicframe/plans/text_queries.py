@@ -86,6 +86,35 @@ def numbering_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.numbering_errors(items).where("what = 'gat'")
 
 
+@query(
+    """
+    WITH i AS (
+        SELECT l_orderkey AS doc, l_linenumber * 10000000.0 + l_extendedprice AS pos, CAST(l_quantity AS INT) % 6 + 1 AS n, CASE WHEN l_tax > 0.05 THEN chr(65 + CAST(round(l_discount * 100) AS INT) % 3) ELSE '' END AS letter,
+               l_linestatus AS section, l_returnflag AS flag FROM lineitem
+    ),
+    num AS (SELECT doc, n, bool_or(letter = '') AS whole, list_sort(list(DISTINCT letter) FILTER (letter <> '')) AS has FROM i GROUP BY doc, n),
+    top AS (SELECT doc, max(n) AS top FROM i GROUP BY doc),
+    run AS (SELECT *, sum(changed) OVER (PARTITION BY doc ORDER BY pos) AS run FROM (SELECT *, CAST(section <> lag(section, 1, section) OVER (PARTITION BY doc ORDER BY pos) AS INT) AS changed FROM i)),
+    down AS (SELECT *, lag(n * 10 + ascii(letter || ' ') / 100.0) OVER (PARTITION BY doc, run ORDER BY pos) AS before FROM run)
+    SELECT DISTINCT * FROM (
+        SELECT doc, CAST(k AS VARCHAR) AS number, 'gat' AS what FROM (SELECT doc, unnest(range(1, top + 1)) AS k FROM top) t WHERE NOT EXISTS (SELECT 1 FROM num WHERE num.doc = t.doc AND num.n = t.k)
+        UNION ALL SELECT doc, n || has[1], 'gat' FROM num WHERE NOT whole
+        UNION ALL SELECT doc, n || x, 'gat' FROM (SELECT doc, n, has, unnest(['A', 'B', 'C']) AS x FROM num WHERE len(has) > 0) WHERE x < has[-1] AND NOT list_contains(has, x)
+        UNION ALL SELECT doc, n || letter, 'dubbel' FROM i GROUP BY doc, n, letter HAVING count(*) > 1
+        UNION ALL SELECT doc, n || letter, 'volgorde' FROM down WHERE n * 10 + ascii(letter || ' ') / 100.0 < before
+        UNION ALL SELECT doc, n || letter, 'resultaat' FROM i WHERE flag = 'R'
+    )
+    """
+)
+def decision_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as decision lists whose numbers, letters, sections and results come from their lines: all that breaks a rule."""
+    letter = F.when(F.col("l_tax") > 0.05, F.char(65 + F.round(F.col("l_discount") * 100).cast("int") % 3)).otherwise("")
+    number = F.concat((F.col("l_quantity").cast("int") % 6 + 1).cast("string"), letter)
+    result = F.when(F.col("l_returnflag") == "R", "Retour").when(F.col("l_returnflag") == "A", "Aktename / Goedgekeurd").otherwise("Verdaagd")
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc"), (F.col("l_linenumber") * 10000000.0 + F.col("l_extendedprice")).alias("pos"), number.alias("number"), F.col("l_linestatus").alias("section"), F.lit("titel").alias("title"), result.alias("result"))
+    return lines.decision_errors(items)
+
+
 @query(
     """
     SELECT conv_id, turn, text AS question, answer FROM (

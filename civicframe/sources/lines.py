@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicframe.functions.dates import MONTHS
+from civicframe.operators.catalogue import continued_title
+
 
 def lines(docs: DataFrame, *, id_col: str = "doc", text_col: str = "text", noise: str | None = None) -> DataFrame:
     """Rows (id, pos, line): trimmed, non-empty lines, without those that match ``noise``."""
@@ -141,6 +144,7 @@ MINUTES_NUMBERED = r"^(\d+)\.(?:\s+|(?=[A-ZÀ-Ÿ]))([A-ZÀ-Ÿ][A-ZÀ-Ÿ0-9 /()&\
 MINUTES_SPECIAL = r"^(TP\d+|ACT\d*|HP\d+|V\d+|O\d+)\.\s+([^.]+?)\.\s+(.*)$"
 MINUTES_NOISE = r"^(Notulen gemeenteraad|Gemeenteraad . Notulen|Vergadering van |NAMENS DE)"
 BULLET = "^\uf0b7\\s*"
+PAGE_FOOTER = rf"(?iU)^\s*\d{{1,2}}\s+(?:{'|'.join(MONTHS)})\s+\d{{4}}\s*$"
 
 
 def parse_minutes(docs: DataFrame, **columns: str) -> DataFrame:
@@ -150,8 +154,12 @@ def parse_minutes(docs: DataFrame, **columns: str) -> DataFrame:
     rows = rows.withColumn("number", parts(1)).withColumn("category", F.trim(parts(2))).withColumn("title", F.trim(parts(3)))
     running = Window.partitionBy("doc").orderBy("pos")
     is_item = F.col("number").isNotNull() & ~F.coalesce(F.col("number").startswith("O"), F.lit(False))
-    rows = rows.withColumn("block", F.sum(is_item.cast("int")).over(running)).where("block > 0")
     promise = F.coalesce(F.col("number").startswith("O"), F.lit(False))
+    # the title of a promise runs on over up to three lines, to a full stop, a section or the next head
+    following = F.array(*(F.coalesce(F.lead("line", i).over(running), F.lit("Motivering")) for i in (1, 2, 3)))
+    whole = continued_title(F.col("title"), following, stop=f"{MINUTES_NUMBERED}|{MINUTES_SPECIAL}", footer=PAGE_FOOTER)
+    rows = rows.withColumn("title", F.when(promise, whole).otherwise(F.col("title")))
+    rows = rows.withColumn("block", F.sum(is_item.cast("int")).over(running)).where("block > 0")
     first = lambda c: F.max(F.when(F.col("number").isNotNull() & ~promise, F.col(c))).alias(c)
     listed = lambda test, value: F.transform(F.filter(F.sort_array(F.collect_list(F.struct("pos", test.alias("t"), value.alias("v")))), lambda x: x["t"]), lambda x: x["v"])
     items = rows.groupBy("doc", "block").agg(first("number"), first("category"), first("title"), F.array_join(listed(F.lit(True), F.col("line")), "\n").alias("text"), listed(promise, F.coalesce("title", F.lit(""))).alias("promises"))
@@ -174,6 +182,53 @@ def attendance(text: Column) -> Column:
     return F.struct(names(here).alias("present"), names(away).alias("absent"))
 
 
+#: Known results of items; a result of several parts joins them by " / ". Fixed values.
+OUTCOMES = (
+    "Goedgekeurd", "Goedgekeurd na amendering", "Aktename", "Kennisname", "Vastgesteld", "Bekrachtigd", "Gunstig geadviseerd", "Verworpen", "Niet ter stemming gelegd",
+    "Verdaagd", "Afgevoerd van agenda", "Verkozen verklaring", "Aangesteld", "Geschrapt", "Bespreking ter zitting", "Behandeld ter zitting",
+)
+#: Heads of three kinds of items in the lines of a list. Fixed values.
+KIND_HEAD = r"^(?:[A-Z]{2,4}\d{0,3}|\d{1,3} ?[A-Z]?)\.?\s*(ACTUALITEITSDEBAT|TOEGEVOEGD PUNT|POLITIEVERORDENINGEN)\."
+
+
+def decision_errors(items: DataFrame, texts: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Rows (doc, number, what) of what is wrong in parsed decision lists, without the deviations that are ``known`` (the same columns).
+
+    ``items`` is :func:`parse_decisions`, ``texts`` (doc, text) their source. Six checks: ``gat`` (a number, a letter of a series, or the main
+    item of a letter is missing), ``dubbel``, ``volgorde`` (a number descends within a section), ``resultaat`` (no known
+    outcome, unless the item is struck), ``opgeslokt`` (a title holds an outcome and then the head of another item),
+    ``punttype`` (the text has more heads of a kind than there are items of it). Known deviations are part of the data, not of this module.
+    """
+    main, letter = F.regexp_extract("number", r"^(\d+)([A-Za-z]?)$", 1).try_cast("int"), F.upper(F.regexp_extract("number", r"^(\d+)([A-Za-z]?)$", 2))
+    rows = items.withColumn("n", main).withColumn("letter", F.when(main.isNotNull(), letter))
+    say = lambda df, what, number="number": df.select("doc", F.col(number).cast("string").alias("number"), F.lit(what).alias("what"))
+    numbers = rows.where("n is not null").groupBy("doc", "n").agg(F.max(F.col("letter") == "").alias("whole"), F.max(F.nullif("letter", F.lit(""))).alias("last"), F.collect_set(F.nullif("letter", F.lit(""))).alias("has"))
+    per_doc = numbers.groupBy("doc").agg(F.max("n").alias("top"))
+    wanted = per_doc.where("top > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("top"))).alias("n"))
+    gaps = say(wanted.join(numbers, ["doc", "n"], "left_anti"), "gat", "n")
+    orphans = say(numbers.where("not whole").withColumn("number", F.concat("n", F.array_min("has"))), "gat")
+    alphabet = F.transform(F.sequence(F.lit(65), F.ascii("last")), lambda i: F.char(i))
+    series = numbers.where("last is not null").select("doc", "n", F.explode(F.array_except(alphabet, "has")).alias("x"))
+    found = gaps.unionByName(orphans).unionByName(say(series.withColumn("number", F.concat("n", "x")), "gat"))
+    doubles = rows.withColumn("key", F.coalesce(F.concat("n", "letter"), "number")).groupBy("doc", "key").agg(F.count("*").alias("c"), F.max("number").alias("number")).where("c > 1")
+    order = Window.partitionBy("doc").orderBy("pos")
+    run = rows.withColumn("_run", F.sum(F.coalesce((F.col("section") != F.lag("section").over(order)).cast("int"), F.lit(0))).over(order))
+    here = F.struct("n", "letter")
+    down = run.where("n is not null").withColumn("_before", F.lag(here).over(Window.partitionBy("doc", "_run").orderBy("pos"))).where(here < F.col("_before"))
+    struck = (F.col("result") == "") & F.upper("title").startswith("GESCHRAPT")
+    odd = F.exists(F.split("result", " / "), lambda r: ~F.trim(r).isin(*OUTCOMES))
+    swallowed = rf"(?U)\b(?:{'|'.join(sorted(OUTCOMES, key=len, reverse=True))})\s+(?:\d{{1,3}} ?[A-Z]?|[A-Z]{{2,4}}\d{{1,3}})(?:[.:)]\s*|\s+)[A-Z]"
+    for what, df in (("dubbel", doubles), ("volgorde", down), ("resultaat", rows.where(~struck & odd)), ("opgeslokt", rows.where(F.col("title").rlike(swallowed)))):
+        found = found.unionByName(say(df, what))
+    if texts is not None:
+        heads = texts.select("doc", F.explode(F.transform(F.split("text", r"\R"), lambda x: F.regexp_extract(F.trim(x), KIND_HEAD, 1))).alias("number")).where("number <> ''").groupBy("doc", "number").agg(F.count("*").alias("n"))
+        kind = F.when(F.col("type") == "actuadebat", "ACTUALITEITSDEBAT").when(F.col("type") == "toegevoegd", "TOEGEVOEGD PUNT").when(F.upper("category") == "POLITIEVERORDENINGEN", "POLITIEVERORDENINGEN")
+        have = items.groupBy("doc", kind.alias("number")).agg(F.count("*").alias("have"))
+        found = found.unionByName(say(heads.join(have, ["doc", "number"], "left").where("n > coalesce(have, 0)"), "punttype"))
+    found = found.distinct()
+    return found if known is None else found.join(known.select("doc", "number", "what"), ["doc", "number", "what"], "left_anti")
+
+
 def numbering_errors(items: DataFrame) -> DataFrame:
     """Violations (doc, number, what) in parsed items (doc, pos, number, section, title, result): gaps, doubles, descents, no result."""
     n = F.regexp_extract("number", r"^(\d+)", 1).try_cast("int")

@@ -131,6 +131,12 @@ def test_other_masks(spark):
     assert one(spark, privacy.mask_names(F.col("x"), ["Jan Proef"]), "Proef alleen, Proefman") == "Proef alleen, Proefman"
     assert one(spark, privacy.mask_phrases(F.col("x"), ["ernstig ziek"]), "is ernstig\nziek") == "is [verwijderd]"
     assert one(spark, privacy.indexable(F.col("x")), "31 stemmen voor (Jan X, An Y), de heer Jan Proef en mevrouw de Gouverneur") == "31 stemmen voor,   en mevrouw de Gouverneur"
+    cut = lambda t, *public: one(spark, privacy.indexable(F.col("x"), public), t)
+    assert cut("Aanvrager 2 Jan Voorbeeld Kerkstraat 3") == "Aanvrager 2 Kerkstraat 3" and cut("Adres aanvrager: Kerkstraat 3") == "Adres aanvrager: Kerkstraat 3"
+    assert cut("Exploitant: Els Proef Onderneming X") == "Exploitant: Onderneming X" and cut("contactpersoon: Jan De Proef Adres") == "contactpersoon: Adres"
+    assert cut("OGV Voorbeeld en Meester Proefsma. a@b.be") == "  en  .  " or cut("OGV Voorbeeld en Meester Proefsma.") == "  en  ."
+    named = "door de heer An  Open, mevrouw An Dicht, dhr. J. Proef en mr. Van Proef"
+    assert cut(named, "An Open", "J. Proef", "Van Proef") == "door de heer An  Open,  ,   en  "
 
 
 def test_index_is_true_and_search_finds(spark):
@@ -161,6 +167,26 @@ def test_gates(spark):
     assert found == {("meer dan een uittreksel", "i"), ("stuk bij twee punten", "u1"), ("bijlage zonder uittreksel", "u1"), ("ander puntnummer", "i"), ("tekst ontbreekt", "k2")}
 
 
+def test_files_behind_links(spark):
+    import hashlib
+
+    key = lambda *x: hashlib.sha1("|".join(map(str, x)).encode()).hexdigest()
+    catalogue = spark.createDataFrame([("u1", "a.pdf"), ("u2", "b.pdf"), ("u3", "b.pdf"), ("u4", "gone.pdf")], "url string, path string")
+    files = spark.createDataFrame([("a.pdf", 17, 5), ("b.pdf", 18, 6)], "path string, modified long, size long")
+    links = spark.createDataFrame([("i", "u1", key("a.pdf", 17, 5)), ("j", "u2", key("a.pdf", 17, 5)), ("k", "u4", "x"), ("l", "u2", None), ("m", "other", "x")], "item_id string, url string, key string")
+    assert {(r.what, r.id) for r in gates.file_errors(links, catalogue, files).collect()} == {("tekst van een ander stuk", "j"), ("tekst zonder bestand", "k"), ("bestandsnaam gedeeld", "b.pdf")}
+
+
+def test_debates_missing_from_the_list(spark):
+    agenda = spark.createDataFrame([("s", "ACT01", "actuadebat", " cd&v vraagt ", 1), ("s", "ACT1", "actuadebat", "later", 2), ("s", "ACT2", "actuadebat", "twee", 1), ("s", "ACT3", "actuadebat", "op lijst", 1), ("s", "V1", "vraag", "v", 1)], "session_id string, number string, type string, title string, ord int")
+    minutes = spark.createDataFrame([("s", "ACT", 3, "actualiteitsdebat", "afgebroken", "tekst", None), ("s", "ACT9", 4, "actualiteitsdebat", "enkel notulen", "t9", "v")], "session_id string, number string, block int, type string, title string, text string, vote string")
+    decisions = spark.createDataFrame([("s", "ACT03"), ("s", "1")], "session_id string, number string")
+    got = {r.id: (r.status, r.title, r.source_text, r.result and r.result.text) for r in assemble.debates(minutes, agenda, decisions).collect()}
+    assert got == {
+        "s-ACT01": ("beslist", "cd&v vraagt", "tekst", "Bespreking ter zitting"), "s-ACT2": ("agenda", "twee", "ACT2. ACTUALITEITSDEBAT. twee", None), "s-ACT9": ("beslist", "enkel notulen", "t9", "Bespreking ter zitting"),
+    }
+
+
 def test_watchdogs(spark):
     items = spark.createDataFrame([(1, "De aanvrager Jan Proef woont hier. De heer Open Baar sprak."), (2, "Ernstig ziek in Proefstraat 12 meldt de heer Jan Proef."), (3, "bezwaar van Els Geheim; en een proef")], "id int, text string")
     public = spark.createDataFrame([("Open Baar",)], "name string")

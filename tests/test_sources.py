@@ -82,6 +82,23 @@ def test_decision_lists(spark):
     assert got["15"].section == "besloten" and got["14A"].section == "openbaar" and got["14A"].result == "Goedgekeurd"
 
 
+def test_all_checks_of_a_decision_list(spark):
+    rows = [("1", "openbaar", "a", "Goedgekeurd", "gewoon", ""), ("2A", "openbaar", "b", "Goedgekeurd / Aktename", "gewoon", ""), ("2C", "openbaar", "c", "naar aanleiding van", "gewoon", ""), ("5", "openbaar", "GESCHRAPT punt", "", "gewoon", ""), ("4", "openbaar", "titel Goedgekeurd 7. Volgende", "Verdaagd", "gewoon", "POLITIEVERORDENINGEN"), ("ACT1", "besloten", "d", "Bespreking ter zitting", "actuadebat", ""), ("4", "besloten", "e", "", "gewoon", "")]
+    items = spark.createDataFrame([("d", i, *r) for i, r in enumerate(rows)], "doc string, pos int, number string, section string, title string, result string, type string, category string")
+    texts = spark.createDataFrame([("d", "ACT1. ACTUALITEITSDEBAT. x\n  ACT2. ACTUALITEITSDEBAT. y\n4. POLITIEVERORDENINGEN. z\nTP1. TOEGEVOEGD PUNT. q")], "doc string, text string")
+    got = {(r.number, r.what) for r in lines.decision_errors(items, texts).collect()}
+    expected = {("3", "gat"), ("2A", "gat"), ("2B", "gat"), ("4", "dubbel"), ("4", "volgorde"), ("2C", "resultaat"), ("4", "resultaat"), ("4", "opgeslokt"), ("ACTUALITEITSDEBAT", "punttype"), ("TOEGEVOEGD PUNT", "punttype")}
+    assert got == expected
+    known = spark.createDataFrame([("d", "2C", "resultaat"), ("e", "3", "gat")], "doc string, number string, what string")
+    assert {(r.number, r.what) for r in lines.decision_errors(items, texts, known).collect()} == expected - {("2C", "resultaat")}
+
+
+def test_promises_run_on_over_lines(spark):
+    text = "1. MOBILITEIT. Titel\nO1. OPDRACHT. Nagaan hoe\n27 januari 2025\nde stad het doet.\nniet meer\nO2. OPDRACHT. Kort\nMotivering\nO3. OPDRACHT. Laatste\nregel een\n2. CULTUUR. Ander"
+    got = {r.number: r.promises for r in lines.parse_minutes(spark.createDataFrame([("d", text)], "doc string, text string")).collect()}
+    assert got == {"1": ["Nagaan hoe de stad het doet.", "Kort", "Laatste regel een"], "2": []}
+
+
 def test_numbering_errors(spark):
     rows = [("d", 1, "1", "openbaar", "a", "ok"), ("d", 2, "3", "openbaar", "b", ""), ("d", 3, "2", "openbaar", "GESCHRAPT", ""), ("d", 4, "6", "besloten", "c", "ok"), ("d", 5, "6", "besloten", "c", "ok")]
     items = spark.createDataFrame(rows, "doc string, pos int, number string, section string, title string, result string")
