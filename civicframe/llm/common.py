@@ -50,6 +50,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def quoted(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever signs their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 #: Bytes of a side that may be broadcast, as Spark holds its rows: fixed fields, and what strings and arrays take.
 BROADCAST_BYTES = 64 << 20
 
@@ -73,4 +78,4 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
-__all__ = ["BROADCAST_BYTES", "WORD", "let", "lower_ascii", "open_store", "shared_path", "small", "stored", "table", "unused", "words"]
+__all__ = ["BROADCAST_BYTES", "WORD", "let", "lower_ascii", "open_store", "quoted", "shared_path", "small", "stored", "table", "unused", "words"]

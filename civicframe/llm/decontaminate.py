@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import let, small, stored, unused, words
+from civicframe.llm.common import let, quoted, small, stored, unused, words
 
 #: Runs of digits, ASCII letters and all signs outside ASCII, once A-Z are in lower case.
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -111,7 +111,11 @@ def without_spans(text: Column, spans: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "documents", **params) -> DataFrame:
-    """``docs`` without its contaminated rows (``remove="documents"``) or with the hit words of these cut out (``"spans"``)."""
+    """``docs`` without its contaminated rows (``remove="documents"``) or with the hit words of these cut out (``"spans"``).
+
+    Null texts have no words and stay; repeated rows are judged alike; an empty table stays empty, and with an empty
+    benchmark all rows stay. All columns are kept, whatever their names.
+    """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     report = unused(docs, "_report")
@@ -121,4 +125,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "docum
         return judged.where(~found["contaminated"]).drop(report)
     text_col = params.get("text_col", "text")
     cleaned = F.when(found["contaminated"], without_spans(F.col(text_col), found["spans"])).otherwise(F.col(text_col))
-    return judged.withColumn(text_col, cleaned).select(*docs.columns)
+    return judged.withColumn(text_col, cleaned).select(*quoted(docs))

@@ -5,8 +5,8 @@ left to right into phrases, each the longest match in the automaton; a text in t
 The number of phrases, times the bits that name a place in the sample, over the length of the text, is the
 cross-parsing entropy; the language of the least wins.
 
-The automata are turned into tables so that many segments of texts are parsed in step. Texts are cut into segments of
-``SEGMENT`` symbols, parsed whole; a phrase does not run over a cut.
+The automata are turned into tables so that many texts are parsed in step, ``SEGMENT`` symbols of each at a time; the state at
+the end of a segment is carried to the next one, so a phrase runs on over the cut and long texts get the phrases of the method.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 SEGMENT = 2048
 #: Entries of a full table; a language whose letters and states make more keeps its arcs as a sorted list.
@@ -118,12 +118,15 @@ def automaton(symbols: list[int], size: int, full: int = FULL) -> Arcs:
     return Arcs(column, columns, table.ravel(), None, None)
 
 
-def phrases(arcs: Arcs, segments: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Number of phrases of each column of ``segments``, whose columns are in descending order of ``lengths``."""
+def phrases(arcs: Arcs, segments: np.ndarray, lengths: np.ndarray, state: np.ndarray | None = None) -> np.ndarray:
+    """Number of phrases that begin in each column of ``segments``, whose columns are in descending order of ``lengths``.
+
+    ``state`` has the states that the columns begin in, and in the end those they reach; without it all begin at the root.
+    """
     table, keys = arcs.table, arcs.keys
     segments = arcs.column[segments]
     count = np.zeros(segments.shape[1], np.int32)
-    state = np.zeros(segments.shape[1], table.dtype)
+    state = np.zeros(segments.shape[1], table.dtype) if state is None else state
     live = np.searchsorted(-lengths, -np.arange(segments.shape[0]), "left")
     for step in range(segments.shape[0]):
         n = live[step]
@@ -155,19 +158,21 @@ class Model:
     def entropies(self, texts: list[str], group: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         """Bits a symbol, a row for each text and a column for each language; and the symbols of each text."""
         parts = [self.alphabet.encode(t) for t in texts]
-        owner = np.repeat(np.arange(len(parts)), [-(-len(p) // SEGMENT) for p in parts])
-        pieces = [p[i : i + SEGMENT] for p in parts for i in range(0, len(p), SEGMENT)]
+        n = np.array([len(p) for p in parts], np.int64)
         total = np.zeros((len(texts), len(self.langs)))
-        sizes = np.array([len(x) for x in pieces], np.int64)
-        order = np.argsort(-sizes, kind="stable")
+        order = np.argsort(-n, kind="stable")
         for i in range(0, len(order), group):
-            some = order[i : i + group]
-            grid = np.zeros((sizes[some[0]], len(some)), np.int32)
-            for k, j in enumerate(some.tolist()):
-                grid[: sizes[j], k] = pieces[j]
-            for k, table in enumerate(self.tables):
-                np.add.at(total[:, k], owner[some], phrases(table, grid, sizes[some]))
-        n = np.array([len(p) for p in parts])
+            some = order[i : i + group]  # by falling length, so those that go on come first
+            states = [np.zeros(len(some), table.table.dtype) for table in self.tables]
+            for begin in range(0, int(n[some[0]]), SEGMENT):
+                some = some[n[some] > begin]
+                sizes = np.minimum(n[some] - begin, SEGMENT)
+                grid = np.zeros((sizes[0], len(some)), np.int32)
+                for k, j in enumerate(some.tolist()):
+                    grid[: sizes[k], k] = parts[j][begin : begin + SEGMENT]
+                for k, table in enumerate(self.tables):
+                    states[k] = states[k][: len(some)]
+                    total[some, k] += phrases(table, grid, sizes, states[k])
         return total * self.bits / np.maximum(n, 1)[:, None], n
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -229,7 +234,8 @@ def identify(docs: DataFrame, learned: dict[str, str], *, text_col: str = "text"
     names = docs.columns
     text_at = names.index(text_col)
     keep = [i for i, c in enumerate(names) if c not in out]
-    schema = StructType([docs.schema.fields[i] for i in keep]).add(out[0], "string").add(out[1], "double")
+    plain = [f"c{i}" for i in range(len(names))]  # a name may hold signs that a column's can't be asked for by
+    schema = StructType([StructField(plain[i], docs.schema.fields[i].dataType, True) for i in keep]).add("lang", "string").add("score", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from civicframe.llm import langid  # the module's own store, which later tasks of this worker find again
@@ -242,10 +248,10 @@ def identify(docs: DataFrame, learned: dict[str, str], *, text_col: str = "text"
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
                 langs, scores = model.predict(part.column(text_at).to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*(names[k] for k in keep), *out])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*(plain[k] for k in keep), "lang", "score"])
         pa.default_memory_pool().release_unused()  # the worker waits for other tasks
 
-    return docs.mapInArrow(predict, schema)
+    return docs.toDF(*plain).mapInArrow(predict, schema).toDF(*(names[i] for i in keep), *out)
 
 
 def learn(docs: DataFrame, *, held_out: Column, text_col: str = "text", lang_col: str = "lang", rows: int = 400, chars: int = 40_000) -> dict[str, str]:

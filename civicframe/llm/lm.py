@@ -5,9 +5,10 @@ state for each pair of words, if they occur ``LEAST`` times in the texts that ar
 a state there is an arc, however rare. With n its count, c the state's and k the state's strength (``STRENGTH``), an arc
 weighs log10((n + k * p) / (c + k)), where p is the word's probability in the state that the failure arc leads to; the
 failure arc weighs log10(k / (c + k)). So the probabilities of all words in a state sum to one, with one unseen word
-counted as known by the add-one rule. A text is walked once from left to right: the automaton holds the state of the
-last two words; a word that has no arc there takes failure arcs, from the pair to the word and from the word to the
-root, until it has one. After a word the state is that of the longest of its endings that is a state.
+counted as known by the add-one rule. A word that has no arc in the state of the two words before it takes failure arcs, from the pair to the word and from the word
+to the root, until it has one. After a word the state is that of the longest of its endings that is a state. The arcs of a block are not
+built as one table: they are looked up order by order for all tokens of the block at once, and the weights of the failure
+arcs taken on the way are added, which gives the sum that a walk from left to right gives.
 
 Counting. Texts are read once into blocks, files of token numbers of some million tokens with the block's own
 vocabulary. A block sends each distinct gram (a word, later a pair, then a triple) of its texts with its count once, as

@@ -33,6 +33,8 @@ from civicframe.llm.common import let, small, stored, words
 from civicframe.operators.dossiers import components
 
 K = 64
+#: Retained values of an exact run: more than any set has.
+WHOLE = 1 << 30
 SIGMAS = 5.0
 LIST = 16
 ROUNDS = 1
@@ -169,13 +171,18 @@ def near_links(classes: DataFrame, docs: DataFrame, *, id_col: str, text_col: st
         open_lists = now.select("v", "id", "n", "own")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, k: int = K) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, k: int = K, exact: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable by links) and kept.
 
+    Sets of up to ``k * percent / 100`` shingles lose no link; of larger ones a link is lost about once in three million at a
+    likeness of exactly ``percent``. With ``exact`` the sketches retain whole sets, so that lists and filters are certain for sets of every size,
+    at the cost of moving the sets.
+
     Two rows are linked if their sets have 100 * intersection >= percent * union. Null, empty and wordless texts have
     an empty set and are linked with nothing. Rows that repeat an id are one document with the links of all its texts;
     rows with a null id have a null component and are kept, as nothing can name them. Other columns are ignored.
     """
+    k = WHOLE if exact else k
     rows = stored(sketches(docs, id_col=id_col, text_col=text_col, n=shingle, k=k), "sketches")
     named = rows.where("n > 0 and id is not null")
     classes = named.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))

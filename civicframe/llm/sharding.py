@@ -10,17 +10,18 @@ evens what the rounds left uneven. Only ids, sizes and keys move; texts are read
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import stored
+from civicframe.llm.common import small, stored
 
 ROUNDS = 4
 #: Room above an equal share during the rounds; the cut of the line takes it back.
 SLACK = 0.25
 #: Rows that a task orders at a time, on average.
 CELL_ROWS = 5000
-MOST_BUCKETS = 4096
 
 
 def _unit(*keys) -> Column:
@@ -76,15 +77,21 @@ def even_cut(rows: DataFrame, shards: int) -> DataFrame:
     """
     rows = stored(rows, "settled")
     n = rows.count()
-    buckets = max(1, min(MOST_BUCKETS, n // (shards * CELL_ROWS)))
+    buckets = max(1, n // (shards * CELL_ROWS))
     giant = F.col("members") > CELL_ROWS
     cell = [F.col("shard").alias("_l"), F.floor(_unit("group") * buckets).alias("_b"), F.when(giant, F.col("group")).alias("_g"), F.when(giant, F.floor(_unit("id", "group") * F.ceil(F.col("members") / CELL_ROWS))).otherwise(F.lit(0)).alias("_s")]
-    names = ["_l", "_b", "_g", "_s"]
-    rows = rows.select(*[c for c in rows.columns if c != "shard"], *cell)
+    names = ["_l", "_b", "_g", "_s", "_x"]
+    rows = rows.select(*[c for c in rows.columns if c != "shard"], *cell).withColumn("_x", F.lit(0).cast("bigint"))
+    # rows that share group and id fall in one cell, whatever their number: such a cell is cut by the number of the row
+    hot = stored(rows.groupBy(*names[:-1]).agg(F.count("*").alias("_n")).where(F.col("_n") > 2 * CELL_ROWS), "hot-cells")
+    if hot.limit(1).count():
+        on = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in names[:-1]]
+        cut = F.coalesce(F.floor(_unit("row") * F.ceil(F.col("h._n") / CELL_ROWS)), F.lit(0))
+        rows = rows.drop("_x").alias("r").join(small(hot).alias("h"), reduce(lambda a, b: a & b, on), "left").select("r.*", cut.alias("_x"))
     before = Window.orderBy(*(F.col(c).asc_nulls_first() for c in names)).rowsBetween(Window.unboundedPreceding, -1)
     cells = rows.groupBy(*names).agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
     cells = cells.select(*names, F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_at"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"), F.sum("_bytes").over(Window.partitionBy()).alias("_total"))
-    inside = Window.partitionBy(*names).orderBy("group", F.col("id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*names).orderBy("group", F.col("id").asc_nulls_first(), "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_upto", F.sum("size").over(inside)).withColumn("_k", F.row_number().over(inside) - 1)
     same = None
     for c in names:
@@ -107,7 +114,7 @@ def shard(docs: DataFrame, *, shards: int = 16, id_col: str = "doc_id", text_col
     shards. With fewer rows than shards some shards stay empty; an empty table gives no rows. Other columns are ignored.
     """
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), F.xxhash64(data).alias("group"))
+    rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), F.xxhash64(data).alias("group"), F.monotonically_increasing_id().alias("row"))
     rows = stored(rows, "shard-rows")
     groups = rows.groupBy("group").agg(F.count("*").alias("members"), F.sum("size").alias("group_bytes")).where("members > 1")
     rows = rows.join(groups, "group", "left").fillna({"members": 1}).withColumn("group_bytes", F.coalesce("group_bytes", "size"))
