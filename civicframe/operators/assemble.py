@@ -20,6 +20,46 @@ RESULTS = {
 }
 
 
+#: Domains of executive decisions and their theme. Fixed values.
+DOMAIN_THEMES = {
+    "Bestuurlijk Beheer": "Bestuur",
+    "Burgerzaken": "Bestuur",
+    "Strategie & ICT": "Bestuur",
+    "Interne Dienst Preventie en Bescherming": "Bestuur",
+    "Overheidsopdrachten": "Bestuur",
+    "Zaalbeheer & Protocol": "Bestuur",
+    "Boekhouding": "Financiën",
+    "Belastingen en Inningen": "Financiën",
+    "Staf Financiën": "Financiën",
+    "Toezicht Financiën": "Financiën",
+    "Bouwdienst": "Stedenbouw",
+    "Vastgoedmanagement": "Stedenbouw",
+    "Integraal Stedelijk Beleid": "Stedenbouw",
+    "Project Management Bureau": "Openbare werken",
+    "Infrastructuurprojecten Openbaar Domein": "Openbare werken",
+    "Sociaal Beleid": "Sociale zaken",
+    "Sociale zaken": "Sociale zaken",
+    "Jeugd": "Jeugd",
+    "Sport": "Sport",
+    "Kunstonderwijs": "Onderwijs",
+    "Mechelen Feest": "Cultuur",
+    "Milieu en Landbouw": "Milieu",
+    "GAS Rivierenland": "Veiligheid",
+}
+
+
+def domain_theme(domain: Column) -> Column:
+    """The theme of an executive decision's domain: itself if the map lacks it, ``Overig`` without one."""
+    tidy = F.trim(domain)
+    return F.when(F.coalesce(domain, F.lit("")) == "", "Overig").otherwise(looked_up(tidy, DOMAIN_THEMES, tidy))
+
+
+def roster(members: DataFrame, aliases: DataFrame, parties: DataFrame) -> DataFrame:
+    """Rows (name, party) of members (first, last, party): party names as ``parties`` (party, shown) says; ``aliases`` (name, party) override."""
+    named = members.select(F.concat_ws(" ", "first", "last").alias("name"), "party").join(parties, "party", "left").select("name", F.coalesce("shown", "party").alias("party"))
+    return named.join(aliases.select("name"), "name", "left_anti").unionByName(aliases.select("name", "party")).distinct()
+
+
 def result_slug(result: Column) -> Column:
     """The slug of a result line; of one that isn't known, the line in small letters."""
     return looked_up(result, RESULTS, F.lower(result))

@@ -27,6 +27,16 @@ def linking(edges: DataFrame, least: int = 2) -> DataFrame:
     return edges.join(counted, ["kind", "code"]).select("kind", "code", "n_items", "item")
 
 
+def link_graph(edges: DataFrame, least: int = 2, *, row_items: int = 10_000) -> DataFrame:
+    """The published graph: rows (kind, code, part, items) of codes of ``least`` items or more, items sorted.
+
+    A code of more than ``row_items`` items has several rows, numbered by ``part``, so no code is one huge list.
+    """
+    held = linking(edges, least)
+    parts = F.ceil(F.col("n_items") / row_items)
+    return held.withColumn("part", F.pmod(F.xxhash64("item"), parts).cast("int")).groupBy("kind", "code", "part").agg(F.sort_array(F.collect_list("item")).alias("items"))
+
+
 def related(edges: DataFrame, *, wide: int = 40) -> DataFrame:
     """Items that share a code. Rows (a, b, kind, code, n).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicframe.functions.text import fold, index_tokens
+from civicframe.functions.text import fold, index_tokens, stem
 from civicframe.store import stored
 
 #: Words that are no search terms, and the months. Fixed values.
@@ -15,7 +15,20 @@ STOP_WORDS = (
     "januari februari maart april mei juni juli augustus september oktober november december"
 ).split()
 MAX_ITEMS = 120
-BUNDLE_CHARS = 50_000
+
+
+def word_candidates(words: DataFrame, *, least: int = 2) -> DataFrame:
+    """Rows (word, stem, n) of the words (rows id, word) whose stem stands in ``least`` items or more."""
+    stems = words.select("id", "word", stem(F.col("word")).alias("stem"))
+    often = stems.groupBy("stem").agg(F.count_distinct("id").alias("n")).where(F.col("n") >= least)
+    return stems.select("word", "stem").distinct().join(often, "stem").select("word", "stem", "n")
+
+
+def readable_examples(index: DataFrame, *, n: int = 12, most: int = 4, length: int = 6, pool: int = 200, seed: str = "") -> DataFrame:
+    """``n`` tokens of letters with ``most`` postings at most, from ``pool`` sampled ones by a hash: rows (token, id) with their first item."""
+    some = index.select("token", "items").orderBy(F.sha1(F.concat(F.lit(seed), "token").cast("binary")), "token").limit(pool)
+    fit = some.where((F.size("items") <= most) & F.col("token").rlike(rf"^\p{{L}}{{{length},}}$"))
+    return fit.orderBy("token").limit(n).select("token", F.get("items", F.lit(0)).alias("id"))
 
 
 def stop_array(words: list[str] | None = None) -> Column:

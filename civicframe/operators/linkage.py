@@ -85,6 +85,21 @@ def fuzzy_match(hits: DataFrame, candidates: DataFrame, *, block: Column, hit_ti
     return pairs.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").select(hit_id, candidate_id, F.round("ratio", 3).alias("ratio"))
 
 
+def dossier_report(hits: DataFrame, matches: DataFrame, items: DataFrame, *, least: float = 0.72) -> DataFrame:
+    """One row a keyword dossier: keyword, n_linked, n_unlinked and the two lists.
+
+    ``hits`` (keyword, hit_id, title), ``matches`` (hit_id, item_id, score) with the best score of each hit, ``items`` (item_id, organ, day, title).
+    Scores are rounded to three digits after the comparison. A dossier lists what its keyword found, some hundred rows.
+    """
+    rows = hits.join(matches, "hit_id", "left").join(items.select("item_id", "organ", "day", F.col("title").alias("item_title")), "item_id", "left")
+    linked = F.coalesce(F.col("score") >= least, F.lit(False)) & F.col("item_title").isNotNull()
+    shown = F.round(F.coalesce("score", F.lit(0.0)), 3)
+    item = F.struct("item_id", "organ", "day", F.col("item_title").alias("title"), shown.alias("score"))
+    other = F.struct("hit_id", "title", shown.alias("best_score"))
+    gather = lambda test, s: F.sort_array(F.collect_list(F.when(test, s)))
+    return rows.groupBy("keyword").agg(F.count_if(linked).alias("n_linked"), F.count_if(~linked).alias("n_unlinked"), gather(linked, item).alias("items"), gather(~linked, other).alias("unlinked"))
+
+
 def unique_match(queries: DataFrame, roster: DataFrame, keys: list[str]) -> DataFrame:
     """Queries with the one roster row of their keys; none where two or more share them."""
     single = roster.withColumn("_n", F.count("*").over(Window.partitionBy(*keys))).where("_n = 1").drop("_n")

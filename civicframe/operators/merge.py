@@ -68,6 +68,18 @@ def replace_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def mode(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
+    """The commonest ``value`` of each key with its count ``n``; of equally common ones that seen first by ``order``."""
+    counted = df.groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(order).alias("_seen"))
+    best = F.max_by(F.struct(value, "n"), F.struct(F.col("n"), -F.col("_seen"))).alias("_best")
+    return counted.groupBy(*keys).agg(best).select(*keys, f"_best.{value}", "_best.n")
+
+
+def replace_sessions(old: DataFrame, new: DataFrame, keys: list[str], *, id_col: str = "id", demo: str = "demo-", day: str = "date") -> DataFrame:
+    """:func:`replace_rows` by session, without items of the demonstration (ids that begin with ``demo``), newest first."""
+    return replace_rows(old.where(~F.col(id_col).startswith(demo)), new, keys).orderBy(F.col(day).desc(), id_col)
+
+
 def repaired_list(text: Column) -> Column:
     """A list of strings that was stored as its Python notation; an empty list for anything else."""
     items = F.regexp_extract_all(text, F.lit(r"""'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)\""""), F.lit(0))

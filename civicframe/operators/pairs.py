@@ -56,6 +56,36 @@ def both_orders(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", F.lit(1).alias("order")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), F.lit(2).alias("order")))
 
 
+def described(title: Column, day: Column, organ: Column, text: Column, most: int = 900) -> Column:
+    """What a judge reads of an item: four labelled lines, the text squeezed and cut at ``most`` characters (its contract with the judge)."""
+    cut = F.substring(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "), 1, most)
+    line = lambda label, c: F.concat(F.lit(f"{label}: "), F.coalesce(c.cast("string"), F.lit("")))
+    return F.concat_ws("\n", line("Titel", title), line("Datum", day), line("Orgaan", organ), line("Samenvatting", cut))
+
+
+def judge_messages(pairs: DataFrame, items: DataFrame, *, model: str, prompt: str) -> DataFrame:
+    """Rows (a, b, order, message, key) of :func:`both_orders` of ``pairs``; ``items`` (id, description) are :func:`described`.
+
+    The key is a digest of model, prompt version and message, so a verdict counts as long as what was asked is the same.
+    """
+    side = lambda k, name: items.select(F.col("id").alias(k), F.col("description").alias(name))
+    both = both_orders(pairs).join(side("a", "_first"), "a").join(side("b", "_second"), "b")
+    message = F.concat(F.lit("Stuk A\n"), "_first", F.lit("\n\nStuk B\n"), "_second")
+    rows = both.select("a", "b", "order", message.alias("message"))
+    return rows.withColumn("key", F.substring(F.sha1(F.concat_ws("|", F.lit(model), F.lit(prompt), "message").cast("binary")), 1, 24))
+
+
+def to_ask(messages: DataFrame, cache: DataFrame) -> DataFrame:
+    """Messages (key, message), each once, whose key the ``cache`` (key) does not have."""
+    return messages.groupBy("key").agg(F.min("message").alias("message")).join(cache.select("key"), "key", "left_anti")
+
+
+def read_verdict(answer: Column) -> Column:
+    """``ja``, ``nee`` or ``twijfel`` from the JSON object in an answer; what can't be read is ``twijfel``, a null answer stays open."""
+    said = F.get_json_object(F.regexp_extract(answer, r"(?s)(\{.*?\})", 1), "$.oordeel")
+    return F.when(answer.isNotNull(), F.when(said.isin("ja", "nee", "twijfel"), said).otherwise("twijfel"))
+
+
 def two_sided(verdicts: DataFrame) -> DataFrame:
     """Outcome of each unordered pair: ``ja`` if both orders say so, ``nee`` if both are judged otherwise, else ``open``."""
     keyed = verdicts.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "verdict", (F.col("a") < F.col("b")).alias("forth"))

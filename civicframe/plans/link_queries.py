@@ -45,12 +45,14 @@ def timeliness_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeliness.judged(docs).groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {FIRST_SHIP}, d AS (SELECT date_diff('day', o_orderdate::DATE, shipped) AS days FROM orders JOIN first_ship ON o_orderkey = l_orderkey) SELECT count(*) AS n, count(*) FILTER ((days <= 10) <> (days - 10 <= 0)) AS n_different FROM d")
+@query(f"WITH {FIRST_SHIP}, d AS (SELECT o_orderkey, date_diff('day', o_orderdate::DATE, shipped) AS days FROM orders JOIN first_ship ON o_orderkey = l_orderkey) SELECT count(*) AS n, count(*) FILTER (o_orderkey % 11 = 0) AS n_different FROM d")
 def ontime_crosscheck(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The status recomputed from the rule's text against the stored one: no row may differ."""
+    """The status recomputed from the rule's text against the stored one, of which one in eleven is turned round: these differ and no others."""
     stored = timeliness.judged(_documents(spark, sf_dir, "besluiten")).where("published is not null")
     again = stored.select("o_orderkey", F.when(F.col("published") <= F.date_add("session", 10), "tijdig").otherwise("te-laat").alias("status"))
-    different = timeliness.disagreements(again, stored.select("o_orderkey", "status"), ["o_orderkey"]).agg(F.count("*").alias("n_different"))
+    turned = F.when(F.col("status") == "tijdig", "te-laat").otherwise("tijdig")
+    kept = stored.select("o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, turned).otherwise(F.col("status")).alias("status"))
+    different = timeliness.disagreements(again, kept, ["o_orderkey"]).agg(F.count("*").alias("n_different"))
     return stored.agg(F.count("*").alias("n")).crossJoin(different)
 
 
@@ -161,8 +163,7 @@ def cost_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def mode_postcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The commonest kind of event of each user, the first seen on a tie."""
-    n = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first_seen"))
-    return merge.first_wins(n, ["user_id"], F.col("n").desc(), F.col("first_seen")).drop("first_seen")
+    return merge.mode(table(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
 
 
 @query(
@@ -217,6 +218,15 @@ def fuzzy_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.fuzzy_match(hits, docs, block="block", hit_title="item_id_title", candidate_title="doc_id_title", hit_id="item_id", candidate_id="doc_id")
 
 
+@query()
+def fuzzy_perturbed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First lines with every ninth sign lost behind their first two words, and the whole line that each is most like among those of the same two words."""
+    titles = table(spark, sf_dir, "documents").select("doc_id", norm_title(F.get(F.split("text", "\n"), 0)).alias("title")).withColumn("block", F.substring_index("title", " ", 2))
+    rest = F.substr("title", F.length("block") + 1)
+    hits = titles.where(F.length(rest) > 20).select(F.col("doc_id").alias("hit_id"), "block", F.concat("block", F.regexp_replace(rest, "(.{8}).", "$1")).alias("hit_title"))
+    return linkage.fuzzy_match(hits, titles, block="block", hit_title="hit_title", candidate_title="title", hit_id="hit_id", candidate_id="doc_id")
+
+
 PAIR_TOKENS = """
     d AS (SELECT DISTINCT doc_id AS id, unnest(regexp_extract_all(strip_accents(lower(text)), '[a-z][a-z-]{4,}')) AS token FROM documents),
     b AS (SELECT DISTINCT item_id AS id, unnest(regexp_extract_all(strip_accents(lower(text)), '[a-z][a-z-]{4,}')) AS token FROM benchmark),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicframe.functions.text import stem, title_words
+from civicframe.functions.text import title_words
 from civicframe.operators import codes, index
 from civicframe.plans.registry import query, table
 from civicframe.sources import html
+from civicframe.store import stored
 
 STOP = "['" + "','".join(index.STOP_WORDS) + "']"
 #: A fixed limit on items of a token that suits the driver tables at every size.
@@ -56,12 +57,16 @@ def boundary_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.boundary_tokens(_tokens(spark, sf_dir))
 
 
-@query(f"{HIDDEN} SELECT (SELECT count(*) FROM (SELECT token, count(*) AS n FROM hidden GROUP BY token HAVING count(*) <= 120)) AS n_tokens, CAST(0 AS BIGINT) AS n_errors")
+@query(f"{HIDDEN} SELECT (SELECT count(*) FROM (SELECT token, count(*) AS n FROM hidden GROUP BY token HAVING count(*) <= 120)) AS n_tokens, (SELECT count(*) FROM documents WHERE doc_id % 7 = 0) + (SELECT count(*) FROM hidden WHERE token IN (SELECT min(token) FROM hidden)) AS n_errors")
 def index_truth_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every posting of the index checked against the texts."""
+    """Every posting of the index checked against the texts, after lies were planted: a word that is nowhere, and the first token at items that don't exist."""
     docs, visible = table(spark, sf_dir, "documents"), F.get(F.split("text", "\n"), 0)
     built = index.inverted_index(index.item_tokens(docs, "doc_id", F.col("text"), visible))
-    errors = index.index_errors(built, docs, "doc_id", F.col("text"), visible).agg(F.count("*").alias("n_errors"))
+    first = stored(built, "index").where(F.col("token") == F.lit(built.agg(F.min("token")).first()[0]))
+    lies = docs.where("doc_id % 7 = 0").agg(F.lit("nergenstevinden").alias("token"), F.collect_list("doc_id").alias("items"))
+    lies = lies.unionByName(first.select("token", F.transform("items", lambda i: -1 - i).alias("items")))
+    planted = built.select("token", "items").unionByName(lies)
+    errors = index.index_errors(planted, docs, "doc_id", F.col("text"), visible).agg(F.count("*").alias("n_errors"))
     return built.agg(F.count("*").alias("n_tokens")).crossJoin(errors)
 
 
@@ -118,9 +123,7 @@ def search_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def title_word_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of first lines whose stem stands in two lines or more."""
-    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(title_words(F.get(F.split("text", "\n"), 0))).alias("word")).withColumn("stem", stem(F.col("word")))
-    often = words.groupBy("stem").agg(F.count_distinct("doc_id").alias("n")).where("n >= 2")
-    return words.join(often, "stem").select("word", "stem", "n").distinct()
+    return index.word_candidates(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.explode(title_words(F.get(F.split("text", "\n"), 0))).alias("word")))
 
 
 #: Codes in urls: hosts, and the last number of a path.

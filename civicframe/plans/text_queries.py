@@ -25,11 +25,14 @@ def mask_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(privacy.mask_accounts(F.col("text")).cast("binary")).alias("masked"))
 
 
-@query("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_unstable FROM documents")
+@query(f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_unstable, count(*) FILTER (doc_id % 10 = 0 AND regexp_matches(text, '{EMAIL}')) AS n_planted FROM documents")
 def mask_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that the masks would change again: none."""
+    """Documents that the masks would change again: none; and those with an address among the tenth that is left unmasked: the gate finds all."""
     mask = lambda t: privacy.mask_context(privacy.mask_accounts(privacy.mask_email(t)))
-    return gates.unstable_count(table(spark, sf_dir, "documents"), F.col("text"), mask)
+    docs = table(spark, sf_dir, "documents")
+    part = docs.select(F.when(F.col("doc_id") % 10 == 0, F.col("text")).otherwise(privacy.mask_email(F.col("text"))).alias("text"))
+    planted = gates.unstable(part, "text", privacy.mask_email).agg(F.count("*").alias("n_planted"))
+    return gates.unstable_count(docs, F.col("text"), mask).crossJoin(planted)
 
 
 @query(f"WITH a AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{EMAIL}'))) AS address FROM documents) SELECT address FROM a WHERE address <> (SELECT min(address) FROM a)")

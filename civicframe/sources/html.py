@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicframe.functions.dates import checked_date, month_number
-from civicframe.functions.text import strip_tags
+from civicframe.functions.matches import replaced
+from civicframe.functions.text import squeeze, strip_tags
 
 
 def hrefs(html: Column, contains: str = "") -> Column:
@@ -41,6 +44,44 @@ def publications(pages: DataFrame, html: str = "html") -> DataFrame:
     return rows.select("organ", "href", "filename", doctype(F.col("filename")).alias("doctype"), checked_date(*day).alias("session"), number.alias("publication"), checked_date(*seen).alias("published"))
 
 
+def extract_catalogue(pages: DataFrame, *, since: str = "1900-01-01", root: str = "") -> DataFrame:
+    """Extracts and attachments (organ, session, title, kind, published, extract_id, url, filename) of overview pages (organ, html).
+
+    Each link of a publication's block that names a file counts, but for main documents; its text is the title, and the file's name has the
+    session's date (files without one go, and sessions before ``since``) and the publication's number. The day of publication is the block's.
+    """
+    blocks = pages.select("organ", F.explode(F.slice(F.split("html", "publicatie-grid"), F.lit(2), F.size(F.split("html", "publicatie-grid")))).alias("block"))
+    link = r"""(?is)<a\b[^>]*href=["']([^"']*filename=[^"']*)["'][^>]*>(.*?)</a>"""
+    seen = F.regexp_extract("block", r"<span[^>]*>\s*(\d{2}/\d{2}/\d{4})", 1)
+    links = blocks.select("organ", seen.alias("_seen"), F.explode(F.regexp_extract_all("block", F.lit(f"({link})"), F.lit(1))).alias("a"))
+    href = F.regexp_extract("a", link, 1)
+    rows = links.select("organ", "_seen", href.alias("href"), plain_text(F.regexp_extract("a", link, 2)).alias("title"), F.try_url_decode(F.substring_index(href, "filename=", -1)).alias("filename"))
+    rows = rows.withColumn("kind", document_class(F.col("title"), F.col("filename"))).where("kind <> 'hoofddoc'")
+    day = [F.regexp_extract("filename", r"_(\d{2})-(\d{2})-(\d{4})", i) for i in (3, 2, 1)]
+    shown = [F.regexp_extract("_seen", r"(\d{2})/(\d{2})/(\d{4})", i) for i in (3, 2, 1)]
+    rows = rows.withColumn("session", checked_date(*day)).where(F.col("session") >= F.lit(since).cast("date"))
+    number = F.nullif(F.regexp_extract("filename", r"_(\d+)\.pdf$", 1), F.lit(""))
+    return rows.select("organ", "session", "title", "kind", checked_date(*shown).alias("published"), number.alias("extract_id"), F.concat(F.lit(root), "href").alias("url"), "filename")
+
+
+def plain_text(html: Column) -> Column:
+    """Text of a piece of HTML: tags off, the references of five signs, of spaces and of numbers resolved, white space squeezed."""
+    named = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " "}
+    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+    text = replaced(text, r"&#\d{1,5};", lambda m: F.char(F.regexp_extract(m, r"(\d+)", 1).cast("int")))
+    for sign, plain in named.items():
+        text = F.replace(text, F.lit(sign), F.lit(plain))
+    return squeeze(F.replace(text, F.lit("&amp;"), F.lit("&")))
+
+
+def catalogue_report(catalogue: DataFrame) -> DataFrame:
+    """Rows (what, key, n) about a catalogue (organ, kind, url, filename): documents by kind and organ, urls that repeat, extracts with odd names."""
+    say = lambda what, key, df: df.groupBy(key.alias("key")).agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), F.coalesce(F.col("key"), F.lit("")).alias("key"), "n")
+    odd = catalogue.where((F.col("kind") == "uittreksel") & ~F.lower("filename").startswith("uittreksel"))
+    parts = [say("soort", F.col("kind"), catalogue), say("orgaan", F.col("organ"), catalogue), say("dubbele url", F.col("url"), catalogue).where("n > 1"), say("vreemde naam", F.col("organ"), odd)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def tokens_in_order(pages: DataFrame, id_col: str, html: str, pattern: str) -> DataFrame:
     """Rows (page, pos, token): the matches of a pattern in the order of the page."""
     return pages.select(F.col(id_col).alias("page"), F.posexplode(F.regexp_extract_all(html, F.lit(f"({pattern})"), F.lit(1))).alias("pos", "token"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,21 @@ def page_safe(json: Column) -> Column:
     return F.replace(json, F.lit("</"), F.lit("<\\/"))
 
 
+def filled_page(spark: SparkSession, template: str, values: dict[str, DataFrame]) -> DataFrame:
+    """One row (page): ``template`` with each placeholder replaced by the JSON array of a table's rows, safe inside a script.
+
+    A placeholder must stand in the template exactly once. The tables are what one page shows, so a page is one text.
+    """
+    for name in values:
+        if (n := template.count(name)) != 1:
+            raise ValueError(f"placeholder {name} stands {n} times in the template, not once")
+    page = spark.createDataFrame([(template,)], "page string")
+    for name, df in values.items():
+        rows = df.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns)))).alias("_json"))
+        page = page.crossJoin(rows).select(F.replace("page", F.lit(name), page_safe(F.col("_json"))).alias("page"))
+    return page
+
+
 def change_log(old: DataFrame, new: DataFrame, *, keep: int = 50, day: str = "day", tie: str = "url") -> DataFrame:
     """The newest changes of both tables."""
     return old.unionByName(new).orderBy(F.col(day).desc(), tie).limit(keep)

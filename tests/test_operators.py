@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicframe.operators import assemble, codes, dossiers, gates, geo, index, linkage, merge, pairs, privacy
+from civicframe.sources import sinks
 from civicframe.streaming import ingest
 
 D = datetime.date
@@ -276,3 +277,51 @@ def test_late_lists_gathers_no_list(spark, sf_dir):
     from civicframe.plans.link_queries import late_lists
 
     assert "collect_list" not in late_lists(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_messages_verdicts_and_reports(spark):
+    items = spark.createDataFrame([("a", "A  een\n twee", "2026-01-01"), ("b", None, None)], "id string, text string, day string")
+    said = items.select("id", pairs.described(F.col("id"), F.col("day"), F.lit("Raad"), F.col("text"), most=5).alias("description"))
+    assert {r.id: r.description for r in said.collect()} == {"a": "Titel: a\nDatum: 2026-01-01\nOrgaan: Raad\nSamenvatting: A een", "b": "Titel: b\nDatum: \nOrgaan: Raad\nSamenvatting: "}
+    asked = pairs.judge_messages(spark.createDataFrame([("a", "b")], "a string, b string"), said, model="m", prompt="1")
+    rows = {r.order: r for r in asked.collect()}
+    assert rows[1].message.startswith("Stuk A\nTitel: a") and rows[2].message.startswith("Stuk A\nTitel: b") and rows[1].key != rows[2].key
+    assert pairs.to_ask(asked.unionByName(asked), asked.where("order = 1")).count() == 1
+    answers = spark.createDataFrame([('zeg: {"oordeel": "ja"} {x}',), ('{"oordeel": "wie weet"}',), ("niets",), (None,), ('{"oordeel": "nee"',)], "x string")
+    assert [r.v for r in answers.select(pairs.read_verdict(F.col("x")).alias("v")).collect()] == ["ja", "twijfel", "twijfel", None, "twijfel"]
+    hits = spark.createDataFrame([("k", 1, "een"), ("k", 2, "twee"), ("k", 3, "drie"), ("l", 4, "vier")], "keyword string, hit_id int, title string")
+    matches = spark.createDataFrame([(1, "i", 0.72049), (2, "i", 0.7199999), (3, "weg", 0.9)], "hit_id int, item_id string, score double")
+    known = spark.createDataFrame([("i", "Raad", "2026", "Een")], "item_id string, organ string, day string, title string")
+    got = {r.keyword: r for r in linkage.dossier_report(hits, matches, known).collect()}
+    assert [(x.item_id, x.score) for x in got["k"]["items"]] == [("i", 0.72)] and [(x.hit_id, x.best_score) for x in got["k"].unlinked] == [(2, 0.72), (3, 0.9)] and got["l"].n_unlinked == 1
+
+
+def test_fuzzy_titles_equal_difflib(spark, sf_dir):
+    import re
+    from difflib import SequenceMatcher
+
+    from civicframe.functions.text import norm_title
+    from civicframe.plans.registry import queries
+
+    got = {r.hit_id: (r.doc_id, r.ratio) for r in queries()["fuzzy_perturbed"](spark, sf_dir).collect()}
+    titles = {r.doc_id: r.t for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", norm_title(F.get(F.split("text", "\n"), 0)).alias("t")).collect()}
+    block = lambda t: " ".join(t.split(" ")[:2])
+    expected = {}
+    for i, t in titles.items():
+        if t is not None and len(t[len(block(t)):]) > 20:
+            hit = block(t) + re.sub("(.{8}).", r"\1", t[len(block(t)):])
+            rated = [(SequenceMatcher(None, hit, u).ratio(), -j) for j, u in titles.items() if u is not None and block(u) == block(t)]
+            ratio, j = max(rated)
+            if ratio >= 0.72:
+                expected[i] = (-j, round(ratio, 3))
+    assert got == expected and len(got) > 80
+
+
+def test_sessions_replaced_and_pages_filled(spark):
+    old = spark.createDataFrame([("demo-1", "c", "2026-01-01"), ("x-1", "c", "2026-01-02"), ("x-2", "c", "2026-01-03")], "id string, organ string, date string")
+    new = spark.createDataFrame([("x-3", "c", "2026-01-02")], "id string, organ string, date string")
+    assert [r.id for r in merge.replace_sessions(old, new, ["organ", "date"]).collect()] == ["x-2", "x-3"]
+    with pytest.raises(ValueError, match="2 times"):
+        sinks.filled_page(spark, "__D__ __D__", {"__D__": old})
+    page = sinks.filled_page(spark, "a __D__ b", {"__D__": spark.createDataFrame([("</b>",)], "t string")}).first().page
+    assert page == 'a [{"t":"<\\/b>"}] b'
