@@ -159,12 +159,30 @@ def newest_versions(catalogue: DataFrame, *, entity: str, order: str) -> DataFra
     return own.groupBy("plan").agg(F.min_by(F.struct(*catalogue.columns), order).alias("_d")).select("plan", "_d.*")
 
 
-def merged_spans(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Spans of a key that overlap or touch, as one each."""
-    before = Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    opened = spans.withColumn("_far", F.max(end).over(before)).withColumn("_new", (F.col("_far").isNull() | (F.col(start) > F.col("_far"))).cast("int"))
-    island = Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, 0)
-    return opened.withColumn("_island", F.sum("_new").over(island)).groupBy(key, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+def merged_spans(spans: DataFrame, key: str, start: str, end: str, *, cell_rows: int = 10_000) -> DataFrame:
+    """Spans of a key that overlap or touch, as one each. Starts and ends are numbers, days or times without nulls.
+
+    The line of a key is cut into cells of equal width, one for about each ``cell_rows`` spans, and spans are sorted inside the cell that they
+    start in. How far the cells before reach, and how many islands they open, comes from a table of one row a cell, so a
+    key with very many spans is spread over its cells.
+    """
+    kind = spans.schema[start].dataType.simpleString()
+    number = F.unix_date(start) if kind == "date" else F.unix_micros(F.col(start).cast("timestamp")) if kind.startswith("timestamp") else F.col(start)
+    at = spans.withColumn("_at", number.cast("double"))
+    lines = at.groupBy(F.col(key).alias("_key")).agg(F.min("_at").alias("_low"), F.max("_at").alias("_high"), F.ceil(F.count("*") / cell_rows).alias("_n"))
+    share = F.when(F.col("_high") > F.col("_low"), (F.col("_at") - F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0.0)
+    placed = at.join(lines, F.col(key).eqNullSafe(F.col("_key"))).withColumn("_cell", F.least(F.floor(share * F.col("_n")), F.col("_n") - 1)).select(*spans.columns, "_cell")
+    per_key = Window.partitionBy("_key").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    reach = placed.groupBy(F.col(key).alias("_key"), F.col("_cell").alias("_c")).agg(F.max(end).alias("_end")).withColumnRenamed("_c", "_cell").withColumn("_before", F.max("_end").over(per_key))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_cell") == F.col("_c"))
+    rows = placed.join(reach.select("_key", F.col("_cell").alias("_c"), "_before"), same).drop("_key", "_c")
+    inside = Window.partitionBy(key, "_cell").orderBy(start, end)
+    far = F.greatest("_before", F.max(end).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    opened = rows.withColumn("_far", far).withColumn("_new", (F.col("_far").isNull() | (F.col(start) > F.col("_far"))).cast("int"))
+    opened = opened.withColumn("_island", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    earlier = opened.groupBy(F.col(key).alias("_key"), "_cell").agg(F.sum("_new").alias("_opened")).withColumn("_first", F.coalesce(F.sum("_opened").over(per_key), F.lit(0)))
+    numbered = opened.join(earlier.select("_key", F.col("_cell").alias("_c"), "_first"), same).withColumn("_island", F.col("_island") + F.col("_first"))
+    return numbered.groupBy(key, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
 #: Orders of the published lists.

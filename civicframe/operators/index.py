@@ -36,19 +36,26 @@ def stop_array(words: list[str] | None = None) -> Column:
     return F.array(*map(F.lit, STOP_WORDS if words is None else words))
 
 
+def hidden_tokens(full: Column, visible: Column, *, stop: list[str] | None = None) -> Column:
+    """The terms of the full text that the visible text does not have, each once."""
+    return F.array_except(index_tokens(full, stop_array(stop)), index_tokens(visible, stop_array(stop)))
+
+
 def item_tokens(items: DataFrame, id_col: str, full: Column, visible: Column, *, stop: list[str] | None = None) -> DataFrame:
     """Rows (id, token): the terms of the full text that the visible text does not have. No shuffle."""
-    hidden = F.array_except(index_tokens(full, stop_array(stop)), index_tokens(visible, stop_array(stop)))
-    return items.select(F.col(id_col).alias("id"), F.explode(hidden).alias("token"))
+    return items.select(F.col(id_col).alias("id"), F.explode(hidden_tokens(full, visible, stop=stop)).alias("token"))
 
 
 def inverted_index(tokens: DataFrame, *, max_items: int = MAX_ITEMS) -> DataFrame:
     """Rows (token, df, items): sorted posting lists of the tokens in at most ``max_items`` items.
 
-    The frequency is counted first, with partial sums, so that the common tokens' lists are never gathered.
+    One shuffle by token: of each token the first ``max_items`` items and one more are kept, in the tasks that read and again after
+    the shuffle, so a common token moves a few rows a task; one that fills the room is too common. ``tokens`` has each (id, token) once.
     """
-    kept = document_frequency(tokens).where(F.col("df") <= max_items)
-    return tokens.join(kept, "token").groupBy("token").agg(F.first("df").alias("df"), F.sort_array(F.collect_set("id")).alias("items"))
+    first = Window.partitionBy("token").orderBy("id")
+    few = tokens.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= max_items + 1)
+    lists = few.groupBy("token").agg(F.count("*").alias("df"), F.sort_array(F.collect_list("id")).alias("items"))
+    return lists.where(F.col("df") <= max_items)
 
 
 def document_frequency(tokens: DataFrame) -> DataFrame:

@@ -325,3 +325,33 @@ def test_sessions_replaced_and_pages_filled(spark):
         sinks.filled_page(spark, "__D__ __D__", {"__D__": old})
     page = sinks.filled_page(spark, "a __D__ b", {"__D__": spark.createDataFrame([("</b>",)], "t string")}).first().page
     assert page == 'a [{"t":"<\\/b>"}] b'
+
+
+def test_merged_spans_in_cells_equal_plain_merging(spark):
+    from civicframe.operators.catalogue import merged_spans
+
+    rng = random.Random(3)
+    day = datetime.date(2026, 1, 1)
+    rows = []
+    for key in ("a", "b", None):
+        for _ in range(300 if key == "a" else 20):
+            s = rng.randrange(2000)
+            rows.append((key, s, s + rng.choice([0, 1, 2, 5, 40])))
+    rows += [("c", 5, 5), ("c", 5, 5), ("d", 0, 3000), ("d", 10, 11), ("d", 2000, 2001)]
+    expected = []
+    for key in {r[0] for r in rows}:
+        merged = []
+        for _, s, e in sorted(r for r in rows if r[0] == key):
+            if merged and s <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([s, e])
+        expected += [(key, s, e) for s, e in merged]
+    df = spark.createDataFrame(rows, "k string, s int, e int")
+    text = lambda got: sorted(map(str, map(tuple, got)))
+    for cell_rows in (1, 7, 10_000):
+        assert text(merged_spans(df, "k", "s", "e", cell_rows=cell_rows).collect()) == text(expected)
+    days = df.select("k", F.date_add(F.lit(day), F.col("s")).alias("s"), F.date_add(F.lit(day), F.col("e")).alias("e"))
+    got = merged_spans(days, "k", "s", "e", cell_rows=9).collect()
+    assert text((r.k, (r.s - day).days, (r.e - day).days) for r in got) == text(expected)
+    assert merged_spans(df.where("false"), "k", "s", "e").collect() == []
