@@ -104,13 +104,11 @@ def _wanted(groups: DataFrame, term: str) -> DataFrame:
 
 
 def synonym_items(tokens: DataFrame, groups: DataFrame, term: str) -> DataFrame:
-    """:func:`synonym_search` on item tokens (id, token): no posting list, so a word may be as common as it is."""
-    return tokens.join(_wanted(groups, term), "token").groupBy("id").agg(F.min("rank").alias("rank"))
-
+    """Items (id, rank) of item tokens (id, token) with a term, rank 0, or a word of its groups (rows word, group), rank 1.
 
-def synonym_search(index: DataFrame, groups: DataFrame, term: str) -> DataFrame:
-    """Items of a term and of the words of its groups (rows word, group); rank 0 for direct hits, 1 for synonyms."""
-    return index.join(_wanted(groups, term), "token").select(F.explode("items").alias("id"), "rank").groupBy("id").agg(F.min("rank").alias("rank"))
+    There is no posting list, so a word may be as common as it is.
+    """
+    return tokens.join(_wanted(groups, term), "token").groupBy("id").agg(F.min("rank").alias("rank"))
 
 
 def compounds(vocabulary: DataFrame, term: str, false_compounds: list[str] = ()) -> DataFrame:

@@ -27,12 +27,6 @@ def on_time_ratio(documents: DataFrame, *by: str) -> DataFrame:
     return documents.where(F.col("status").isin("tijdig", "te-laat")).groupBy(*by).agg(n.alias("n"), ok.alias("n_on_time"), F.round(F.lit(100.0) * ok / n, 6).alias("pct_on_time"))
 
 
-def late_list(documents: DataFrame, *by: str, day: str = "session") -> DataFrame:
-    """Number of late documents and the list of their days and delays, per group."""
-    rows = F.sort_array(F.collect_list(F.struct(F.col(day).alias("day"), F.col("late_days").alias("late_days"))))
-    return documents.where(F.col("status") == "te-laat").groupBy(*by).agg(F.count("*").alias("n_late"), rows.alias("late"))
-
-
 def late_summary(documents: DataFrame, *by: str, day: str = "session") -> DataFrame:
     """Number of late documents, their first day and longest delay, per group; no list is gathered."""
     return documents.where(F.col("status") == "te-laat").groupBy(*by).agg(F.count("*").alias("n_late"), F.min(day).alias("first_day"), F.max("late_days").alias("longest"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from civicframe.store import stored
+
 
 def new_files(spark: SparkSession, folder: str, schema: StructType, *, per_trigger: int = 1000) -> DataFrame:
     """Rows of Parquet files as they appear; a file is read once for each checkpoint."""
@@ -47,9 +49,25 @@ def current(spark: SparkSession, path: str, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*columns), "_batch").alias("_row")).select(key, "_row.*")
 
 
+def compact(spark: SparkSession, path: str, key: str) -> int:
+    """Put the newest rows of a table that :func:`upsert_into` writes into its last batch and drop the others; the number of batches dropped.
+
+    The merged rows are written first, so a reader or a failure between the two steps finds the same newest rows.
+    """
+    batches = sorted(r[0] for r in spark.read.parquet(path).select("_batch").distinct().collect())
+    if len(batches) < 2:
+        return 0
+    rows = stored(current(spark, path, key), "compacted")
+    rows.withColumn("_batch", F.lit(batches[-1])).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+    for batch in batches[:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_batch={batch}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(batches) - 1
+
+
 def windowed_counts(stream: DataFrame, time: str, by: str, *, width: str = "1 day", delay: str = "1 day") -> DataFrame:
     """Events of each kind in each window; late ones count until the delay has passed."""
     return stream.withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), by).agg(F.count("*").alias("n"))
 
 
-__all__ = ["current", "first_seen", "new_files", "run_available", "upsert_into", "windowed_counts"]
+__all__ = ["compact", "current", "first_seen", "new_files", "run_available", "upsert_into", "windowed_counts"]

@@ -355,3 +355,52 @@ def test_merged_spans_in_cells_equal_plain_merging(spark):
     got = merged_spans(days, "k", "s", "e", cell_rows=9).collect()
     assert text((r.k, (r.s - day).days, (r.e - day).days) for r in got) == text(expected)
     assert merged_spans(df.where("false"), "k", "s", "e").collect() == []
+
+
+def test_personal_data_left_in_items(spark):
+    texts = {
+        "mail": ("x", "naar jan@x.be"), "hidden": ("jan[at]x.be", None), "comma": ("jan@x,be", "y"), "account": (None, "BE12 3456 7890 1234"), "born": ("\u00b0 01/02/1980", ""),
+        "register": ("", "RR: 85.01.02-123.45"), "table": ("Geboortedatum  beroep", "01/02/80"), "no table": ("x", "01/02/80"), "form": ("Contactpersoon: A\ntel: 015 12", ""), "ill": ("is ernstig\nziek", ""), "clean": ("niets", None), "null": (None, None),
+    }
+    df = spark.createDataFrame([(k, *v) for k, v in texts.items()], "id string, title string, text string")
+    got = {(r.id, r.what) for r in privacy.personal_data(df, "id", ["title", "text"], phrases=("ernstig ziek",)).collect()}
+    assert got == {
+        ("mail", "e-mailadres"), ("hidden", "verborgen e-mailadres"), ("comma", "verborgen e-mailadres"), ("account", "rekeningnummer"), ("born", "geboortedatum"), ("register", "rijksregisternummer"),
+        ("table", "geboortedatum in een lijst"), ("form", "contactgegevens"), ("ill", "gezondheid"),
+    }
+    masked = df.select("id", *(privacy.mask_birth_tables(privacy.mask_context(privacy.mask_accounts(privacy.mask_email(F.col(c)))), F.col("id") == "table").alias(c) for c in ("title", "text")))
+    assert privacy.personal_data(masked, "id", ["title", "text"]).count() == 0
+
+
+def test_small_gates_and_filters(spark):
+    from civicframe.operators import catalogue
+
+    df = spark.createDataFrame([("College", 3), ("Gemeenteraad", 0), ("vast college", -1)], "organ string, late_days int")
+    assert catalogue.chosen(df, organ="COLLEGE").count() == 2 and catalogue.chosen(df, only_late=True).count() == 1 and catalogue.chosen(df).count() == 3
+    assert gates.assert_some("vol", df) is df
+    with pytest.raises(gates.GateError, match="leeg"):
+        gates.assert_some("leeg", df.limit(0))
+    import hashlib
+
+    prompts = spark.createDataFrame([("p", "1", "nieuw"), ("q", "1", "zelfde"), ("r", "2", "ander")], "name string, version string, text string")
+    known = spark.createDataFrame([(n, "1", hashlib.sha256(t.encode()).hexdigest()) for n, t in (("p", "oud"), ("q", "zelfde"), ("r", "x"))], "name string, version string, digest string")
+    assert [r.name for r in gates.changed_prompts(prompts, known).collect()] == ["p"]
+    names = spark.createDataFrame([("Jan Proef",)], "name string")
+    gates.assert_private_list(names)
+    gates.assert_private_list(names.limit(0), empty_on_purpose=True)
+    for bad in (None, names.limit(0)):
+        with pytest.raises(gates.GateError):
+            gates.assert_private_list(bad)
+    assert {r.name for r in privacy.public_names(names, spark.createDataFrame([("Een",), (" An De Boer",)], "name string")).collect()} >= {"Jan Proef", "Proef Jan"}
+
+
+def test_upserts_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch, rows in enumerate(([(1, "a"), (2, "b")], [(2, "c")], [(3, "d")])):
+        ingest.upsert_into(path, "id")(spark.createDataFrame(rows, "id int, v string"), batch)
+    before = {r.id: r.v for r in ingest.current(spark, path, "id").collect()}
+    assert ingest.compact(spark, path, "id") == 2 and ingest.compact(spark, path, "id") == 0
+    assert {r.id: r.v for r in ingest.current(spark, path, "id").collect()} == before == {1: "a", 2: "c", 3: "d"}
+    assert spark.read.parquet(path).count() == 3
+    ingest.upsert_into(path, "id")(spark.createDataFrame([(1, "z")], "id int, v string"), 3)
+    assert {r.id: r.v for r in ingest.current(spark, path, "id").collect()} == {1: "z", 2: "c", 3: "d"}
