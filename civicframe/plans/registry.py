@@ -55,7 +55,7 @@ def timeliness_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load() -> None:
     """Import the modules whose queries register themselves."""
-    from civicframe.plans import catalogue_queries, dossier_queries, link_queries, made_queries, publication_queries, search_queries, source_queries, text_queries  # noqa: F401
+    from civicframe.plans import catalogue_queries, dossier_queries, link_queries, made_queries, parser_queries, publication_queries, search_queries, source_queries, text_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
