@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +54,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the machine, as its worker waits for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only one kind of C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def quoted(df: DataFrame) -> list[Column]:
     """The columns of ``df``, whatever signs their names hold."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
@@ -78,4 +89,4 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
-__all__ = ["BROADCAST_BYTES", "WORD", "let", "lower_ascii", "open_store", "quoted", "shared_path", "small", "stored", "table", "unused", "words"]
+__all__ = ["BROADCAST_BYTES", "WORD", "let", "lower_ascii", "open_store", "quoted", "release", "shared_path", "small", "stored", "table", "unused", "words"]

@@ -5,8 +5,9 @@ left to right into phrases, each the longest match in the automaton; a text in t
 The number of phrases, times the bits that name a place in the sample, over the length of the text, is the
 cross-parsing entropy; the language of the least wins.
 
-The automata are turned into tables so that many texts are parsed in step, ``SEGMENT`` symbols of each at a time; the state at
-the end of a segment is carried to the next one, so a phrase runs on over the cut and long texts get the phrases of the method.
+The automata are turned into tables so that many segments of ``SEGMENT`` symbols are parsed in step, each from the root at first. A
+segment that goes on with a text is then parsed again from the state that the one before it ends in, beside the first parse, until
+both are in one state, mostly after some phrases. So phrases run on over cuts, and long texts get exactly the phrases of the method.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from civicframe.llm.common import release
+
 SEGMENT = 2048
 #: Entries of a full table; a language whose letters and states make more keeps its arcs as a sorted list.
 FULL = 1 << 23
@@ -118,31 +121,68 @@ def automaton(symbols: list[int], size: int, full: int = FULL) -> Arcs:
     return Arcs(column, columns, table.ravel(), None, None)
 
 
-def phrases(arcs: Arcs, segments: np.ndarray, lengths: np.ndarray, state: np.ndarray | None = None) -> np.ndarray:
-    """Number of phrases that begin in each column of ``segments``, whose columns are in descending order of ``lengths``.
+def _next(arcs: Arcs, state: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Where each state goes by its column: twice the next state's row, odd if a phrase begins there."""
+    if arcs.keys is None:
+        return arcs.table[state + columns]
+    to, place = arcs.table[columns], state + columns
+    if len(arcs.keys):
+        at = np.searchsorted(arcs.keys, place)
+        at[at == len(arcs.keys)] = 0
+        to = np.where(arcs.keys[at] == place, arcs.to[at], to)
+    return to
 
-    ``state`` has the states that the columns begin in, and in the end those they reach; without it all begin at the root.
-    """
-    table, keys = arcs.table, arcs.keys
+
+def parsed(arcs: Arcs, segments: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of each column of ``segments``, and its last state; the columns are in descending order of ``lengths``."""
     segments = arcs.column[segments]
     count = np.zeros(segments.shape[1], np.int32)
-    state = np.zeros(segments.shape[1], table.dtype) if state is None else state
+    state = np.zeros(segments.shape[1], arcs.table.dtype)
     live = np.searchsorted(-lengths, -np.arange(segments.shape[0]), "left")
     for step in range(segments.shape[0]):
         n = live[step]
         if not n:
             break
-        if keys is None:
-            to = table[state[:n] + segments[step, :n]]
-        else:
-            to, place = table[segments[step, :n]], state[:n] + segments[step, :n]
-            at = np.searchsorted(keys, place)
-            at[at == len(keys)] = 0
-            if len(keys):
-                to = np.where(keys[at] == place, arcs.to[at], to)
+        to = _next(arcs, state[:n], segments[step, :n])
         count[:n] += to & 1
         state[:n] = to >> 1
-    return count
+    return count, state
+
+
+def phrases(arcs: Arcs, segments: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Number of phrases of each column of ``segments``, whose columns are in descending order of ``lengths``."""
+    return parsed(arcs, segments, lengths)[0]
+
+
+def carried(arcs: Arcs, pieces: list[np.ndarray], begin: np.ndarray, step: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many phrases more each piece has if it begins in state ``begin`` instead of the root.
+
+    Both parses go on side by side until they are in one state, from where they are the same. Returns the difference, whether they met, and the
+    state that the parse from ``begin`` has reached where they did not.
+    """
+    more, met, last = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), bool), begin.astype(arcs.table.dtype)
+    who = np.arange(len(pieces))
+    true, root = last.copy(), np.zeros(len(pieces), arcs.table.dtype)
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    at = 0
+    while len(who):
+        wide = min(step, int(sizes[who].max()) - at)
+        grid = np.zeros((wide, len(who)), np.int32)
+        for k, j in enumerate(who.tolist()):
+            part = pieces[j][at : at + wide]
+            grid[: len(part), k] = part
+        grid = arcs.column[grid]
+        for row in range(wide):
+            go = (sizes[who] > at + row) & ~met[who]
+            a, b = _next(arcs, true, grid[row]), _next(arcs, root, grid[row])
+            more[who] += np.where(go, (a & 1).astype(np.int64) - (b & 1), 0)
+            true, root = np.where(go, a >> 1, true), np.where(go, b >> 1, root)
+            met[who] |= go & (true == root)
+        last[who] = true
+        at += wide
+        on = ~met[who] & (sizes[who] > at)
+        who, true, root = who[on], true[on], root[on]
+    return more, met, last
 
 
 class Model:
@@ -159,20 +199,33 @@ class Model:
         """Bits a symbol, a row for each text and a column for each language; and the symbols of each text."""
         parts = [self.alphabet.encode(t) for t in texts]
         n = np.array([len(p) for p in parts], np.int64)
-        total = np.zeros((len(texts), len(self.langs)))
-        order = np.argsort(-n, kind="stable")
+        owner = np.repeat(np.arange(len(parts)), -(-n // SEGMENT))
+        pieces = [p[i : i + SEGMENT] for p in parts for i in range(0, len(p), SEGMENT)]
+        sizes = np.array([len(x) for x in pieces], np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        count = np.zeros((len(pieces), len(self.langs)), np.int64)
+        last = [np.zeros(len(pieces), t.table.dtype) for t in self.tables]
         for i in range(0, len(order), group):
-            some = order[i : i + group]  # by falling length, so those that go on come first
-            states = [np.zeros(len(some), table.table.dtype) for table in self.tables]
-            for begin in range(0, int(n[some[0]]), SEGMENT):
-                some = some[n[some] > begin]
-                sizes = np.minimum(n[some] - begin, SEGMENT)
-                grid = np.zeros((sizes[0], len(some)), np.int32)
-                for k, j in enumerate(some.tolist()):
-                    grid[: sizes[k], k] = parts[j][begin : begin + SEGMENT]
-                for k, table in enumerate(self.tables):
-                    states[k] = states[k][: len(some)]
-                    total[some, k] += phrases(table, grid, sizes, states[k])
+            some = order[i : i + group]
+            grid = np.zeros((sizes[some[0]], len(some)), np.int32)
+            for k, j in enumerate(some.tolist()):
+                grid[: sizes[j], k] = pieces[j]
+            for k, table in enumerate(self.tables):
+                count[some, k], last[k][some] = parsed(table, grid, sizes[some])
+        # a piece that goes on with a text begins in the state that the one before it ends in
+        goes_on = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+        for k, table in enumerate(self.tables):
+            alone, ends, todo = count[:, k].copy(), last[k].copy(), goes_on
+            while len(todo):
+                more, met, end = carried(table, [pieces[j] for j in todo], last[k][todo - 1])
+                count[todo, k] = alone[todo] + more
+                # where the two parses never met, the piece ends elsewhere, and the next one is to be done again
+                end = np.where(met, ends[todo], end)
+                changed = end != last[k][todo]
+                last[k][todo] = end
+                todo = np.intersect1d(todo[changed] + 1, goes_on)
+        total = np.zeros((len(texts), len(self.langs)))
+        np.add.at(total, owner, count)
         return total * self.bits / np.maximum(n, 1)[:, None], n
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -249,7 +302,7 @@ def identify(docs: DataFrame, learned: dict[str, str], *, text_col: str = "text"
                 part = batch.slice(i, 1024)
                 langs, scores = model.predict(part.column(text_at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*(plain[k] for k in keep), "lang", "score"])
-        pa.default_memory_pool().release_unused()  # the worker waits for other tasks
+        release()  # the worker waits for other tasks
 
     return docs.toDF(*plain).mapInArrow(predict, schema).toDF(*(names[i] for i in keep), *out)
 

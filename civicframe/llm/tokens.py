@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import open_store, stored
+from civicframe.llm.common import open_store, release, stored
 
 END_MAGIC = b"S8BFILE1"
 #: Selector: how many ids a word holds. Those of selectors 2 to 14 have 60 // n bits each. Fixed values of Simple-8b.
@@ -162,7 +162,7 @@ class WordEncoder:
     strings of the vocabulary go to the library as they are. For any other tokenizer whole texts go to the library.
     """
 
-    def __init__(self, path: str, keep: int = 1 << 20) -> None:
+    def __init__(self, path: str, keep: int = 1 << 18) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -256,6 +256,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int,
                 offsets.append(size)
                 size, total, count = size + len(data), total + sum(map(len, ids)), count + len(ids)
         if out is not None:
+            release()
             tail = np.array([*offsets, len(offsets)], "<u8").tobytes() + END_MAGIC
             out.write(tail)
             out.close()
