@@ -1,20 +1,24 @@
 """What has no cap: phrases over cuts, exact near-duplicates, equal rows, columns of any name; long texts; plain versions of results."""
 
+import hashlib
 import random
+import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from civicframe.llm import langid
+from civicframe.llm import fingerprint as fp
+from civicframe.llm import langid, sharding
 from civicframe.llm.decontaminate import contamination, decontaminate
 from civicframe.llm.fingerprint import edited_fingerprints
 from civicframe.llm.neardup import near_duplicates
 from civicframe.llm.sharding import CELL_ROWS, even_cut, shard
 from civicframe.llm.stages import mixed, one_of_each, with_language
-from tests.llm.test_corpus import jaccard, shingles
+from tests.llm.test_corpus import LOWER, jaccard, shingles
 
 
 def plain_phrases(model, lang, sample, text):
@@ -120,3 +124,106 @@ def test_very_long_texts(spark):
     placed = shard(docs, shards=2).collect()
     assert {r.doc_id: (r.size, r.text_crc32) for r in placed} == {i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows}
     assert Counter(r.shard for r in placed).total() == 5 and np.isfinite([r.slot for r in placed]).all()
+
+
+def xx64(*values):
+    """Spark's hash of several columns: numbers as their bytes, texts as UTF-8, a list as its elements one after the other."""
+    seed = 42
+    for v in values:
+        for part in v if isinstance(v, list) else [v]:
+            data = part.encode() if isinstance(part, str) else int(part).to_bytes(4 if isinstance(part, np.int32) else 8, "little", signed=True)
+            seed = xxhash.xxh64(data, seed=seed).intdigest()
+    return seed
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def plain_fingerprint(text):
+    """One-permutation MinHash, bin by bin."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
+    if not words:
+        return ""
+    bins = {}
+    for i in range(max(1, len(words) - fp.SHINGLE + 1)):
+        h = xx64(words[i : i + fp.SHINGLE]) >> 1
+        bins[h >> 55] = min(h, bins.get(h >> 55, h))
+    out = []
+    for j in range(fp.BINS):
+        probes = [j, *(fp._mixed(j * fp.PROBES + t) % fp.BINS for t in range(fp.PROBES))]
+        found = next((bins[p] for p in probes if p in bins), None)
+        if found is None:
+            found = bins[min(bins, key=lambda i: (signed(xx64(np.int32(j), np.int32(i))), bins[i]))]
+        out.append(f"{found & 255:02x}")
+    return "".join(out)
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    same = sum(a[i : i + 2] == b[i : i + 2] for i in range(0, len(a), 2)) / fp.BINS
+    return max(0.0, (same - 1 / 256) / (1 - 1 / 256))
+
+
+def test_fingerprints_equal_plain_ones(spark, sf_dir):
+    from civicframe.llm.queries import op3_fingerprints
+
+    docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()), reverse=True)
+    got = {r.doc_id: r for r in op3_fingerprints(spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for k, (doc_id, text) in enumerate(docs):
+        following = docs[(k + 1) % len(docs)][1]
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + following[:cut]
+        r, mine, other = got[doc_id], plain_fingerprint(text), plain_fingerprint(edited)
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(text), hashlib.sha256(edited.encode()).hexdigest(), mine, other)
+        assert r.near_edited == pytest.approx(plain_likeness(mine, other)) and r.near_next == pytest.approx(plain_likeness(mine, plain_fingerprint(following)))
+
+
+def plain_propagation(rows, shards, rounds):
+    """Labels of rows (id, group, size, members, group_bytes), round by round."""
+    unit = lambda *keys: signed(xx64(*keys)) % (1 << 52) / (1 << 52)
+    label = [int(unit(r[0], r[1], "start") * shards) for r in rows]
+
+    def wishes():
+        held = defaultdict(Counter)
+        for r, s in zip(rows, label, strict=True):
+            if r[3] > 1:
+                held[r[1]][s] += r[2]
+        top = {g: max(c, key=lambda s: (c[s], signed(xx64(g, np.int32(s))), s)) for g, c in held.items()}
+        return [top.get(r[1]) for r in rows]
+
+    for k in range(rounds):
+        loads, flows, to = Counter(), Counter(), wishes()
+        for r, s, t in zip(rows, label, to, strict=True):
+            loads[s] += r[2]
+            if t is not None and t != s:
+                flows[s, t] += r[2]
+        capacity = (1 + sharding.SLACK) * sum(loads.values()) / shards
+        allowed = sharding.grants(dict(flows), dict(loads), capacity)
+        if not allowed:
+            break
+        for i, (r, s, t) in enumerate(zip(rows, list(label), to, strict=True)):
+            chance = unit(r[0], r[1], np.int32(k)) if r[4] * 50 > capacity else unit(r[1], np.int32(k))
+            if (s, t) in allowed and chance < allowed[s, t]:
+                label[i] = t
+    total = sum(r[2] for r in rows)
+    return [t if t is not None and r[4] * 50 * shards <= total else s for r, s, t in zip(rows, label, wishes(), strict=True)]
+
+
+def test_label_propagation_equals_plain_rounds(spark):
+    rng = random.Random(6)
+    rows, n = [], 0
+    for group in range(120):
+        members = rng.choice([1, 1, 2, 3, 9, 60])
+        sizes = [rng.randrange(1, 400)] * members
+        key = rng.randrange(-(1 << 62), 1 << 62)
+        rows += [(n + i, key, s, members, sum(sizes)) for i, s in enumerate(sizes)]
+        n += members
+    df = spark.createDataFrame(rows, "id long, group long, size long, members long, group_bytes long")
+    for shards, rounds in ((4, 3), (16, 4), (3, 0)):
+        got = {r.id: r.shard for r in sharding.propagate(df, shards, rounds=rounds).collect()}
+        assert got == dict(zip((r[0] for r in rows), plain_propagation(rows, shards, rounds), strict=True))
