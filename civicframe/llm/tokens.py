@@ -158,7 +158,8 @@ class WordEncoder:
 
     A tokenizer that drops white space, lower-cases and joins nothing across white space (``plain``) encodes each distinct
     string between white space once; a text costs a look-up a word. A new word is normalised and split by the library itself, unless it
-    is Latin-1, where both are plain, and each new piece is merged once. ``keep`` bounds the words that are held. Words with control
+    is Latin-1, where both are plain, and each new piece is merged once. Words and pieces are held in two generations of ``keep`` each: when the young one
+    is full it takes the place of the old one, and what is met again moves back, so frequent words stay. Words with control
     strings of the vocabulary go to the library as they are. For any other tokenizer whole texts go to the library.
     """
 
@@ -175,6 +176,7 @@ class WordEncoder:
         self.plain = normal == _NORMAL and splits == [_PIECES, None]
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -183,7 +185,10 @@ class WordEncoder:
         """Ids of a piece in the letters that the vocabulary writes bytes in."""
         ids = self.pieces.get(shown)
         if ids is None:
-            ids = self.pieces[shown] = array("I", [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+            ids = self.old[1].get(shown)
+            if ids is None:
+                ids = array("I", [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+            self.pieces[shown] = ids
         return ids
 
     def _learn(self, word: str) -> bytes:
@@ -205,12 +210,14 @@ class WordEncoder:
         """The ids of each text."""
         if not self.plain:
             return [np.frombuffer(self._whole(x), np.uint32) for x in texts]
-        for store in (self.known, self.pieces):
-            if len(store) > self.keep:
-                store.clear()
+        if len(self.known) > self.keep:
+            self.old, self.known = (self.known, self.old[1]), {}
+        if len(self.pieces) > self.keep:
+            self.old, self.pieces = (self.old[0], self.pieces), {}
         split, known = [self.split(x) for x in texts], self.known
         for word in set().union(*split).difference(known):
-            known[word] = self._learn(word)
+            ids = self.old[0].get(word)
+            known[word] = self._learn(word) if ids is None else ids
         return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in split]
 
 
