@@ -89,7 +89,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civicframe.llm.tokens import read_tokens, write_tokens
 
     uri = shared_path(spark, "tokens")
-    files = write_tokens(table(spark, sf_dir, "documents"), uri, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    files = write_tokens(table(spark, sf_dir, "documents"), uri, public_tokenizers.path("word_bpe_49k.json"), end_id=2, keep=1 << 19)
     return read_tokens(files, uri)
 
 

@@ -221,25 +221,25 @@ class WordEncoder:
         return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in split]
 
 
-encoders: dict[str, WordEncoder] = {}
+encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, keep: int = 1 << 18) -> WordEncoder:
     """The encoder of a vocabulary file that this worker process holds, so that later tasks find its words."""
     from civicframe.llm import tokens  # the module's own store, also for functions that were sent to a worker by value
 
-    if path not in tokens.encoders:
-        tokens.encoders[path] = WordEncoder(path)
-    return tokens.encoders[path]
+    if (path, keep) not in tokens.encoders:
+        tokens.encoders[path, keep] = WordEncoder(path, keep)
+    return tokens.encoders[path, keep]
 
 
-def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None, block_docs: int = 512) -> DataFrame:
+def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None, block_docs: int = 512, keep: int = 1 << 18) -> DataFrame:
     """Encode the texts and write their ids in ascending ``id_col`` order; return (part, path, size, docs, ids).
 
     Ids of documents are whole numbers. Null texts count as empty; each document ends with ``end_id``. Rows with a null id come first; rows with equal ids
     are ordered by a hash of their text. Other columns are ignored. An empty table gives an empty list. The texts are
     dealt by ranges of id and hash, so each task writes a run of the corpus and rows that share an id, or have none, are
-    dealt over tasks too. Files of attempts that did not count are not listed.
+    dealt over tasks too. ``keep`` words and pieces are held a worker (:class:`WordEncoder`): more cost memory, fewer time. Files of attempts that did not count are not listed.
     """
     tasks = tasks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -254,7 +254,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int,
             if out is None:
                 fs.create_dir(base, recursive=True)
                 path = f"{base}/part-{part:05d}-{uuid.uuid4().hex}.s8b"
-                out, encode = fs.open_output_stream(path, compression=None), word_encoder(tokenizer_path)
+                out, encode = fs.open_output_stream(path, compression=None), word_encoder(tokenizer_path, keep)
             doc_ids = batch.column(0).to_pylist()
             for i in range(0, len(doc_ids), block_docs):
                 ids = [np.append(x, np.uint32(end_id)) for x in encode(batch.column(1).slice(i, block_docs).to_pylist())]
