@@ -224,7 +224,7 @@ class WordEncoder:
 encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def word_encoder(path: str, keep: int = 1 << 18) -> WordEncoder:
+def word_encoder(path: str, keep: int = 1 << 17) -> WordEncoder:
     """The encoder of a vocabulary file that this worker process holds, so that later tasks find its words."""
     from civicframe.llm import tokens  # the module's own store, also for functions that were sent to a worker by value
 
@@ -233,7 +233,7 @@ def word_encoder(path: str, keep: int = 1 << 18) -> WordEncoder:
     return tokens.encoders[path, keep]
 
 
-def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None, block_docs: int = 512, keep: int = 1 << 18) -> DataFrame:
+def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None, block_docs: int = 512, keep: int = 1 << 17) -> DataFrame:
     """Encode the texts and write their ids in ascending ``id_col`` order; return (part, path, size, docs, ids).
 
     Ids of documents are whole numbers. Null texts count as empty; each document ends with ``end_id``. Rows with a null id come first; rows with equal ids
