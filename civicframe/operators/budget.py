@@ -28,11 +28,13 @@ def publication(lines: DataFrame, placed: DataFrame) -> DataFrame:
     """One row a code that items refer to: code, line (of the first plan that has it), versions, items.
 
     ``lines`` has plan, code and a struct ``line``; ``placed`` is :func:`plan_of_items`. Versions and items are counted before they are listed: a
-    code has a version a plan at most, and its items are a page's list. A code without lines goes.
+    code has a version a plan at most, and its items are a page's list. A code without lines goes. An item that refers to a code on
+    several days is listed once, with the first of its plans that has the code.
     """
     used = lines.join(placed.select("code").distinct(), "code", "left_semi")
     versions = used.groupBy("code").agg(F.min_by("line", "plan").alias("line"), F.sort_array(F.collect_list(F.struct("plan", "line"))).alias("versions"))
-    items = placed.groupBy("code").agg(F.sort_array(F.collect_list(F.struct("item", "plan", "other_plan"))).alias("items"))
+    once = placed.groupBy("code", "item").agg(F.min(F.struct("other_plan", "plan")).alias("p")).select("code", "item", "p.plan", "p.other_plan")
+    items = once.groupBy("code").agg(F.sort_array(F.collect_list(F.struct("item", "plan", "other_plan"))).alias("items"))
     return versions.join(items, "code")
 
 

@@ -89,3 +89,11 @@ def test_plan_of_items_and_export(spark, tmp_path):
     got = {r["code"]: r for r in (json.loads(x.value) for x in spark.read.text(str(tmp_path / "out")).collect())}
     assert got["a"] == {"code": "a", "line": {"name": "a0"}, "versions": {"0": {"name": "a0"}, "1": {"name": "a1"}}, "plan_of_item": {"i": 0, "j": 1, "k": 1, "l": 1}}
     assert sorted(got) == ["a", "b", "c"] and got["b"]["from_other_plan"] == ["m"]
+
+
+def test_item_that_refers_on_several_days_is_published_once(spark, tmp_path):
+    placed = spark.createDataFrame([("a", "i", 0, True), ("a", "i", 1, False), ("a", "i", 2, False), ("a", "j", 0, True), ("a", "j", 0, True)], "code string, item string, plan int, other_plan boolean")
+    lines = spark.createDataFrame([(p, "a", (p,)) for p in (0, 1, 2)], "plan int, code string, line struct<total:int>")
+    export(publication(lines, placed), str(tmp_path / "out"))
+    (got,) = (json.loads(x.value) for x in spark.read.text(str(tmp_path / "out")).collect())
+    assert got["plan_of_item"] == {"i": 1, "j": 0} and got["from_other_plan"] == ["j"]
