@@ -60,13 +60,30 @@ def ring_contains(x: Column, y: Column, ring: Column) -> Column:
     return F.when(n < 3, False).otherwise(F.size(F.filter(edges, crosses)) % 2 == 1)
 
 
-def polygon_contains(x: Column, y: Column, polygons: Column) -> Column:
-    """Whether one of several polygons (arrays of rings: an outline and its holes) holds a point."""
-    return F.exists(polygons, lambda rings: ring_contains(x, y, F.get(rings, 0)) & ~F.exists(F.slice(rings, F.lit(2), F.size(rings)), lambda h: ring_contains(x, y, h)))
+def on_ring(x: Column, y: Column, ring: Column) -> Column:
+    """Whether a point lies on an edge of a ring (array of [x, y])."""
+    n = F.size(ring)
+    edges = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get(ring, i).alias("p"), F.get(ring, F.pmod(i + n - 1, n)).alias("q")))
+
+    def touches(e: Column) -> Column:
+        px, py, qx, qy = F.get(e["p"], 0), F.get(e["p"], 1), F.get(e["q"], 0), F.get(e["q"], 1)
+        within = x.between(F.least(px, qx), F.greatest(px, qx)) & y.between(F.least(py, qy), F.greatest(py, qy))
+        return within & ((qx - px) * (y - py) == (qy - py) * (x - px))
+
+    return F.when(n < 1, False).otherwise(F.exists(edges, touches))
+
+
+def polygon_contains(x: Column, y: Column, polygons: Column, *, strict: bool = False) -> Column:
+    """Whether one of several polygons (arrays of rings: an outline and its holes) holds a point.
+
+    Of points on an edge those on left and lower edges count as inside a ring; with ``strict`` none does, be it an outline or a hole.
+    """
+    holds = (lambda r: ring_contains(x, y, r) & ~on_ring(x, y, r)) if strict else (lambda r: ring_contains(x, y, r))
+    return F.exists(polygons, lambda rings: holds(F.get(rings, 0)) & ~F.exists(F.slice(rings, F.lit(2), F.size(rings)), holds))
 
 
-def in_districts(points: DataFrame, districts: DataFrame, x: str, y: str, key: str, *, cell: float = 0.05) -> DataFrame:
-    """Points with the first district (name, polygons) by name that holds them, or null.
+def in_districts(points: DataFrame, districts: DataFrame, x: str, y: str, key: str, *, cell: float = 0.05, strict: bool = False) -> DataFrame:
+    """Points with the first district (name, polygons) by name that holds them, or null; ``strict`` as in :func:`polygon_contains`.
 
     Districts are listed under the squares of side ``cell`` that their outlines' bounds touch, and a point is compared with
     those of its square only: an equal join that Spark shuffles, or broadcasts where it knows the districts to be few.
@@ -76,8 +93,8 @@ def in_districts(points: DataFrame, districts: DataFrame, x: str, y: str, key: s
     span = lambda i: F.sequence(square(F.array_min(F.transform(corners, lambda c: F.get(c, i)))), square(F.array_max(F.transform(corners, lambda c: F.get(c, i)))))
     rows = districts.where(F.size(corners) > 0).select("name", "polygons", F.explode(span(0)).alias("_dx"), span(1).alias("_span")).select("name", "polygons", "_dx", F.explode("_span").alias("_dy"))
     here = (square(F.col(x)) == F.col("_dx")) & (square(F.col(y)) == F.col("_dy"))
-    pairs = points.join(rows, here & polygon_contains(F.col(x), F.col(y), F.col("polygons")), "left")
-    first = Window.partitionBy(key).orderBy("name")
+    pairs = points.join(rows, here & polygon_contains(F.col(x), F.col(y), F.col("polygons"), strict=strict), "left")
+    first = Window.partitionBy(key).orderBy(F.col("name").asc_nulls_last())
     return pairs.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*points.columns, F.col("name").alias("district"))
 
 

@@ -103,4 +103,4 @@ def geojson_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
     gml = F.format_string("<gml:Point><gml:pos>%s %s</gml:pos></gml:Point>", ((F.col("c_acctbal") + 1000) / 100).cast("string"), (F.col("c_custkey") % 50 / 10).cast("string"))
     points = table(spark, sf_dir, "customer").select("c_custkey", gml_point(gml).alias("p")).select("c_custkey", "p.x", "p.y")
     areas = stored(districts(spark, path), "areas")
-    return in_districts(points, areas, "x", "y", "c_custkey", cell=1.0).select("c_custkey", "district")
+    return in_districts(points, areas, "x", "y", "c_custkey", cell=1.0, strict=True).select("c_custkey", "district")

@@ -42,8 +42,9 @@ def session_files(spark: SparkSession, root: str, *, pattern: str = "*") -> Data
 
 
 def gml_point(gml: Column) -> Column:
-    """Struct (x, y) of the first position of a GML text; null if it has none."""
-    pattern = r"<gml:pos>([\d.]+)\s+([\d.]+)</gml:pos>"
+    """Struct (x, y) of the first position of a GML text, numbers with sign and exponent too; null if it has none."""
+    number = r"([-+]?[\d.]+(?:[eE][-+]?\d+)?)"
+    pattern = rf"<gml:pos>{number}\s+{number}</gml:pos>"
     x, y = (F.regexp_extract(gml, pattern, i).try_cast("double") for i in (1, 2))
     return F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
 

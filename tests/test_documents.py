@@ -97,3 +97,13 @@ def test_item_that_refers_on_several_days_is_published_once(spark, tmp_path):
     export(publication(lines, placed), str(tmp_path / "out"))
     (got,) = (json.loads(x.value) for x in spark.read.text(str(tmp_path / "out")).collect())
     assert got["plan_of_item"] == {"i": 1, "j": 0} and got["from_other_plan"] == ["j"]
+
+
+def test_points_on_edges_and_small_positions(spark):
+    from civicframe.operators.geo import in_districts
+
+    areas = spark.createDataFrame([("a", [[[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.0], [0.0, 0.0]], [[1.0, 1.0], [2.0, 1.0], [2.0, 2.0], [1.0, 2.0], [1.0, 1.0]]]])], "name string, polygons array<array<array<array<double>>>>")
+    rows = [(1, "0 2"), (2, "4 2"), (3, "1 1.5"), (4, "2 1.5"), (5, "1.5 1.5"), (6, "3 0"), (7, "1.0E-4 +2"), (8, "-1e0 2"), (9, "3 3"), (9, "9 9")]
+    points = spark.createDataFrame([(k, f"<gml:pos>{p}</gml:pos>") for k, p in rows], "k int, g string").select("k", gml_point(F.col("g")).alias("p")).select("k", "p.x", "p.y")
+    inside = lambda **how: sorted(r.k for r in in_districts(points, areas, "x", "y", "k", cell=1.0, **how).where("district = 'a'").collect())
+    assert inside(strict=True) == [3, 4, 7, 9] and inside() == [1, 4, 6, 7, 9]
