@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicframe.functions.text import link_words, prefix_overlap, seq_ratio_from
+from civicframe.functions.text import gram_counts, link_words, prefix_overlap, seq_ratio_bound, seq_ratio_from
+from civicframe.store import stored
 
 #: Words of titles that say nothing about the matter; callers add the names of their place. Fixed values.
 LINK_STOP = ("belang", "stedelijk", "stedelijke", "betreffende", "houdende", "beslissing", "beslissingslijst", "besluit", "besluiten", "goedkeuring", "vaststelling", "aanvullend", "toepassing", "algemeen")
@@ -72,17 +73,43 @@ def link_attachments(attachments: DataFrame, linked: DataFrame) -> DataFrame:
     return attachments.join(linked.select("organ", "session", "publication", "item_id").distinct(), ["organ", "session", "publication"])
 
 
-def fuzzy_match(hits: DataFrame, candidates: DataFrame, *, block: Column, hit_title: str, candidate_title: str, hit_id: str, candidate_id: str, least: float = 0.72) -> DataFrame:
+#: Candidates of a block that one task compares with a hit. Fixed value.
+BLOCK_CELL = 500
+
+
+def fuzzy_match(hits: DataFrame, candidates: DataFrame, *, block: str, hit_title: str, candidate_title: str, hit_id: str, candidate_id: str, least: float = 0.72) -> DataFrame:
     """The most similar candidate of each hit inside a block, if its ratio is ``least`` or more; ties by id.
 
-    Candidates of one title are compared once, and lengths that no ratio of ``least`` allows not at all.
+    Hits and candidates of one title are compared once, and lengths that no ratio of ``least`` allows not at all. The
+    candidate with the largest bound is compared first; then only those whose bounds reach its ratio. Pairs go as ids and
+    counts, and large blocks in cells; texts follow for the pairs that are compared.
     """
     titles = candidates.where(F.col(candidate_title).isNotNull()).groupBy(block, candidate_title).agg(F.min(candidate_id).alias(candidate_id))
-    a, b = F.length(hit_title), F.length(candidate_title)
-    pairs = hits.join(titles, block).where(F.lit(2.0) * F.least(a, b) >= F.lit(least) * (a + b) - F.lit(1e-6))
-    pairs = pairs.withColumn("ratio", seq_ratio_from(F.col(hit_title), F.col(candidate_title), least)).where("ratio is not null")
+    titles = stored(titles.withColumn("_c", F.xxhash64(block, candidate_title)).withColumn("_cg", gram_counts(candidate_title)), "titles")
+    asked = hits.where(F.col(hit_title).isNotNull()).select(block, hit_title).distinct().withColumn("_h", F.xxhash64(block, hit_title))
+    asked = stored(asked.withColumn("_hg", gram_counts(hit_title)), "hits")
+    cells = titles.groupBy(block).agg(F.ceil(F.count("*") / BLOCK_CELL).cast("int").alias("_cells"))
+    a, b = F.col("_hl"), F.col("_cl")
+    mine = asked.join(cells, block).select(block, "_h", F.length(hit_title).alias("_hl"), "_hg", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("_cell"))
+    theirs = titles.join(cells, block).select(block, "_c", candidate_id, F.length(candidate_title).alias("_cl"), "_cg", F.pmod("_c", F.col("_cells")).cast("int").alias("_cell"))
+
+    def bounded(known: DataFrame, from_: Column) -> DataFrame:
+        pairs = known.join(theirs, [block, "_cell"]).where(F.lit(2.0) * F.least(a, b) >= from_ * (a + b) - F.lit(1e-6))
+        return pairs.withColumn("_bound", seq_ratio_bound(F.col("_hg"), F.col("_cg"), a + b)).where(F.col("_bound") >= from_ - F.lit(1e-9))
+
+    def rated(pairs: DataFrame, from_: Column) -> DataFrame:
+        texts = pairs.join(asked.select(block, "_h", hit_title), [block, "_h"]).join(titles.select(block, "_c", candidate_title), [block, "_c"])
+        return texts.select(block, "_h", "_c", candidate_id, seq_ratio_from(F.col(hit_title), F.col(candidate_title), from_).alias("ratio"))
+
+    first = bounded(mine, F.lit(least)).groupBy(block, "_h").agg(F.max_by(F.struct("_c", candidate_id), F.struct("_bound", -F.abs(a - b))).alias("_top"))
+    first = stored(rated(first.select(block, "_h", "_top.*"), F.lit(least)), "first")
+    known = mine.join(first.select(block, "_h", F.col("_c").alias("_seen"), F.col("ratio").alias("_from")), [block, "_h"]).withColumn("_from", F.coalesce("_from", F.lit(least)))
+    others = bounded(known, F.col("_from")).where("_c <> _seen").select(block, "_h", "_c", candidate_id, "_from")
+    ratios = first.unionByName(rated(others, F.col("_from"))).where("ratio is not null")
+    top = ratios.groupBy(block, "_h").agg(F.min(F.struct((-F.col("ratio")).alias("r"), F.col(candidate_id).alias("c"))).alias("_top"))
+    found = hits.withColumn("_h", F.xxhash64(block, hit_title)).join(top, [block, "_h"]).select(hit_id, F.col("_top.c").alias(candidate_id), (-F.col("_top.r")).alias("ratio"))
     best = Window.partitionBy(hit_id).orderBy(F.col("ratio").desc(), candidate_id)
-    return pairs.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").select(hit_id, candidate_id, F.round("ratio", 3).alias("ratio"))
+    return found.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").select(hit_id, candidate_id, F.round("ratio", 3).alias("ratio"))
 
 
 def dossier_report(hits: DataFrame, matches: DataFrame, items: DataFrame, *, least: float = 0.72) -> DataFrame:

@@ -317,6 +317,26 @@ def test_fuzzy_titles_equal_difflib(spark, sf_dir):
     assert got == expected and len(got) > 80
 
 
+def test_fuzzy_match_by_bounds_equals_difflib(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    from civicframe.functions.text import _ratio_from
+
+    draw = random.Random(3)
+    names = ["x " + "".join(draw.choice("abcdefgh ") for _ in range(n)) for n in (60, 90, 120, 250, 700) for _ in range(8)]
+    hits = [n[:20] + n[21:] for n in names]
+    rows = spark.createDataFrame([(i + 100 * k, "x", t) for k in (0, 1) for i, t in enumerate(hits)], "h int, block string, a string")
+    found = linkage.fuzzy_match(rows, spark.createDataFrame([(i, "x", n) for i, n in enumerate(names)], "c int, block string, b string"), block="block", hit_title="a", candidate_title="b", hit_id="h", candidate_id="c")
+    got, expected = {r.h: (r.c, r.ratio) for r in found.collect()}, {}
+    for i, t in enumerate(hits):
+        ratio, c = max((SequenceMatcher(None, t, n).ratio(), -j) for j, n in enumerate(names))
+        if ratio >= 0.72:
+            expected |= {i: (-c, round(ratio, 3)), i + 100: (-c, round(ratio, 3))}
+    assert got == expected and len(got) > 40
+    assert all(_ratio_from(t, n, 0.0) == SequenceMatcher(None, t, n).ratio() for t in hits[::3] for n in names)
+
+
 def test_sessions_replaced_and_pages_filled(spark):
     old = spark.createDataFrame([("demo-1", "c", "2026-01-01"), ("x-1", "c", "2026-01-02"), ("x-2", "c", "2026-01-03")], "id string, organ string, date string")
     new = spark.createDataFrame([("x-3", "c", "2026-01-02")], "id string, organ string, date string")
