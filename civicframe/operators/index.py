@@ -72,7 +72,8 @@ def boundary_tokens(tokens: DataFrame, *, max_items: int = MAX_ITEMS, stop: list
 def dictionary(tokens: DataFrame) -> DataFrame:
     """Number of each item that has a token, in the order of the ids, from 0."""
     # each task numbers its range of ids; what comes before it is summed up from one row a range
-    ids = tokens.select("id").distinct().repartitionByRange("id").withColumn("_cell", F.spark_partition_id())
+    # the ids are stored first, as their ranges are sampled before they are dealt out
+    ids = stored(tokens.select("id").distinct(), "ids").repartitionByRange("id").withColumn("_cell", F.spark_partition_id())
     ids = stored(ids, "dictionary")
     before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = ids.groupBy("_cell").agg(F.count("*").alias("n")).select("_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
@@ -106,9 +107,9 @@ def _wanted(groups: DataFrame, term: str) -> DataFrame:
 def synonym_items(tokens: DataFrame, groups: DataFrame, term: str) -> DataFrame:
     """Items (id, rank) of item tokens (id, token) with a term, rank 0, or a word of its groups (rows word, group), rank 1.
 
-    There is no posting list, so a word may be as common as it is.
+    There is no posting list, so a word may be as common as it is; the few words go to the tokens, which are not shuffled.
     """
-    return tokens.join(_wanted(groups, term), "token").groupBy("id").agg(F.min("rank").alias("rank"))
+    return tokens.join(F.broadcast(_wanted(groups, term)), "token").groupBy("id").agg(F.min("rank").alias("rank"))
 
 
 def compounds(vocabulary: DataFrame, term: str, false_compounds: list[str] = ()) -> DataFrame:
