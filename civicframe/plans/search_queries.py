@@ -61,9 +61,9 @@ def boundary_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_truth_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every posting of the index checked against the texts, after lies were planted: a word that is nowhere, and the first token at items that don't exist."""
     docs, visible = table(spark, sf_dir, "documents"), F.get(F.split("text", "\n"), 0)
-    built = index.inverted_index(index.item_tokens(docs, "doc_id", F.col("text"), visible))
-    first = stored(built, "index").where(F.col("token") == F.lit(built.agg(F.min("token")).first()[0]))
-    lies = docs.where("doc_id % 7 = 0").agg(F.lit("nergenstevinden").alias("token"), F.collect_list("doc_id").alias("items"))
+    built = stored(index.inverted_index(index.item_tokens(docs, "doc_id", F.col("text"), visible)), "index")
+    first = built.where(F.col("token") == F.lit(built.agg(F.min("token")).first()[0]))
+    lies = docs.where("doc_id % 7 = 0").select(F.lit("nergenstevinden").alias("token"), F.array("doc_id").alias("items"))
     lies = lies.unionByName(first.select("token", F.transform("items", lambda i: -1 - i).alias("items")))
     planted = built.select("token", "items").unionByName(lies)
     errors = index.index_errors(planted, docs, "doc_id", F.col("text"), visible).agg(F.count("*").alias("n_errors"))
