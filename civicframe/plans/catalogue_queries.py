@@ -300,7 +300,8 @@ _EXPECTED = """
 @query(f"WITH {_EXPECTED} SELECT p_partkey AS publication, number, letter, department, title FROM x")
 def extract_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number, letter, department and title of extracts' heads."""
-    heads = _extracts(spark, sf_dir).select("publication", c.head_number(F.col("text")).alias("n"), c.head_of(F.col("text")).alias("h"))
+    # as the row of a generator both heads are read once, not again for the filter and each field
+    heads = _extracts(spark, sf_dir).select("publication", F.inline(F.array(F.struct(c.head_number(F.col("text")).alias("n"), c.head_of(F.col("text")).alias("h")))))
     return heads.where(F.col("n.number") == F.col("h.number")).select("publication", "n.number", "n.letter", "h.department", "h.title")
 
 
