@@ -1,7 +1,7 @@
 """Decision lists, agendas and minutes: lines of a document become items.
 
-A document's lines are exploded with their places; which lines open an item is found by a fold over the candidates of
-one document, as a head may depend on the number of the head before it; running sums then number the blocks.
+A document's lines stay in its row, as an array with their places; which lines open an item is found by a fold over the
+candidates of the document, as a head may depend on the number of the head before it; slices between heads are the items.
 """
 
 from __future__ import annotations
@@ -10,20 +10,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicframe.functions.dates import MONTHS
+from civicframe.functions.text import let
 from civicframe.operators.catalogue import continued_title
 
 
-def lines(docs: DataFrame, *, id_col: str = "doc", text_col: str = "text", noise: str | None = None) -> DataFrame:
-    """Rows (id, pos, line): trimmed, non-empty lines, without those that match ``noise``."""
-    rows = docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(text_col, r"\R")).alias("pos", "line")).select("doc", "pos", F.trim(F.regexp_replace("line", r"^(?U)\s+|\s+$", "")).alias("line")).where("line <> ''")
-    return rows if noise is None else rows.where(~F.col("line").rlike(noise))
+def line_array(text: Column, noise: str | None = None) -> Column:
+    """Trimmed, non-empty lines of a text in their order, without those that match ``noise``: array of (pos, line)."""
+    rows = F.transform(F.split(text, r"\R"), lambda x, i: F.struct(i.alias("pos"), F.trim(F.regexp_replace(x, r"^(?U)\s+|\s+$", "")).alias("line")))
+    return F.filter(rows, lambda r: (r["line"] != "") if noise is None else (r["line"] != "") & ~r["line"].rlike(noise))
 
 
-def _after_opening(rows: DataFrame) -> DataFrame:
-    """Rows from the first public-session line on; all if there is none."""
-    opens = F.lower("line").startswith("openbare zitting")
-    first = F.min(F.when(opens, F.col("pos"))).over(Window.partitionBy("doc"))
-    return rows.withColumn("_first", first).where(F.col("_first").isNull() | (F.col("pos") >= F.col("_first"))).drop("_first")
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``doc`` and the columns, as the row of a generator: what follows reads them and does not compute them again."""
+    return df.select("doc", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
+
+
+def _lines(docs: DataFrame, noise: str, id_col: str = "doc", text_col: str = "text") -> DataFrame:
+    return _once(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), rows=line_array(F.col("text"), noise)).where("rows is not null")
+
+
+def _after_opening(docs: DataFrame) -> DataFrame:
+    """The rows from the first public-session line on; all if there is none."""
+    opens = F.array_position(F.transform("rows", lambda r: F.lower(r["line"]).startswith("openbare zitting")), True).cast("int")
+    return _once(docs, rows=F.slice("rows", F.greatest(opens, F.lit(1)), F.size("rows")))
 
 
 def follows(previous: Column, number: Column) -> Column:
@@ -46,44 +55,42 @@ AGENDA_NOISE = r"(?U)^(Agenda(?:\s+volledig)?\s+\d+$|AGENDA(?:\s+VOLLEDIG)?$|\d{
 RUBRIC = r"^([^.]+?)\.\s+(.*)$"
 
 
-def _accepted(rows: DataFrame, plain: Column, successor_only: Column, continues: Column) -> DataFrame:
-    """Mark the lines that open an item (``head``), by a fold over the candidates of each document.
+def _items(docs: DataFrame) -> DataFrame:
+    """One row an item of the marked rows of each document: pos, number, rest, section and ``lines``, the array of its lines from the head on.
 
-    ``plain`` heads open one, unless ``continues`` says that the line may be the tail of a title and its number does not
-    follow the last one inside an open item; ``successor_only`` heads open one if their number follows.
+    Rows have pos, line, mark (of a section), closes, number, rest, plain, bare and tail. Which lines open an item is found by a
+    fold over the candidates of a document: ``plain`` heads open one, unless ``tail`` says that the line may be the tail of a
+    title and its number does not follow the last one inside an open item; ``bare`` heads open one if their number follows.
+    An item ends where the next one opens or a line closes it. All is done in the document's row: nothing is shuffled or sorted.
     """
-    closes = F.col("closes")
-    candidates = rows.where(plain | successor_only | closes).groupBy("doc").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "number", plain.alias("plain"), successor_only.alias("bare"), continues.alias("tail"), closes.alias("closes")))).alias("c")
-    )
-    start = F.struct(F.lit(None).cast("string").alias("prev"), F.lit(False).alias("open"), F.array().cast("array<int>").alias("heads"))
+    kind = "struct<at:int,head:boolean,section:string>"
+    start = F.struct(F.lit(None).cast("string").alias("prev"), F.lit(False).alias("open"), F.lit("openbaar").alias("section"), F.array().cast(f"array<{kind}>").alias("cuts"))
 
     def step(acc: Column, x: Column) -> Column:
         series = F.coalesce(acc["prev"].rlike(r"^\d+[A-Za-z]?$"), F.lit(False)) & x["number"].rlike(r"^\d+[A-Za-z]?$")
         opens = (x["plain"] & ~(acc["open"] & x["tail"] & series & ~follows(acc["prev"], x["number"]))) | (~x["plain"] & x["bare"] & follows(acc["prev"], x["number"]))
-        shut = F.struct(acc["prev"].alias("prev"), F.lit(False).alias("open"), acc["heads"].alias("heads"))
-        taken = F.struct(x["number"].alias("prev"), F.lit(True).alias("open"), F.concat(acc["heads"], F.array(x["pos"])).alias("heads"))
+        section = F.coalesce(x["mark"], acc["section"])
+        cut = lambda head: F.array_append(acc["cuts"], F.struct(x["at"].alias("at"), F.lit(head).alias("head"), section.alias("section")))
+        shut = F.struct(acc["prev"].alias("prev"), F.lit(False).alias("open"), section.alias("section"), cut(False).alias("cuts"))
+        taken = F.struct(x["number"].alias("prev"), F.lit(True).alias("open"), section.alias("section"), cut(True).alias("cuts"))
         return F.when(x["closes"], shut).when(opens, taken).otherwise(acc)
 
-    heads = candidates.select("doc", F.explode(F.aggregate("c", start, step)["heads"]).alias("pos")).withColumn("head", F.lit(True))
-    return rows.join(heads, ["doc", "pos"], "left").withColumn("head", F.coalesce("head", F.lit(False)))
+    fields = ("number", "plain", "bare", "tail", "mark", "closes")
+    numbered = F.transform("rows", lambda r, i: F.struct(i.alias("at"), *(r[k].alias(k) for k in fields)))
+    cuts = F.aggregate(F.filter(numbered, lambda r: r["plain"] | r["bare"] | r["closes"]), start, step)["cuts"]
+    docs = docs.select("doc", "rows", F.inline(F.array(F.struct(cuts.alias("cuts")))))
 
+    def item(c: Column, k: Column) -> Column:
+        head, end = F.get(F.col("rows"), c["at"]), F.coalesce(F.get(F.col("cuts"), k + 1)["at"], F.size("rows"))
+        body = F.transform(F.slice("rows", c["at"] + 1, end - c["at"]), lambda r: r["line"])
+        return F.when(c["head"], F.struct(head["pos"].alias("pos"), head["number"].alias("number"), head["rest"].alias("rest"), c["section"].alias("section"), body.alias("lines")))
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """One row an item: its head's columns and ``lines``, the array of its lines from the head on."""
-    running = Window.partitionBy("doc").orderBy("pos")
-    rows = rows.withColumn("block", F.sum((F.col("head") | F.col("closes")).cast("int")).over(running))
-    rows = rows.withColumn("_opened", F.max("head").over(Window.partitionBy("doc", "block"))).where(F.col("_opened") & ~F.col("closes"))
-    first = lambda c: F.max(F.when(F.col("head"), F.col(c))).alias(c)
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "line")))
-    return rows.groupBy("doc", "block").agg(first("pos"), first("number"), first("rest"), first("section"), F.transform(ordered, lambda x: x["line"]).alias("lines"))
+    return docs.select("doc", F.inline(F.filter(F.transform("cuts", item), lambda x: x.isNotNull())))
 
 
-def _sections(rows: DataFrame) -> DataFrame:
-    low = F.lower("line")
-    mark = F.when(low.startswith("openbare zitting"), "openbaar").when(low.startswith("besloten zitting"), "besloten")
-    running = Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("_mark", mark).withColumn("section", F.coalesce(F.last("_mark", ignorenulls=True).over(running), F.lit("openbaar")))
+def _mark(line: Column) -> Column:
+    low = F.lower(line)
+    return F.when(low.startswith("openbare zitting"), "openbaar").when(low.startswith("besloten zitting"), "besloten")
 
 
 def parse_decisions(docs: DataFrame, **columns: str) -> DataFrame:
@@ -91,18 +98,27 @@ def parse_decisions(docs: DataFrame, **columns: str) -> DataFrame:
 
     The last line of an item is its result, the others are its title.
     """
-    rows = _sections(_after_opening(lines(docs, noise=DECISION_NOISE, **columns)))
-    rows = rows.withColumn("closes", F.col("_mark").isNotNull() | F.lower("line").rlike(DECISION_BREAK))
-    forms = [(p, F.regexp_extract("line", p, 1), F.regexp_extract("line", p, 2)) for p in (DECISION_HEAD, DECISION_HEAD_TYPE, DECISION_HEAD_BARE)]
-    (_, n1, r1), (_, n2, r2), (_, n3, r3) = forms
-    year = F.coalesce(F.regexp_extract(n1, r"^(\d+)", 1).try_cast("int") >= 1000, F.lit(False))
-    coded = n1.rlike(r"^[A-Z]{2,4}\d")
-    real = (n1 != "") & ~year & (~coded | r1.rlike("^[A-Z]{2,}"))
-    rows = rows.withColumn("number", F.when(real, n1).when(n2 != "", n2).otherwise(n3)).withColumn("rest", F.when(real, r1).when(n2 != "", r2).otherwise(r3))
-    rows = rows.withColumn("number", F.regexp_replace("number", r"^(\d+) ([A-Z])$", "$1$2"))
-    plain = (real | (n2 != "")) & ~F.col("closes")
-    tail = ~F.col("rest").rlike(RUBRIC) & ~F.upper("rest").startswith("GESCHRAPT")
-    items = _blocks(_accepted(rows, plain, (n3 != "") & ~plain & ~F.col("closes"), tail))
+    def marked(r: Column) -> Column:
+        line = r["line"]
+        forms = F.struct(*(F.regexp_extract(line, p, i).alias(f"{k}{j}") for j, p in enumerate((DECISION_HEAD, DECISION_HEAD_TYPE, DECISION_HEAD_BARE), 1) for k, i in (("n", 1), ("r", 2))))
+        return let(forms, lambda f: let(_real(f), lambda real: let(_read(line, f, real), lambda x: _row(r, f, real, x))))
+
+    def _real(f: Column) -> Column:
+        year = F.coalesce(F.regexp_extract(f["n1"], r"^(\d+)", 1).try_cast("int") >= 1000, F.lit(False))
+        return (f["n1"] != "") & ~year & (~f["n1"].rlike(r"^[A-Z]{2,4}\d") | f["r1"].rlike("^[A-Z]{2,}"))
+
+    def _read(line: Column, f: Column, real: Column) -> Column:
+        number = F.when(real, f["n1"]).when(f["n2"] != "", f["n2"]).otherwise(f["n3"])
+        rest = F.when(real, f["r1"]).when(f["n2"] != "", f["r2"]).otherwise(f["r3"])
+        closes = _mark(line).isNotNull() | F.lower(line).rlike(DECISION_BREAK)
+        return F.struct(F.regexp_replace(number, r"^(\d+) ([A-Z])$", "$1$2").alias("number"), rest.alias("rest"), _mark(line).alias("mark"), closes.alias("closes"))
+
+    def _row(r: Column, f: Column, real: Column, x: Column) -> Column:
+        plain = (real | (f["n2"] != "")) & ~x["closes"]
+        tail = ~x["rest"].rlike(RUBRIC) & ~F.upper(x["rest"]).startswith("GESCHRAPT")
+        return F.struct(r["pos"].alias("pos"), r["line"].alias("line"), *(x[k].alias(k) for k in ("number", "rest", "mark", "closes")), plain.alias("plain"), ((f["n3"] != "") & ~plain & ~x["closes"]).alias("bare"), tail.alias("tail"))
+
+    items = _items(_once(_after_opening(_lines(docs, DECISION_NOISE, **columns)), rows=F.transform("rows", marked)))
     category, title = F.trim(F.regexp_extract("rest", RUBRIC, 1)), F.when(F.col("rest").rlike(RUBRIC), F.trim(F.regexp_extract("rest", RUBRIC, 2))).otherwise(F.col("rest"))
     added = F.col("number").startswith("TP") | (F.upper(category) == "TOEGEVOEGD PUNT")
     debate = F.col("number").startswith("ACT") | (F.upper(category) == "ACTUALITEITSDEBAT")
@@ -121,13 +137,17 @@ def parse_decisions(docs: DataFrame, **columns: str) -> DataFrame:
 
 def parse_agenda(docs: DataFrame, **columns: str) -> DataFrame:
     """Items of agendas: doc, pos, number, category, section, type, submitter, title."""
-    rows = _sections(_after_opening(lines(docs, noise=AGENDA_NOISE, **columns)))
-    rows = rows.withColumn("closes", F.col("_mark").isNotNull() | (F.lower("line") == "vragen"))
-    number, rest = F.regexp_extract("line", AGENDA_HEAD, 1), F.regexp_extract("line", AGENDA_HEAD, 2)
-    spaced = F.col("line").rlike(r"^[^.]+\.\s") | number.startswith("ACT")
-    real = (number != "") & spaced & (number.rlike("^[TVA]") | (F.coalesce(F.regexp_extract(number, r"^(\d+)", 1).try_cast("int"), F.lit(0)) < 1000))
-    rows = rows.withColumn("number", number).withColumn("rest", rest)
-    items = _blocks(_accepted(rows, real & ~F.col("closes"), F.lit(False), F.lit(False)))
+    def marked(r: Column) -> Column:
+        line = r["line"]
+        read = F.struct(F.regexp_extract(line, AGENDA_HEAD, 1).alias("number"), F.regexp_extract(line, AGENDA_HEAD, 2).alias("rest"), _mark(line).alias("mark"), (_mark(line).isNotNull() | (F.lower(line) == "vragen")).alias("closes"))
+        return let(read, lambda x: _row(r, x))
+
+    def _row(r: Column, x: Column) -> Column:
+        spaced = r["line"].rlike(r"^[^.]+\.\s") | x["number"].startswith("ACT")
+        real = (x["number"] != "") & spaced & (x["number"].rlike("^[TVA]") | (F.coalesce(F.regexp_extract(x["number"], r"^(\d+)", 1).try_cast("int"), F.lit(0)) < 1000))
+        return F.struct(r["pos"].alias("pos"), r["line"].alias("line"), *(x[k].alias(k) for k in ("number", "rest", "mark", "closes")), (real & ~x["closes"]).alias("plain"), F.lit(False).alias("bare"), F.lit(False).alias("tail"))
+
+    items = _items(_once(_after_opening(_lines(docs, AGENDA_NOISE, **columns)), rows=F.transform("rows", marked)))
     category, title = F.trim(F.regexp_extract("rest", RUBRIC, 1)), F.when(F.col("rest").rlike(RUBRIC), F.trim(F.regexp_extract("rest", RUBRIC, 2))).otherwise(F.col("rest"))
     kind = F.when(F.col("number").startswith("V"), "vraag").when(F.col("number").startswith("TP") | (F.upper(category) == "TOEGEVOEGD PUNT"), "toegevoegd").when(F.col("number").startswith("ACT") | (F.upper(category) == "ACTUALITEITSDEBAT"), "actuadebat").otherwise("gewoon")
     split = kind.isin("vraag", "toegevoegd") & title.rlike(r"\s[-–]\s")
@@ -149,20 +169,32 @@ PAGE_FOOTER = rf"(?iU)^\s*\d{{1,2}}\s+(?:{'|'.join(MONTHS)})\s+\d{{4}}\s*$"
 
 def parse_minutes(docs: DataFrame, **columns: str) -> DataFrame:
     """Items of minutes: doc, number, type, category, title, text, promises (titles of the O items that follow it)."""
-    rows = lines(docs, noise=MINUTES_NOISE, **columns).withColumn("line", F.regexp_replace("line", BULLET, ""))
-    parts = lambda i: F.when(F.col("line").rlike(MINUTES_NUMBERED), F.regexp_extract("line", MINUTES_NUMBERED, i)).when(F.col("line").rlike(MINUTES_SPECIAL), F.regexp_extract("line", MINUTES_SPECIAL, i))
-    rows = rows.withColumn("number", parts(1)).withColumn("category", F.trim(parts(2))).withColumn("title", F.trim(parts(3)))
-    running = Window.partitionBy("doc").orderBy("pos")
-    is_item = F.col("number").isNotNull() & ~F.coalesce(F.col("number").startswith("O"), F.lit(False))
-    promise = F.coalesce(F.col("number").startswith("O"), F.lit(False))
-    # the title of a promise runs on over up to three lines, to a full stop, a section or the next head
-    following = F.array(*(F.coalesce(F.lead("line", i).over(running), F.lit("Motivering")) for i in (1, 2, 3)))
-    whole = continued_title(F.col("title"), following, stop=f"{MINUTES_NUMBERED}|{MINUTES_SPECIAL}", footer=PAGE_FOOTER)
-    rows = rows.withColumn("title", F.when(promise, whole).otherwise(F.col("title")))
-    rows = rows.withColumn("block", F.sum(is_item.cast("int")).over(running)).where("block > 0")
-    first = lambda c: F.max(F.when(F.col("number").isNotNull() & ~promise, F.col(c))).alias(c)
-    listed = lambda test, value: F.transform(F.filter(F.sort_array(F.collect_list(F.struct("pos", test.alias("t"), value.alias("v")))), lambda x: x["t"]), lambda x: x["v"])
-    items = rows.groupBy("doc", "block").agg(first("number"), first("category"), first("title"), F.array_join(listed(F.lit(True), F.col("line")), "\n").alias("text"), listed(promise, F.coalesce("title", F.lit(""))).alias("promises"))
+
+    def marked(r: Column) -> Column:
+        parts = lambda t, p: F.struct(F.regexp_extract(t, p, 1).alias("number"), F.trim(F.regexp_extract(t, p, 2)).alias("category"), F.trim(F.regexp_extract(t, p, 3)).alias("title"))
+        head = lambda t: F.when(t.rlike(MINUTES_NUMBERED), parts(t, MINUTES_NUMBERED)).when(t.rlike(MINUTES_SPECIAL), parts(t, MINUTES_SPECIAL))
+        return let(F.regexp_replace(r["line"], BULLET, ""), lambda t: F.struct(t.alias("line"), head(t).alias("h")))
+
+    is_promise = lambda r: F.coalesce(r["h"]["number"].startswith("O"), F.lit(False))
+    found = _once(_lines(docs, MINUTES_NOISE, **columns), rows=F.transform("rows", marked))
+    starts = F.filter(F.transform("rows", lambda r, i: F.when(r["h"].isNotNull() & ~is_promise(r), i)), lambda i: i.isNotNull())
+    found = found.select("doc", "rows", F.inline(F.array(F.struct(starts.alias("starts")))))
+
+    def item(at: Column, k: Column) -> Column:
+        n = F.coalesce(F.get(F.col("starts"), k + 1), F.size("rows")) - at
+        return F.struct((k + 1).cast("long").alias("block"), n.alias("n"), F.slice("rows", at + 1, n + 3).alias("near"))
+
+    # an item's rows, and the three after them: the title of a promise runs on over up to three lines, to a full stop, a section or the next head
+    items = found.select("doc", F.inline(F.transform("starts", item)))
+
+    def promised(r: Column, i: Column) -> Column:
+        following = F.array(*(F.coalesce(F.get(F.col("near"), i + j)["line"], F.lit("Motivering")) for j in (1, 2, 3)))
+        whole = continued_title(r["h"]["title"], following, stop=f"{MINUTES_NUMBERED}|{MINUTES_SPECIAL}", footer=PAGE_FOOTER)
+        return F.when((i < F.col("n")) & is_promise(r), F.coalesce(whole, F.lit("")))
+
+    text = F.array_join(F.transform(F.slice("near", F.lit(1), F.col("n")), lambda r: r["line"]), "\n")
+    promises = F.filter(F.transform("near", promised), lambda x: x.isNotNull())
+    items = items.select("doc", "block", F.inline(F.array(F.struct(F.get("near", F.lit(0))["h"].alias("h"), text.alias("text"), promises.alias("promises"))))).select("doc", "block", "h.*", "text", "promises")
     kind = F.when(F.col("number").startswith("ACT"), "actualiteitsdebat").when(F.col("number").startswith("TP"), "toegevoegd").when(F.col("number").startswith("HP"), "politieverordening").when(F.col("number").startswith("V"), "vraag").otherwise("gewoon")
     return items.select("doc", "block", "number", kind.alias("type"), "category", "title", "text", "promises")
 

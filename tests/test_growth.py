@@ -56,3 +56,12 @@ def test_terms_behind_many_repeats(spark):
     words = ["a"] * 40 + [" B", "b", "", "c" * 61, None, "c"]
     got = spark.createDataFrame([(words,), ([],), (None,)], "w array<string>").select(merge.clean_terms(F.col("w"), 3).alias("t")).collect()
     assert [r.t for r in got] == [["a", "B", "c"], [], None]
+
+
+def test_lists_are_parsed_without_a_shuffle(spark):
+    from civicframe.sources import lines
+
+    docs = spark.createDataFrame([("d", "Openbare zitting\n1. A. Een\nGoedgekeurd")], "doc string, text string")
+    for parse in (lines.parse_decisions, lines.parse_agenda, lines.parse_minutes):
+        plan = _plan(parse(docs))
+        assert not any(x in plan for x in ("Window", "Aggregate", "Join")), plan
