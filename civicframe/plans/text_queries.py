@@ -9,6 +9,7 @@ from civicframe.functions.money import amount, belgian
 from civicframe.operators import gates, geo, merge, privacy, redaction
 from civicframe.plans.registry import query, table
 from civicframe.sources import lines, votes
+from civicframe.store import stored
 
 EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
 
@@ -39,8 +40,8 @@ def mask_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def leak_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses in texts or languages that an allow-list of one does not have."""
     docs = table(spark, sf_dir, "documents")
-    every = privacy.leaked_addresses([F.col("text"), F.col("lang")], docs, spark.createDataFrame([], "address string"))
-    return privacy.leaked_addresses([F.col("text"), F.col("lang")], docs, every.agg(F.min("address").alias("address")))
+    every = stored(privacy.leaked_addresses([F.col("text"), F.col("lang")], docs, spark.createDataFrame([], "address string")), "addresses")
+    return privacy.leaked_addresses([F.col("address")], every, every.agg(F.min("address").alias("address")))
 
 
 @query("SELECT lang, count(*) AS n, count(l.doc_id) AS n_good, CAST(floor(100.0 * count(l.doc_id) / count(*)) AS BIGINT) AS pct FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY lang")
