@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicframe.functions.text import let
+
 
 def first_wins(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key in the given order. State an order that is total, as rows have none of their own."""
@@ -88,10 +90,14 @@ def repaired_list(text: Column) -> Column:
 
 def clean_terms(terms: Column, most: int = 8, longest: int = 60) -> Column:
     """Trimmed terms without empty and overlong ones, each once whatever its case, the first ``most``."""
-    tidy = F.filter(F.transform(terms, lambda x: F.trim(x)), lambda x: (F.length(x) > 0) & (F.length(x) <= longest))
-    # once ``most`` are found no more are looked at, so a list of any length costs one pass
-    seen = F.aggregate(tidy, F.array().cast("array<string>"), lambda acc, x: F.when((F.size(acc) >= most) | F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x))))
-    return seen
+    def add(acc: Column, term: Column) -> Column:
+        fits = lambda x: (F.length(x) > 0) & (F.length(x) <= longest) & ~F.exists(acc, lambda y: F.lower(y) == F.lower(x))
+        return F.when(F.size(acc) >= most, acc).otherwise(let(F.trim(term), lambda x: F.when(fits(x), F.array_append(acc, x)).otherwise(acc)))
+
+    # the first terms mostly hold ``most``; the rest of the list is looked at only if they don't
+    near, begin = 4 * most, F.array().cast("array<string>")
+    rest = lambda acc: F.aggregate(F.slice(terms, F.lit(near + 1), F.greatest(F.size(terms) - near, F.lit(0))), acc, add)
+    return let(F.aggregate(F.slice(terms, 1, near), begin, add), lambda acc: F.when((F.size(acc) >= most) | (F.size(terms) <= near), acc).otherwise(rest(acc)))
 
 
 def allowed_only(values: Column, allowed: Column) -> Column:

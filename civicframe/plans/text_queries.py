@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicframe.functions.money import amount, belgian
+from civicframe.functions.text import let
 from civicframe.operators import gates, geo, merge, privacy, redaction
 from civicframe.plans.registry import query, table
 from civicframe.sources import lines, votes
@@ -62,8 +63,11 @@ def coverage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def tag_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key terms, made of the first words: trimmed, distinct whatever the case, eight at most."""
-    terms = merge.clean_terms(F.split("text", " "))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(terms, "|").alias("terms")).where("terms <> ''")
+    text, near = F.col("text"), 32
+    few = merge.clean_terms(F.slice(F.split(text, " ", near + 1), 1, near))  # the whole text is cut only if its first words hold too few
+    terms = let(few, lambda t: F.when(F.size(t) >= 8, t).otherwise(merge.clean_terms(F.split(text, " "))))
+    # as the row of a generator the terms are made once, not again for the filter
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(F.array_join(terms, "|"))).alias("terms")).where("terms <> ''")
 
 
 @query("SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
