@@ -72,9 +72,10 @@ def minutes_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     promise = F.when(F.col("l_linestatus") == "O", F.concat(F.lit("\nO1. OPDRACHT. Nagaan voor "), F.col("l_suppkey").cast("string"), F.lit("\n3 maart 2026\nof het kan.\nDe raad neemt kennis"))).otherwise("")
     text = F.concat(number, F.lit(". RUBRIEK "), "l_returnflag", F.lit(". Deel "), part, F.lit("\n"), vote, promise)
     docs = _documents(rows, text, "Aanwezig: A Bee, voorzitter\nopenbare zitting")
-    found = lines.parse_minutes(docs).withColumn("vote", votes.vote(F.col("text")))
-    count = lambda k: F.coalesce(f"vote.{k}", F.lit(-1)).alias(k)
-    return found.select("doc", "number", "category", "title", "vote.modus", count("voor"), count("tegen"), F.array_join("promises", "|").alias("promises"))
+    # as the row of a generator the vote is read once, not again for each field
+    found = lines.parse_minutes(docs).select("doc", "number", "category", "title", "promises", F.inline(F.array(votes.vote(F.col("text")))))
+    count = lambda k: F.coalesce(k, F.lit(-1)).alias(k)
+    return found.select("doc", "number", "category", "title", "modus", count("voor"), count("tegen"), F.array_join("promises", "|").alias("promises"))
 
 
 @query(

@@ -180,7 +180,9 @@ def vote_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, v = F.col("o_orderkey") % 9 + 1, F.col("o_orderkey") % 40 + 1
     text = F.format_string(MINUTES.replace("{n}", "%1$d").replace("{v}", "%2$d").replace("{t}", "%3$d"), n, v, 40 - v + 1)
     docs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc"), text.alias("text"))
-    return lines.parse_minutes(docs).withColumn("vote", votes.vote(F.col("text"))).select("doc", "number", "title", F.size("promises").alias("n_promises"), "vote.modus", "vote.voor", "vote.tegen")
+    # as the row of a generator the vote is read once, not again for each field
+    found = lines.parse_minutes(docs).select("doc", "number", "title", F.size("promises").alias("n_promises"), F.inline(F.array(votes.vote(F.col("text")))))
+    return found.select("doc", "number", "title", "n_promises", "modus", "voor", "tegen")
 
 
 DECISIONS = "Beslissingenlijst 2\nOpenbare zitting\n1. MOBILITEIT. Heraanleg van straat %1$d\nvervolg\nGoedgekeurd\n2. CULTUUR. Subsidie\nKennisgenomen\nBesloten zitting\n3. PERSONEEL. Aanstelling\nGoedgekeurd\n"

@@ -60,7 +60,7 @@ def vote(text: Column) -> Column:
     """
     plain = F.translate(F.coalesce(text, F.lit("")), "\u00a0\u2007\u202f", "   ")  # blanks that do not break a line
     low = F.lower(F.regexp_replace(plain, FOOTER, ""))
-    own = lambda t: F.regexp_extract(t, rf"(?s).*({OWN}.*)$", 1)
+    own = lambda t: F.when(F.contains(t, F.lit("stemresultaat")), F.regexp_extract(t, rf"(?s).*({OWN}.*)$", 1)).otherwise("")
 
     def of_own(t: Column, o: Column) -> Column:
         votes = F.when(F.contains(o, F.lit("stemresultaat")), formulas(o)).otherwise(F.array().cast(f"array<{VOTE}>"))
