@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby, islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from civicframe.functions.text import gram_counts, link_words, prefix_overlap, seq_ratio_bound, seq_ratio_from
+from civicframe.functions.text import Likened, link_words, prefix_overlap
 from civicframe.store import stored
 
 #: Words of titles that say nothing about the matter; callers add the names of their place. Fixed values.
@@ -73,39 +77,68 @@ def link_attachments(attachments: DataFrame, linked: DataFrame) -> DataFrame:
     return attachments.join(linked.select("organ", "session", "publication", "item_id").distinct(), ["organ", "session", "publication"])
 
 
-#: Candidates of a block that one task compares with a hit. Fixed value.
-BLOCK_CELL = 500
+#: Candidates and hits of a block that one cell holds, and titles for each task. Fixed values.
+CANDIDATE_CELL, HIT_CELL, TASK_TITLES = 500, 2000, 2000
+
+
+def _most_like(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most similar candidate of each hit inside its cell, the first of these; cells come one by one, candidates before hits.
+
+    Rows are block, the cell's two numbers, hit (null: a candidate), candidate, title, least ratio, and whether one comparison will do.
+    """
+    types: list[pa.DataType] = []
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            types[:] = [batch.schema.field(k).type for k in (0, 3, 4)] + [pa.float64()]
+            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+    def found() -> Iterator[tuple]:
+        for (name, *_), cell in groupby(rows(), lambda r: r[:3]):
+            known, likened = [], None
+            for *_, hit, candidate, title, least, only_first in cell:
+                if hit is None:
+                    known.append((candidate, title))
+                    continue
+                likened = likened or Likened([t for _, t in known])
+                if top := likened.best(title, least, only_first):
+                    yield name, hit, known[top[0]][0], top[1]
+
+    matches = found()
+    while some := list(islice(matches, 1000)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), types, strict=True)], names=["b", "h", "c", "r"])
 
 
 def fuzzy_match(hits: DataFrame, candidates: DataFrame, *, block: str, hit_title: str, candidate_title: str, hit_id: str, candidate_id: str, least: float = 0.72) -> DataFrame:
     """The most similar candidate of each hit inside a block, if its ratio is ``least`` or more; ties by id.
 
-    Hits and candidates of one title are compared once, and lengths that no ratio of ``least`` allows not at all. The
-    candidate with the largest bound is compared first; then only those whose bounds reach its ratio. Pairs go as ids and
-    counts, and large blocks in cells; texts follow for the pairs that are compared.
+    Hits and candidates of one title are compared once. A block is worked off in cells, which bounds what a task holds; inside a
+    cell only candidates are compared whose upper bounds reach the best ratio so far. In a block of several cells that ratio is at
+    first the best of the candidates with the largest bound in each.
     """
-    titles = candidates.where(F.col(candidate_title).isNotNull()).groupBy(block, candidate_title).agg(F.min(candidate_id).alias(candidate_id))
-    titles = stored(titles.withColumn("_c", F.xxhash64(block, candidate_title)).withColumn("_cg", gram_counts(candidate_title)), "titles")
-    asked = hits.where(F.col(hit_title).isNotNull()).select(block, hit_title).distinct().withColumn("_h", F.xxhash64(block, hit_title))
-    asked = stored(asked.withColumn("_hg", gram_counts(hit_title)), "hits")
-    cells = titles.groupBy(block).agg(F.ceil(F.count("*") / BLOCK_CELL).cast("int").alias("_cells"))
-    a, b = F.col("_hl"), F.col("_cl")
-    mine = asked.join(cells, block).select(block, "_h", F.length(hit_title).alias("_hl"), "_hg", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("_cell"))
-    theirs = titles.join(cells, block).select(block, "_c", candidate_id, F.length(candidate_title).alias("_cl"), "_cg", F.pmod("_c", F.col("_cells")).cast("int").alias("_cell"))
-
-    def bounded(known: DataFrame, from_: Column) -> DataFrame:
-        pairs = known.join(theirs, [block, "_cell"]).where(F.lit(2.0) * F.least(a, b) >= from_ * (a + b) - F.lit(1e-6))
-        return pairs.withColumn("_bound", seq_ratio_bound(F.col("_hg"), F.col("_cg"), a + b)).where(F.col("_bound") >= from_ - F.lit(1e-9))
-
-    def rated(pairs: DataFrame, from_: Column) -> DataFrame:
-        texts = pairs.join(asked.select(block, "_h", hit_title), [block, "_h"]).join(titles.select(block, "_c", candidate_title), [block, "_c"])
-        return texts.select(block, "_h", "_c", candidate_id, seq_ratio_from(F.col(hit_title), F.col(candidate_title), from_).alias("ratio"))
-
-    first = bounded(mine, F.lit(least)).groupBy(block, "_h").agg(F.max_by(F.struct("_c", candidate_id), F.struct("_bound", -F.abs(a - b))).alias("_top"))
-    first = stored(rated(first.select(block, "_h", "_top.*"), F.lit(least)), "first")
-    known = mine.join(first.select(block, "_h", F.col("_c").alias("_seen"), F.col("ratio").alias("_from")), [block, "_h"]).withColumn("_from", F.coalesce("_from", F.lit(least)))
-    others = bounded(known, F.col("_from")).where("_c <> _seen").select(block, "_h", "_c", candidate_id, "_from")
-    ratios = first.unionByName(rated(others, F.col("_from"))).where("ratio is not null")
+    titles = candidates.where(F.col(block).isNotNull() & F.col(candidate_title).isNotNull()).groupBy(block, candidate_title).agg(F.min(candidate_id).alias(candidate_id))
+    titles = stored(titles.withColumn("_c", F.xxhash64(block, candidate_title)), "titles")
+    asked = hits.where(F.col(block).isNotNull() & F.col(hit_title).isNotNull()).select(block, hit_title).distinct()
+    asked = stored(asked.withColumn("_h", F.xxhash64(block, hit_title)), "hits")
+    count = lambda df, size, name: df.groupBy(block).agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+    cells = count(titles, CANDIDATE_CELL, "_cs").join(count(asked, HIT_CELL, "_hs"), block)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda i, n: F.pmod(i, n).cast("int")
+    theirs = titles.join(cells, block).select(block, every("_hs").alias("_hc"), own("_c", "_cs").alias("_cc"), F.lit(None).cast("long").alias("_h"), candidate_id, F.col(candidate_title).alias("_t"), F.lit(None).cast("double").alias("_from"), F.lit(None).cast("boolean").alias("_first"), "_cs")
+    mine = asked.join(cells, block).select(block, own("_h", "_hs").alias("_hc"), every("_cs").alias("_cc"), "_h", F.lit(None).cast(titles.schema[candidate_id].dataType).alias(candidate_id), F.col(hit_title).alias("_t"), F.lit(least).alias("_from"), (F.col("_cs") > 1).alias("_first"), "_cs")
+    out = StructType([titles.schema[block], StructField("_h", LongType()), titles.schema[candidate_id], StructField("ratio", DoubleType())])
+
+    def compared(mine: DataFrame, theirs: DataFrame, tasks: int) -> DataFrame:
+        # the number keeps adaptive execution from merging the tasks: their rows are few, their comparisons many
+        rows = theirs.unionByName(mine).drop("_cs").repartition(tasks, block, "_hc", "_cc")
+        return rows.sortWithinPartitions(block, "_hc", "_cc", F.col("_h").isNotNull(), candidate_id).mapInArrow(_most_like, out)
+
+    tasks = (titles.count() + asked.count()) // TASK_TITLES + 1
+    ratios = first = stored(compared(mine, theirs, tasks), "first")
+    if split := cells.where("_cs > 1").agg(F.sum(F.col("_cs") * F.col("_hs"))).first()[0]:
+        reached = first.groupBy(block, "_h").agg(F.max("ratio").alias("_best"))
+        again = mine.where("_cs > 1").join(reached, [block, "_h"], "left").withColumn("_from", F.coalesce("_best", "_from")).withColumn("_first", F.lit(False)).drop("_best")
+        ratios = first.unionByName(compared(again, theirs.where("_cs > 1"), split))
     top = ratios.groupBy(block, "_h").agg(F.min(F.struct((-F.col("ratio")).alias("r"), F.col(candidate_id).alias("c"))).alias("_top"))
     found = hits.withColumn("_h", F.xxhash64(block, hit_title)).join(top, [block, "_h"]).select(hit_id, F.col("_top.c").alias(candidate_id), (-F.col("_top.r")).alias("ratio"))
     best = Window.partitionBy(hit_id).orderBy(F.col("ratio").desc(), candidate_id)

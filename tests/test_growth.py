@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import random
+from difflib import SequenceMatcher
+
 from pyspark.sql import functions as F
 
+from civicframe.functions import text as texts
 from civicframe.functions.text import index_tokens
-from civicframe.operators import index, merge, privacy
+from civicframe.operators import index, linkage, merge, privacy
 from civicframe.plans.registry import queries
 
 
@@ -65,3 +69,46 @@ def test_lists_are_parsed_without_a_shuffle(spark):
     for parse in (lines.parse_decisions, lines.parse_agenda, lines.parse_minutes):
         plan = _plan(parse(docs))
         assert not any(x in plan for x in ("Window", "Aggregate", "Join")), plan
+
+
+def _near_copies(draw: random.Random, size: int, n: int) -> list[str]:
+    """Titles of words of which the rare letters are few, each with some words changed."""
+    word = lambda: "".join(draw.choices("ethanoirsdlwfvk", weights=[1 / (k + 1) for k in range(15)], k=draw.randint(2, 7)))
+    words = ["x"]
+    while len(" ".join(words)) < size:
+        words.append(word())
+    return list(dict.fromkeys(" ".join(w if k == 0 or draw.random() > 0.03 else word() for k, w in enumerate(words)) for _ in range(n)))
+
+
+def test_few_of_many_near_copies_are_compared(monkeypatch):
+    draw, calls, real = random.Random(5), [], texts._ratio_from
+    monkeypatch.setattr(texts, "_ratio_from", lambda *a: (calls.append(1), real(*a))[1])
+    for size in (120, 500):
+        names = _near_copies(draw, size, 80)
+        hits = ["".join(c for k, c in enumerate(t) if k % 9 != 8) for t in names]
+        likened, calls[:] = texts.Likened(names), []
+        found = [likened.best(h, 0.72) for h in hits]
+        assert len(calls) < 4 * len(hits)  # of 80 each
+        for h, got in zip(hits[:6], found[:6], strict=True):
+            assert (likened.bounds(h, 0.0) >= [SequenceMatcher(None, h, t).ratio() for t in names]).all()
+            ratio, k = max((SequenceMatcher(None, h, t).ratio(), -k) for k, t in enumerate(names))
+            assert got == ((-k, ratio) if ratio >= 0.72 else None)
+
+
+def test_fuzzy_match_in_cells_equals_difflib(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "CANDIDATE_CELL", 9)
+    monkeypatch.setattr(linkage, "HIT_CELL", 14)
+    monkeypatch.setattr(linkage, "TASK_TITLES", 40)
+    draw = random.Random(7)
+    names = [(b, t) for b, size, n in (("p", 60, 30), ("q", 260, 25), ("r", 90, 1), (None, 60, 2)) for t in _near_copies(draw, size, n)] + [("p", None), ("s", "alone")]
+    known = [(f"d{i:03}", b, t) for i, (b, t) in enumerate(names + names[:20])]
+    asked = [(i, b, None if t is None else "".join(c for k, c in enumerate(t) if k % 9 != 8)) for i, (b, t) in enumerate(names)] + [(900 + i, b, t) for i, (b, t) in enumerate(names[:40])] + [(990, "t", "none")]
+    found = linkage.fuzzy_match(spark.createDataFrame(asked, "h long, b string, a string"), spark.createDataFrame(known, "c string, b string, t string"), block="b", hit_title="a", candidate_title="t", hit_id="h", candidate_id="c")
+    plan = _plan(found)
+    assert "zip_with" not in plan and "ArrowEvalPython" not in plan  # no row for each pair of titles
+    expected = {}
+    for i, b, t in asked:
+        rated = [(-SequenceMatcher(None, t, u).ratio(), c) for c, d, u in known if b is not None and t is not None and u is not None and d == b]
+        if rated and -min(rated)[0] >= 0.72:
+            expected[i] = (min(rated)[1], round(-min(rated)[0], 3))
+    assert {r.h: (r.c, r.ratio) for r in found.collect()} == expected and len(expected) > 45
